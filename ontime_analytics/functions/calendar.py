@@ -5,15 +5,18 @@ the last Sunday of October; from 2007 on the second Sunday of March and the
 first Sunday of November.  Over 1987-2008 this yields the 44 crossover dates
 the analysis is defined on.
 
-The test is a row-level Column predicate (no join, no broadcast): for the row's
-own year it derives the two crossover dates with ``next_day`` and compares
-month and day.  The year range is a top-level conjunct so that it reaches the
-Parquet scan / ``year`` partition pruning when the input is the typed lake.
+The rule is turned into a calendar dimension by Spark itself (``spark.range``
+over the years, two rows per year, so its size is known before it is
+broadcast) and the flights are kept by a broadcast left-semi join on
+(year, month, day).  The year range and the month set are also applied as
+plain column filters first, so they reach the Parquet scan (``year``
+partition pruning on the typed lake) before any row is probed.
+:func:`is_dst_crossover` is the same rule as a row-level predicate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
@@ -70,12 +73,24 @@ def is_dst_crossover(year: Column | str = "year", month: Column | str = "month",
     return F.coalesce(F.when(dst_year_range(y, first_year, last_year), hit), F.lit(False))
 
 
-def filter_dst_days(flights, first_year: int = S.DST_FIRST_YEAR,
-                    last_year: int = S.DST_LAST_YEAR):
-    """Keep the flights on crossover days.  Three conjuncts: the year range and
-    the month set are plain column comparisons (pushed to the scan), the exact
-    day test is the codegen'd predicate above."""
-    return (flights
-            .filter(dst_year_range("year", first_year, last_year))
-            .filter(F.col("month").isin(3, 4, 10, 11))
-            .filter(is_dst_crossover("year", "month", "day_of_month", first_year, last_year)))
+def dst_calendar(spark: SparkSession, first_year: int = S.DST_FIRST_YEAR,
+                 last_year: int = S.DST_LAST_YEAR) -> DataFrame:
+    """(year, month, day_of_month) of every crossover day, two per year."""
+    years = spark.range(first_year, last_year + 1, numPartitions=1) \
+        .select(F.col("id").cast("int").alias("year"))
+    y = F.col("year")
+    sm, sd = dst_start(y)
+    em, ed = dst_end(y)
+    days = F.array(F.struct(sm.alias("month"), sd.alias("day_of_month")),
+                   F.struct(em.alias("month"), ed.alias("day_of_month")))
+    return years.select("year", F.inline(days))
+
+
+def filter_dst_days(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
+                    last_year: int = S.DST_LAST_YEAR) -> DataFrame:
+    """Keep the flights on crossover days (broadcast left-semi join with the
+    calendar; its size is 2 x the number of years, fixed by the parameters)."""
+    cal = dst_calendar(flights.sparkSession, first_year, last_year)
+    pruned = (flights.filter(dst_year_range("year", first_year, last_year))
+              .filter(F.col("month").isin(3, 4, 10, 11)))
+    return pruned.join(F.broadcast(cal), ["year", "month", "day_of_month"], "left_semi")

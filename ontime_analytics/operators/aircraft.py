@@ -23,6 +23,7 @@ Two exact plans, chosen by a size check on the dimension:
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,19 +47,40 @@ def aircraft_dimension(master: DataFrame, model_lookup: DataFrame) -> DataFrame:
                     F.col("best.model").alias("model")))
 
 
-def dimension_fits_broadcast(aircraft: DataFrame,
-                             broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
-    """Size check before broadcasting: one count of the (registry-sized)
-    dimension times the row-width bound of its fixed-width fields."""
-    if broadcast_max_bytes <= 0:
-        return False
-    return aircraft.count() * AIRCRAFT_ROW_BYTES_BOUND <= broadcast_max_bytes
+def aircraft_rows_bound(master: DataFrame) -> int:
+    """Proven upper bound on the rows of :func:`aircraft_dimension`: it has at
+    most one row per MASTER line.  Counting the lines is one cheap scan of the
+    small registry file, without building the join."""
+    return master.count()
+
+
+@dataclass(frozen=True)
+class ModelJoin:
+    """How flights meet the aircraft dimension.
+
+    ``aircraft_rows`` is a proven upper bound on the dimension's rows (e.g.
+    :func:`aircraft_rows_bound`); when it is ``None`` the dimension is counted.
+    ``strategy`` forces ``'broadcast'`` or ``'shuffle'``; ``None`` decides by
+    ``rows x AIRCRAFT_ROW_BYTES_BOUND <= broadcast_max_bytes``."""
+
+    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
+    aircraft_rows: int | None = None
+    strategy: str | None = None
+
+    def use_broadcast(self, aircraft: DataFrame) -> bool:
+        if self.strategy is not None:
+            if self.strategy not in ("broadcast", "shuffle"):
+                raise ValueError(f"unknown strategy {self.strategy!r}")
+            return self.strategy == "broadcast"
+        if self.broadcast_max_bytes <= 0:
+            return False
+        rows = aircraft.count() if self.aircraft_rows is None else self.aircraft_rows
+        return rows * AIRCRAFT_ROW_BYTES_BOUND <= self.broadcast_max_bytes
 
 
 def aggregate_by_model(flights: DataFrame, aircraft: DataFrame,
                        measures: Mapping[str, Column], how: str = "left",
-                       broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-                       use_broadcast: bool | None = None) -> DataFrame:
+                       join: ModelJoin | None = None) -> DataFrame:
     """Sum each per-row ``measures`` column per aircraft model.
 
     ``how='left'`` keeps flights without a registry match under the model
@@ -66,17 +88,18 @@ def aggregate_by_model(flights: DataFrame, aircraft: DataFrame,
     be non-NULL numbers (use 0/1 flags and ``coalesce``)."""
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    join = join or ModelJoin()
     names = list(measures)
     keyed = flights.select(tail_key("tail_num").alias("tail"),
                            *[measures[n].cast("long").alias(n) for n in names])
     dim = aircraft.select("tail", "model")
     sums = [F.sum(n).alias(n) for n in names]
-    if use_broadcast is None:
-        use_broadcast = dimension_fits_broadcast(aircraft, broadcast_max_bytes)
-    if use_broadcast:
+    if join.use_broadcast(aircraft):
         joined = keyed.join(F.broadcast(dim), "tail", how)
     else:
+        # the check said "too big to broadcast": keep it a sort-merge join even
+        # if the optimizer's own estimate of the dimension is small
         per_tail = keyed.groupBy("tail").agg(*sums)
-        joined = per_tail.join(dim, "tail", how)
+        joined = per_tail.join(dim.hint("shuffle_merge"), "tail", how)
     model = F.coalesce(F.col("model"), F.lit(S.UNAVAILABLE_MODEL)) if how == "left" else F.col("model")
     return joined.groupBy(model.alias("model")).agg(*sums)

@@ -13,17 +13,20 @@ def cancellations_by_reason(flights: DataFrame) -> DataFrame:
     """Q23: cancelled flights per reason, plus the row ``All Flights`` holding
     the number of *all* flights.
 
-    One scan: a single aggregate on (cancelled?, reason) - at most a handful of
-    groups - feeds both the per-reason rows and the grand total; the two
-    branches read the same shuffle (ReusedExchange).  An unknown code on a
-    cancelled flight is the NULL reason, distinct from the total row."""
+    One scan: the flights are aggregated once on (cancelled?, reason) - a
+    handful of groups - and a ``rollup`` over that tiny result yields both the
+    per-reason rows (grouping id 0, cancelled) and the grand total (grouping
+    id 3).  An unknown code on a cancelled flight stays the NULL reason,
+    distinct from the total row."""
     c = is_cancelled()
-    small = flights.groupBy(c.alias("_c"), F.when(c, cancellation_reason()).alias("reason")) \
-        .agg(F.count(F.lit(1)).alias("flights"))
-    per_reason = small.filter(F.col("_c")).select("reason", "flights")
-    total = small.agg(F.coalesce(F.sum("flights"), F.lit(0)).cast("long").alias("flights")) \
-        .select(F.lit(S.ALL_FLIGHTS_LABEL).alias("reason"), "flights")
-    return per_reason.unionByName(total)
+    small = (flights.groupBy(c.alias("_c"), F.when(c, cancellation_reason()).alias("reason"))
+             .agg(F.count(F.lit(1)).alias("_n")))
+    rolled = small.rollup("_c", "reason").agg(F.sum("_n").alias("flights"),
+                                             F.grouping_id().alias("_g"))
+    g = F.col("_g")
+    return (rolled.filter(((g == 0) & F.col("_c")) | (g == 3))
+            .select(F.when(g == 3, F.lit(S.ALL_FLIGHTS_LABEL)).otherwise(F.col("reason")).alias("reason"),
+                    F.col("flights").cast("long").alias("flights")))
 
 
 def cancellations_by_month_reason(flights: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
 from ontime_analytics.functions.parse import exact_mean, has_delay, percent, truncated_mean
-from ontime_analytics.operators.aircraft import DEFAULT_BROADCAST_MAX_BYTES, aggregate_by_model
+from ontime_analytics.operators.aircraft import ModelJoin, aggregate_by_model
 from ontime_analytics.operators.ranking import at_least, bottom_k, top_k
 
 KEY = ["model"]
@@ -27,92 +27,92 @@ def _delayed_known_tail(flights: DataFrame) -> DataFrame:
 
 
 def model_delay_count(flights: DataFrame, aircraft: DataFrame,
-                      broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                      join: ModelJoin | None = None) -> DataFrame:
     """Q18: delayed flights (known tail) per model, incl. ``Unavailable``."""
     return aggregate_by_model(_delayed_known_tail(flights), aircraft,
-                              {"delayed_flights": _one()}, "left", broadcast_max_bytes)
+                              {"delayed_flights": _one()}, "left", join)
 
 
 def model_delay_count_upper(flights: DataFrame, aircraft: DataFrame,
                             min_count: int = S.MODEL_COUNT_UPPER,
-                            broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                            join: ModelJoin | None = None) -> DataFrame:
     """Q19: Q18 rows with at least ``min_count`` delayed flights."""
-    return at_least(model_delay_count(flights, aircraft, broadcast_max_bytes),
+    return at_least(model_delay_count(flights, aircraft, join),
                     "delayed_flights", min_count)
 
 
 def model_average_delay(flights: DataFrame, aircraft: DataFrame,
-                        broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                        join: ModelJoin | None = None) -> DataFrame:
     """Q20: mean delay of delayed flights (known tail) per model, truncated and exact."""
     agg = aggregate_by_model(_delayed_known_tail(flights), aircraft,
-                             {"_total": F.col("dep_delay"), "_n": _one()}, "left", broadcast_max_bytes)
+                             {"_total": F.col("dep_delay"), "_n": _one()}, "left", join)
     return agg.select("model", truncated_mean("_total", "_n").alias("avg_delay_trunc"),
                       exact_mean("_total", "_n").alias("avg_delay"))
 
 
 def model_average_delay_upper(flights: DataFrame, aircraft: DataFrame,
                               min_avg: float = S.MODEL_AVERAGE_UPPER,
-                              broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                              join: ModelJoin | None = None) -> DataFrame:
     """Q21: Q20 rows whose truncated mean is at least ``min_avg``."""
-    return at_least(model_average_delay(flights, aircraft, broadcast_max_bytes),
+    return at_least(model_average_delay(flights, aircraft, join),
                     "avg_delay_trunc", min_avg)
 
 
 def model_delay_percent(flights: DataFrame, aircraft: DataFrame,
-                        broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                        join: ModelJoin | None = None) -> DataFrame:
     """Q22: percent delayed among flights with a parsable delay, per model
     (``NA`` tails included, as ``Unavailable``)."""
     parsable = flights.filter(F.col("dep_delay").isNotNull())
     agg = aggregate_by_model(parsable, aircraft,
                              {"_delayed": has_delay().cast("int"), "_n": _one()}, "left",
-                             broadcast_max_bytes)
+                             join)
     return agg.select("model", percent("_delayed", "_n").alias("delay_percent"))
 
 
 def model_delay_percent_upper(flights: DataFrame, aircraft: DataFrame,
                               min_pct: float = S.MODEL_PERCENT_UPPER,
-                              broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                              join: ModelJoin | None = None) -> DataFrame:
     """Q22: Q22 rows at or above ``min_pct``."""
-    return at_least(model_delay_percent(flights, aircraft, broadcast_max_bytes),
+    return at_least(model_delay_percent(flights, aircraft, join),
                     "delay_percent", min_pct)
 
 
 def flights_delays_by_model(flights: DataFrame, aircraft: DataFrame,
-                            broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                            join: ModelJoin | None = None) -> DataFrame:
     """Q31: all flights and delayed flights per model; flights without a
     registry match are dropped (inner)."""
     return aggregate_by_model(flights, aircraft,
                               {"flights": _one(), "delayed_flights": has_delay().cast("int")},
-                              "inner", broadcast_max_bytes)
+                              "inner", join)
 
 
 def delays_by_model_all(flights: DataFrame, aircraft: DataFrame,
-                        broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                        join: ModelJoin | None = None) -> DataFrame:
     """Q32: delayed flights per model over all flights (models with 0 and
     ``Unavailable`` kept)."""
     return aggregate_by_model(flights, aircraft, {"delayed_flights": has_delay().cast("int")},
-                              "left", broadcast_max_bytes)
+                              "left", join)
 
 
 def model_count_top(flights: DataFrame, aircraft: DataFrame, k: int = S.TOP_K,
-                    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                    join: ModelJoin | None = None) -> DataFrame:
     """Q33: the k models with the most delayed flights."""
-    return top_k(model_delay_count(flights, aircraft, broadcast_max_bytes), "delayed_flights", k, KEY)
+    return top_k(model_delay_count(flights, aircraft, join), "delayed_flights", k, KEY)
 
 
 def model_count_bottom(flights: DataFrame, aircraft: DataFrame, k: int = S.TOP_K,
-                       broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                       join: ModelJoin | None = None) -> DataFrame:
     """Q33: the k models with the fewest delayed flights."""
-    return bottom_k(model_delay_count(flights, aircraft, broadcast_max_bytes), "delayed_flights", k, KEY)
+    return bottom_k(model_delay_count(flights, aircraft, join), "delayed_flights", k, KEY)
 
 
 def model_average_top(flights: DataFrame, aircraft: DataFrame, k: int = S.TOP_K,
-                      broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                      join: ModelJoin | None = None) -> DataFrame:
     """Q33: the k models with the highest truncated mean delay."""
-    return top_k(model_average_delay(flights, aircraft, broadcast_max_bytes), "avg_delay_trunc", k, KEY)
+    return top_k(model_average_delay(flights, aircraft, join), "avg_delay_trunc", k, KEY)
 
 
 def model_percent_top(flights: DataFrame, aircraft: DataFrame, k: int = S.TOP_K,
-                      broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                      join: ModelJoin | None = None) -> DataFrame:
     """Q33: the k models with the highest delay percent."""
-    return top_k(model_delay_percent(flights, aircraft, broadcast_max_bytes), "delay_percent", k, KEY)
+    return top_k(model_delay_percent(flights, aircraft, join), "delay_percent", k, KEY)

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime_analytics.operators import airports, cancellations, delays, dst, impact, models, reasons
-from ontime_analytics.operators.aircraft import aircraft_dimension
+from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, aircraft_rows_bound
 from ontime_analytics.sources.fixture import fixture_flights, fixture_registry
 
 
@@ -117,10 +117,19 @@ def build(name: str, flights: DataFrame | None, aircraft: DataFrame | None = Non
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str, name: str):
+    """(flights, aircraft, join options) for ``name`` on the fixture tables.
+
+    The model join is given the MASTER line count as the proven bound on the
+    dimension's rows, so the size check does not have to build the join."""
     q = QUERIES[name]
     flights = fixture_flights(spark, sf_dir) if q.flights else None
-    aircraft = aircraft_dimension(*fixture_registry(spark, sf_dir)) if q.needs_aircraft else None
-    return flights, aircraft
+    aircraft, join = None, None
+    if q.needs_aircraft:
+        master, lookup = fixture_registry(spark, sf_dir)
+        aircraft = aircraft_dimension(master, lookup)
+        if q.flights:
+            join = ModelJoin(aircraft_rows=aircraft_rows_bound(master))
+    return flights, aircraft, join
 
 
 def fixture_query(name: str, **overrides) -> Callable[[SparkSession, str], DataFrame]:
@@ -128,8 +137,9 @@ def fixture_query(name: str, **overrides) -> Callable[[SparkSession, str], DataF
     params = {**FIXTURE_PARAMS.get(name, {}), **overrides}
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        flights, aircraft = fixture_inputs(spark, sf_dir, name)
-        return build(name, flights, aircraft, **params)
+        flights, aircraft, join = fixture_inputs(spark, sf_dir, name)
+        extra = {"join": join} if join is not None and "join" not in params else {}
+        return build(name, flights, aircraft, **params, **extra)
 
     run.__name__ = name
     run.__doc__ = QUERIES[name].doc

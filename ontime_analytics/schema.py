@@ -20,7 +20,6 @@ RAW_COLUMNS = (
 )
 
 RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS])
-CORRUPT_COLUMN = "_corrupt_record"
 
 # --- fixed values: English names, 1 = Monday / 1 = January ---
 WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday",

@@ -1,8 +1,9 @@
 """Flight records -> raw STRING DataFrame -> typed ``flights`` DataFrame.
 
-The raw layer mirrors the text files: 29 positional STRING columns, no
-quoting (a comma always separates fields), an empty field stays ``''`` and a
-field missing from a short row is NULL.  Typing (P1/P3) happens once, in
+The raw layer mirrors the text files: each line is split on ``,`` into 29
+positional STRING columns - no quoting, an empty field stays ``''`` (a value
+of its own, e.g. the empty cancellation code) and a field missing from a short
+row is NULL.  Typing (P1/P3) happens once, in
 :func:`type_flights`; the typed table is what every query reads, normally from
 the Parquet lake written by :mod:`ontime_analytics.sources.ingest`.
 """
@@ -11,38 +12,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ontime_analytics import schema as S
 from ontime_analytics.functions.parse import strict_int
 
-# A null marker that cannot occur in the files, so '' is read as '' (an empty
-# field is a value of its own, e.g. the empty cancellation code).
-_NO_NULL_MARKER = "\u0000"
+FIELD_COUNT_COLUMN = "_fields"
 
 
-def _raw_reader(spark: SparkSession, header: bool, keep_corrupt: bool):
-    fields = list(S.RAW_SCHEMA.fields)
-    if keep_corrupt:
-        fields.append(StructField(S.CORRUPT_COLUMN, StringType(), True))
-    reader = (spark.read.schema(StructType(fields))
-              .option("header", header)
-              .option("mode", "PERMISSIVE")
-              .option("quote", "")
-              .option("nullValue", _NO_NULL_MARKER)
-              .option("emptyValue", ""))
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN)
-    return reader
+def parse_flight_lines(lines: DataFrame, header: bool = False, value: str = "value",
+                       keep_field_count: bool = False) -> DataFrame:
+    """Split text lines on ``,`` into the 29 raw STRING columns by position.
+
+    No quoting (as in the files); an empty field is ``''``; a short line gives
+    NULL for the missing fields.  With ``header`` the header lines (first field
+    ``Year``) are dropped - one per input file, wherever Spark split them."""
+    if header:
+        lines = lines.filter(~F.col(value).startswith(S.RAW_COLUMNS[0] + ","))
+    fields = F.split(F.col(value), ",", -1)
+    cols = [F.try_element_at(fields, F.lit(i + 1)).alias(c) for i, c in enumerate(S.RAW_COLUMNS)]
+    if keep_field_count:
+        cols.append(F.size(fields).alias(FIELD_COUNT_COLUMN))
+    return lines.select(*cols)
 
 
 def read_flights_raw(spark: SparkSession, path: str | list[str], header: bool = False,
-                     keep_corrupt: bool = False) -> DataFrame:
-    """Read flight CSV files (plain or compressed, e.g. ``*.csv.bz2``, which
-    Hadoop splits) as 29 STRING columns.  Short rows are padded with NULL; with
-    ``keep_corrupt`` the raw text of rows with the wrong field count is kept in
-    ``_corrupt_record``."""
-    return _raw_reader(spark, header, keep_corrupt).csv(path)
+                     keep_field_count: bool = False) -> DataFrame:
+    """Read flight files (plain or compressed, e.g. ``*.csv.bz2``, which Hadoop
+    splits across tasks) as 29 STRING columns."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return parse_flight_lines(spark.read.text(paths), header=header,
+                              keep_field_count=keep_field_count)
 
 
 def type_flights(raw: DataFrame) -> DataFrame:
@@ -73,13 +72,13 @@ def read_flights_csv(spark: SparkSession, path: str | list[str], header: bool =
 
 def bad_rows(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
     """Malformed-input report for a set of flight files, in one pass:
-    rows, rows with the wrong number of fields, and rows whose DepDelay is
+    rows, rows with a field count other than 29, and rows whose DepDelay is
     neither parsable nor the ``NA`` marker."""
-    raw = read_flights_raw(spark, path, header=header, keep_corrupt=True)
+    raw = read_flights_raw(spark, path, header=header, keep_field_count=True)
     dep = F.col("DepDelay")
     return raw.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(S.CORRUPT_COLUMN).isNotNull()).alias("wrong_field_count"),
+        F.count_if(F.col(FIELD_COUNT_COLUMN) != len(S.RAW_COLUMNS)).alias("wrong_field_count"),
         F.count_if(strict_int(dep).isNull() & ~F.coalesce(dep == "NA", F.lit(False)))
         .alias("unparsable_dep_delay"),
     )

@@ -13,24 +13,18 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ontime_analytics import schema as S
 from ontime_analytics.session import streaming_checkpoint
-from ontime_analytics.sources.flights import _NO_NULL_MARKER, type_flights
+from ontime_analytics.sources.flights import parse_flight_lines, type_flights
 
 
 def start_flight_ingest(spark: SparkSession, source_dir: str, lake: str,
                         checkpoint_location: str | None = None, header: bool = True,
                         available_now: bool = True,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
-    reader = (spark.readStream.schema(S.RAW_SCHEMA)
-              .option("header", header)
-              .option("mode", "PERMISSIVE")
-              .option("quote", "")
-              .option("nullValue", _NO_NULL_MARKER)
-              .option("emptyValue", ""))
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    typed = type_flights(reader.csv(source_dir))
+    typed = type_flights(parse_flight_lines(reader.load(source_dir), header=header))
     writer = (typed.writeStream.format("parquet")
               .option("checkpointLocation",
                       checkpoint_location or streaming_checkpoint(spark, "flight_ingest"))

@@ -1,0 +1,135 @@
+"""Readers (S1-S4), the streaming ingest and the sinks (K1-K3) on real files."""
+
+from __future__ import annotations
+
+import bz2
+import json
+from pathlib import Path
+
+from ontime_analytics import schema as S
+from ontime_analytics.operators.aircraft import aircraft_dimension
+from ontime_analytics.operators.delays import delay_by_year
+from ontime_analytics.plans.catalog import build
+from ontime_analytics.sinks import write_csv, write_json, write_parquet
+from ontime_analytics.sources import (
+    bad_rows,
+    ingest_flights,
+    read_flights,
+    read_flights_csv,
+    read_flights_raw,
+    read_model_lookup,
+    read_registry_master,
+)
+from ontime_analytics.streaming import start_flight_ingest
+
+HEADER = ",".join(S.RAW_COLUMNS)
+SAMPLE = "1987,10,14,3,741,730,912,849,PS,1451,NA,91,79,NA,23,11,SAN,SFO,447,NA,NA, 0,NA ,0,NA,NA,NA,NA,NA"
+ROWS_1987 = [
+    SAMPLE,
+    "1987,10,15,4,741,730,912,849,PS,1451,N123,91,79,NA,23,16,SAN,SFO,501,NA,NA,0,,0,NA,NA,NA,NA,NA",
+    "1987,10,16,5,741,730,912,849,PS,1451,N45,91,79,NA,23,45,LAX,SFO,5001,NA,NA,1,B,0,NA,NA,NA,NA,NA",
+]
+ROWS_2008 = [
+    "2008,11,2,7,741,730,912,849,AA,1,N123,91,79,NA,-3,30,ORD,SFO,1000,NA,NA,0,,0,10,0,0,0,5",
+    "2008,11,3,1,741,730,912,849,AA,1,N999,91,79,NA,-3, 20,ORD,SFO,1000,NA,NA,0,,0,10,0,0,0,5",
+    "2008,11,4,2,741",  # short row: padded with NULL, reported as malformed
+]
+
+
+def write_text(path: Path, lines, header=False, compress=False):
+    body = "\n".join(([HEADER] if header else []) + lines) + "\n"
+    path.parent.mkdir(parents=True, exist_ok=True)
+    if compress:
+        path.write_bytes(bz2.compress(body.encode()))
+    else:
+        path.write_text(body)
+    return path
+
+
+def test_raw_csv_plain_and_bz2_with_and_without_header(spark, tmp_path):
+    write_text(tmp_path / "a" / "1987.csv", ROWS_1987)
+    write_text(tmp_path / "b" / "1987.csv.bz2", ROWS_1987, header=True, compress=True)
+    plain = read_flights_raw(spark, str(tmp_path / "a")).collect()
+    packed = read_flights_raw(spark, str(tmp_path / "b"), header=True).collect()
+    assert plain == packed and len(plain) == 3
+    assert plain[0]["Cancelled"] == " 0" and plain[0]["CancellationCode"] == "NA "
+    assert plain[1]["CancellationCode"] == ""  # an empty field stays '' (not NULL)
+
+
+def test_typed_flights_from_csv_and_bad_rows(spark, tmp_path):
+    d = tmp_path / "in"
+    write_text(d / "1987.csv", ROWS_1987)
+    write_text(d / "2008.csv", ROWS_2008)
+    fl = read_flights_csv(spark, str(d))
+    assert tuple(fl.columns) == S.FLIGHT_COLUMNS
+    short = fl.filter("year = 2008 and day_of_month = 4").collect()[0]
+    assert short.dep_delay is None and short.origin is None and short.cancel_code_raw == ""
+    r = bad_rows(spark, str(d)).collect()[0]
+    assert (r.rows, r.wrong_field_count) == (6, 1)
+    # sample row: DepDelay 11 (parsable); ' 20' is the only unparsable non-NA value
+    assert r.unparsable_dep_delay == 2  # ' 20' and the short row's missing field
+
+
+def test_registry_files(spark, tmp_path):
+    m = tmp_path / "MASTER.txt"
+    m.write_text("\n".join(["123  " + " " * 32 + "000777" + " tail of the line",
+                            "45   " + " " * 32 + "000888"]) + "\n")
+    a = tmp_path / "ACFTREF.txt"
+    a.write_text("\n".join(["000777" + " MFR NAME".ljust(33) + "B737-800".ljust(19) + "rest",
+                            "000888" + " " * 33 + "A320".ljust(19)]) + "\n")
+    dim = aircraft_dimension(read_registry_master(spark, str(m)), read_model_lookup(spark, str(a)))
+    assert sorted(tuple(r) for r in dim.collect()) == [("123", "000777", "B737-800"),
+                                                       ("45", "000888", "A320")]
+
+
+def test_ingest_to_lake_and_query(spark, tmp_path):
+    src = tmp_path / "src"
+    write_text(src / "1987.csv.bz2", ROWS_1987, header=True, compress=True)
+    write_text(src / "2008.csv.bz2", ROWS_2008, header=True, compress=True)
+    lake = tmp_path / "lake"
+    ingest_flights(spark, str(src), str(lake))
+    assert sorted(p.name for p in lake.iterdir() if p.name.startswith("year=")) == \
+        ["year=1987", "year=2008"]
+    fl = read_flights(spark, str(lake))
+    got = {r.year: (r.delay_minutes, r.flights) for r in delay_by_year(fl).collect()}
+    assert got == {1987: (16 + 45, 3), 2008: (30, 3)}
+    # a year filter is pruned to one partition directory
+    plan = fl.filter("year = 2008")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+    # re-loading one year replaces that year only
+    src2 = tmp_path / "src2"
+    write_text(src2 / "2008.csv", ROWS_2008[:1], header=True)
+    ingest_flights(spark, str(src2), str(lake))
+    got = {r.year: r.flights for r in delay_by_year(read_flights(spark, str(lake))).collect()}
+    assert got == {1987: 3, 2008: 1}
+
+
+def test_streaming_ingest_picks_up_new_files_once(spark, tmp_path):
+    src = tmp_path / "incoming"
+    write_text(src / "1987.csv", ROWS_1987, header=True)
+    lake, ckpt = tmp_path / "lake", tmp_path / "ckpt"
+    q = start_flight_ingest(spark, str(src), str(lake), checkpoint_location=str(ckpt))
+    q.awaitTermination(120)
+    assert read_flights(spark, str(lake)).count() == 3
+    write_text(src / "2008.csv", ROWS_2008[:2], header=True)
+    q = start_flight_ingest(spark, str(src), str(lake), checkpoint_location=str(ckpt))
+    q.awaitTermination(120)
+    fl = read_flights(spark, str(lake))
+    assert fl.count() == 5  # the 1987 file is not read twice
+    assert {r.year for r in fl.select("year").distinct().collect()} == {1987, 2008}
+
+
+def test_sinks(spark, tmp_path, flights01, aircraft01):
+    res = build("delay_by_year", flights01)
+    write_csv(res, str(tmp_path / "csv"))
+    write_json(res, str(tmp_path / "json"))
+    write_parquet(res, str(tmp_path / "pq"), partition_by=["year"])
+    parts = list((tmp_path / "csv").glob("part-*"))
+    assert len(parts) == 1
+    lines = parts[0].read_text().splitlines()
+    assert len(lines) == res.count() and all(len(x.split(",")) == 3 for x in lines)
+    js = [json.loads(x) for p in (tmp_path / "json").glob("part-*") for x in p.read_text().splitlines()]
+    assert {tuple(sorted(j)) for j in js} == {("delay_minutes", "flights", "year")}
+    back = spark.read.parquet(str(tmp_path / "pq"))
+    assert sorted(map(tuple, back.select("year", "flights").collect())) == \
+        sorted(map(tuple, res.select("year", "flights").collect()))
