@@ -35,7 +35,7 @@ from ontime_analytics.functions.parse import tail_key
 # at most 4 bytes per character in UTF-8, plus UnsafeRow header/offsets and
 # hash-table overhead per entry.
 AIRCRAFT_ROW_BYTES_BOUND = (5 + 6 + 19) * 4 + 64 + 32
-DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 
 def aircraft_dimension(master: DataFrame, model_lookup: DataFrame) -> DataFrame:

@@ -13,20 +13,31 @@ from ontime_analytics.operators.ranking import at_least, at_most, bottom_k, top_
 KEY = ["origin"]
 
 
-def airport_delay_count(flights: DataFrame) -> DataFrame:
-    """Q6: delayed flights per origin; airports without any are absent."""
+def _delayed_per_airport(flights: DataFrame) -> DataFrame:
     return (flights.filter(has_delay())
             .groupBy("origin").agg(F.count(F.lit(1)).alias("delayed_flights")))
 
 
+def _percent_per_airport(flights: DataFrame) -> DataFrame:
+    agg = (flights.filter(F.col("dep_delay").isNotNull()).groupBy("origin")
+           .agg(F.count_if(has_delay()).alias("_delayed"), F.count(F.lit(1)).alias("_n")))
+    return agg.select("origin", percent("_delayed", "_n").alias("delay_percent"))
+
+
+def airport_delay_count(flights: DataFrame) -> DataFrame:
+    """Q6: delayed flights per origin (airports without any are absent), as
+    the full listing in ascending order of count (O3), ties by airport."""
+    return _delayed_per_airport(flights).orderBy("delayed_flights", "origin")
+
+
 def airport_delay_count_upper(flights: DataFrame, min_count: int = S.AIRPORT_COUNT_UPPER) -> DataFrame:
     """Q7: Q6 rows with at least ``min_count`` delayed flights."""
-    return at_least(airport_delay_count(flights), "delayed_flights", min_count)
+    return at_least(_delayed_per_airport(flights), "delayed_flights", min_count)
 
 
 def airport_delay_count_lower(flights: DataFrame, max_count: int = S.AIRPORT_COUNT_LOWER) -> DataFrame:
     """Q8: Q6 rows with at most ``max_count`` delayed flights."""
-    return at_most(airport_delay_count(flights), "delayed_flights", max_count)
+    return at_most(_delayed_per_airport(flights), "delayed_flights", max_count)
 
 
 def airport_average_delay(flights: DataFrame) -> DataFrame:
@@ -39,37 +50,36 @@ def airport_average_delay(flights: DataFrame) -> DataFrame:
 
 
 def airport_delay_percent(flights: DataFrame) -> DataFrame:
-    """Q10: percent of flights with a parsable delay that are delayed, per origin."""
-    agg = (flights.filter(F.col("dep_delay").isNotNull()).groupBy("origin")
-           .agg(F.count_if(has_delay()).alias("_delayed"), F.count(F.lit(1)).alias("_n")))
-    return agg.select("origin", percent("_delayed", "_n").alias("delay_percent"))
+    """Q10: percent of flights with a parsable delay that are delayed, per
+    origin, in ascending order of percent (O4), ties by airport."""
+    return _percent_per_airport(flights).orderBy("delay_percent", "origin")
 
 
 def airport_delay_percent_upper(flights: DataFrame, min_pct: float = S.AIRPORT_PERCENT_UPPER) -> DataFrame:
     """Q11: Q10 rows at or above ``min_pct``."""
-    return at_least(airport_delay_percent(flights), "delay_percent", min_pct)
+    return at_least(_percent_per_airport(flights), "delay_percent", min_pct)
 
 
 def airport_delay_percent_lower(flights: DataFrame, max_pct: float = S.AIRPORT_PERCENT_LOWER) -> DataFrame:
     """Q12: Q10 rows at or below ``max_pct``."""
-    return at_most(airport_delay_percent(flights), "delay_percent", max_pct)
+    return at_most(_percent_per_airport(flights), "delay_percent", max_pct)
 
 
 def airport_count_top(flights: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Q13: the k airports with the most delayed flights."""
-    return top_k(airport_delay_count(flights), "delayed_flights", k, KEY)
+    return top_k(_delayed_per_airport(flights), "delayed_flights", k, KEY)
 
 
 def airport_count_bottom(flights: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Q13: the k airports with the fewest delayed flights."""
-    return bottom_k(airport_delay_count(flights), "delayed_flights", k, KEY)
+    return bottom_k(_delayed_per_airport(flights), "delayed_flights", k, KEY)
 
 
 def airport_percent_top(flights: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Q14: the k airports with the highest delay percent."""
-    return top_k(airport_delay_percent(flights), "delay_percent", k, KEY)
+    return top_k(_percent_per_airport(flights), "delay_percent", k, KEY)
 
 
 def airport_percent_bottom(flights: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Q14: the k airports with the lowest delay percent."""
-    return bottom_k(airport_delay_percent(flights), "delay_percent", k, KEY)
+    return bottom_k(_percent_per_airport(flights), "delay_percent", k, KEY)

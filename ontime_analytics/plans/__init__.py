@@ -1,4 +1,4 @@
-"""Named queries (catalog) and their reference SQL (oracle)."""
+"""Named queries (catalog) and their oracle SQL for DuckDB."""
 
 from ontime_analytics.plans.catalog import FIXTURE_PARAMS, QUERIES, build, fixture_query
 

@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for every named query, on the fixture.
+"""Oracle SQL (DuckDB dialect) for every named query, on the fixture.
 
 Used by the driver's correctness check and by ``tests/test_oracle.py``: the
 same stand-in rows are built from the registered ``lineitem`` / ``part`` views
@@ -165,7 +165,7 @@ def _bodies() -> dict[str, str]:
         "net_delay_by_day_of_week": (
             "select day_of_week, count(*) as flights from flights "
             "where cast(arr_delay as bigint) + cast(dep_delay as bigint) > 0 group by day_of_week"),
-        "airport_delay_count": _AIRPORT_COUNT,
+        "airport_delay_count": f"{_AIRPORT_COUNT} order by delayed_flights, origin",
         "airport_delay_count_upper": (
             f"select * from ({_AIRPORT_COUNT}) t "
             f"where delayed_flights >= {p['airport_delay_count_upper']['min_count']}"),
@@ -174,7 +174,7 @@ def _bodies() -> dict[str, str]:
             f"where delayed_flights <= {p['airport_delay_count_lower']['max_count']}"),
         "airport_average_delay": (
             f"select origin, {avg_cols} from flights where {DELAYED} group by origin"),
-        "airport_delay_percent": _AIRPORT_PCT,
+        "airport_delay_percent": f"{_AIRPORT_PCT} order by delay_percent, origin",
         "airport_delay_percent_upper": (
             f"select * from ({_AIRPORT_PCT}) t "
             f"where delay_percent >= {p['airport_delay_percent_upper']['min_pct']}"),

@@ -51,3 +51,10 @@ def test_threshold_variants_are_subsets(flights01, aircraft01):
     assert up and all(base[r.origin] == r.delayed_flights >= 190 for r in up)
     top = build("airport_count_top", flights01, k=5).collect()
     assert [r.delayed_flights for r in top] == sorted(base.values(), reverse=True)[:5]
+
+
+def test_airport_listings_are_sorted(flights01):
+    rows = [(r.delayed_flights, r.origin) for r in build("airport_delay_count", flights01).collect()]
+    assert rows == sorted(rows) and len(rows) == 120
+    pct = [(r.delay_percent, r.origin) for r in build("airport_delay_percent", flights01).collect()]
+    assert pct == sorted(pct)
