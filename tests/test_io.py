@@ -133,3 +133,29 @@ def test_sinks(spark, tmp_path, flights01, aircraft01):
     back = spark.read.parquet(str(tmp_path / "pq"))
     assert sorted(map(tuple, back.select("year", "flights").collect())) == \
         sorted(map(tuple, res.select("year", "flights").collect()))
+
+
+def test_jobs_end_to_end(spark, tmp_path):
+    from ontime_analytics.jobs import JOBS, main, run_job
+
+    src = tmp_path / "raw"
+    write_text(src / "1987.csv.bz2", ROWS_1987, header=True, compress=True)
+    write_text(src / "2008.csv.bz2", ROWS_2008, header=True, compress=True)
+    m = tmp_path / "MASTER.txt"
+    m.write_text("123  " + " " * 32 + "000777\n" + "45   " + " " * 32 + "000888\n")
+    a = tmp_path / "ACFTREF.txt"
+    a.write_text("000777" + " " * 33 + "B737".ljust(19) + "\n" + "000888" + " " * 33 + "A320".ljust(19) + "\n")
+    lake, out = tmp_path / "lake", tmp_path / "out"
+    assert main(["ingest", "--flights", str(src), "--out", str(lake), "--header"]) == 0
+    assert main(["airports", "--flights", str(lake), "--out", str(out)]) == 0
+    assert sorted(p.name for p in out.iterdir()) == sorted(JOBS["airports"])
+    listing = [x.split(",") for p in (out / "airport_delay_count" / "csv").glob("part-*")
+               for x in p.read_text().splitlines()]
+    # ascending count, ties by airport; coalesce(1) keeps the sorted order in the file
+    assert listing == [["LAX", "1"], ["ORD", "1"], ["SAN", "1"]]
+    names = run_job(spark, "model-delays", str(src), str(out / "m"), raw=True, header=True,
+                    master=str(m), acftref=str(a))
+    got = {json.loads(x)["model"]: json.loads(x)["delayed_flights"]
+           for p in (out / "m" / "model_delay_count" / "json").glob("part-*")
+           for x in p.read_text().splitlines()}
+    assert got == {"B737": 2, "A320": 1} and len(names) == 10
