@@ -16,8 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime_analytics.operators import airports, cancellations, delays, dst, impact, models, reasons
-from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, aircraft_rows_bound
-from ontime_analytics.sources.fixture import fixture_flights, fixture_registry
+from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension
+from ontime_analytics.sources.fixture import fixture_flights, fixture_registry, fixture_registry_rows
 
 
 @dataclass(frozen=True)
@@ -128,7 +128,7 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, name: str):
         master, lookup = fixture_registry(spark, sf_dir)
         aircraft = aircraft_dimension(master, lookup)
         if q.flights:
-            join = ModelJoin(aircraft_rows=aircraft_rows_bound(master))
+            join = ModelJoin(aircraft_rows=fixture_registry_rows(spark, sf_dir))
     return flights, aircraft, join
 
 
