@@ -21,7 +21,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, aircraft_rows_bound
+from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, materialize_dimension
 from ontime_analytics.plans.catalog import QUERIES, build
 from ontime_analytics.session import get_session
 from ontime_analytics.sinks import write_csv, write_json
@@ -71,9 +71,11 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
     if needs_aircraft:
         if not (master and acftref):
             raise SystemExit(f"job {job!r} needs --master and --acftref")
-        m = read_registry_master(spark, master)
-        aircraft = aircraft_dimension(m, read_model_lookup(spark, acftref))
-        join = ModelJoin(aircraft_rows=aircraft_rows_bound(m))
+        aircraft = aircraft_dimension(read_registry_master(spark, master),
+                                      read_model_lookup(spark, acftref))
+        if needs_flights:  # build once, shared by all of the job's queries
+            aircraft, rows = materialize_dimension(aircraft)
+            join = ModelJoin(aircraft_rows=rows)
     for name in names:
         q = QUERIES[name]
         kw = dict((params or {}).get(name, {}))

@@ -47,6 +47,18 @@ def aircraft_dimension(master: DataFrame, model_lookup: DataFrame) -> DataFrame:
                     F.col("best.model").alias("model")))
 
 
+def materialize_dimension(aircraft: DataFrame) -> tuple[DataFrame, int]:
+    """Build the dimension once and store it under the shared checkpoint folder
+    (``spark.checkpoint.dir``); returns the stored DataFrame - its lineage cut,
+    so a lost executor re-reads it instead of re-running the registry join -
+    and its exact row count, the size bound for the broadcast check."""
+    from ontime_analytics.session import checkpoint_dir
+
+    checkpoint_dir(aircraft.sparkSession)
+    stored = aircraft.checkpoint(eager=True)
+    return stored, stored.count()
+
+
 def aircraft_rows_bound(master: DataFrame) -> int:
     """Proven upper bound on the rows of :func:`aircraft_dimension`: it has at
     most one row per MASTER line.  Counting the lines is one cheap scan of the

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ontime_analytics.operators import airports, cancellations, delays, dst, impact, models, reasons
 from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension
-from ontime_analytics.sources.fixture import fixture_flights, fixture_registry, fixture_registry_rows
+from ontime_analytics.sources.fixture import fixture_aircraft, fixture_flights, fixture_registry
 
 
 @dataclass(frozen=True)
@@ -119,16 +119,17 @@ def build(name: str, flights: DataFrame | None, aircraft: DataFrame | None = Non
 def fixture_inputs(spark: SparkSession, sf_dir: str, name: str):
     """(flights, aircraft, join options) for ``name`` on the fixture tables.
 
-    The model join is given the MASTER line count as the proven bound on the
-    dimension's rows, so the size check does not have to build the join."""
+    ``aircraft_dim`` runs the registry join itself.  The model queries use the
+    dimension built once per session (stored under the checkpoint folder),
+    whose row count is the proven bound for the broadcast check."""
     q = QUERIES[name]
     flights = fixture_flights(spark, sf_dir) if q.flights else None
     aircraft, join = None, None
-    if q.needs_aircraft:
-        master, lookup = fixture_registry(spark, sf_dir)
-        aircraft = aircraft_dimension(master, lookup)
-        if q.flights:
-            join = ModelJoin(aircraft_rows=fixture_registry_rows(spark, sf_dir))
+    if q.needs_aircraft and not q.flights:
+        aircraft = aircraft_dimension(*fixture_registry(spark, sf_dir))
+    elif q.needs_aircraft:
+        aircraft, rows = fixture_aircraft(spark, sf_dir)
+        join = ModelJoin(aircraft_rows=rows)
     return flights, aircraft, join
 
 

@@ -112,6 +112,10 @@ def fixture_registry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return _once(spark, sf_dir, "registry", make)
 
 
-def fixture_registry_rows(spark: SparkSession, sf_dir: str) -> int:
-    """Number of registry MASTER lines (the proven bound on aircraft rows)."""
-    return _once(spark, sf_dir, "registry_rows", lambda: fixture_registry(spark, sf_dir)[0].count())
+def fixture_aircraft(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The aircraft dimension built from the fixture registry once per session
+    and stored under ``spark.checkpoint.dir``, with its row count."""
+    from ontime_analytics.operators.aircraft import aircraft_dimension, materialize_dimension
+
+    return _once(spark, sf_dir, "aircraft",
+                 lambda: materialize_dimension(aircraft_dimension(*fixture_registry(spark, sf_dir))))
