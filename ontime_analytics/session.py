@@ -47,14 +47,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster it must be set by the launcher to a shared file system.  Only
     a local-mode session without it (tests) gets a private temporary folder."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if path:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(path)
         return path
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="ontime-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 

@@ -22,11 +22,10 @@ from ontime_analytics.sources.flights import read_flights_raw, type_flights
 DEFAULT_MAX_RECORDS_PER_FILE = 20_000_000
 
 
-def ingest_flights(spark: SparkSession, source: str | list[str], lake: str,
-                   header: bool = True, mode: str = "overwrite",
-                   max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
-                   sort_within: tuple[str, ...] = ("month", "day_of_month")) -> None:
-    typed: DataFrame = type_flights(read_flights_raw(spark, source, header=header))
+def write_flights_lake(typed: DataFrame, lake: str, mode: str = "overwrite",
+                       max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+                       sort_within: tuple[str, ...] = ("month", "day_of_month")) -> None:
+    """Write typed flights as the year-partitioned Parquet lake."""
     if sort_within:
         typed = typed.sortWithinPartitions("year", *sort_within)
     (typed.write.mode(mode)
@@ -35,3 +34,12 @@ def ingest_flights(spark: SparkSession, source: str | list[str], lake: str,
      .option("compression", "zstd")
      .partitionBy("year")
      .parquet(lake))
+
+
+def ingest_flights(spark: SparkSession, source: str | list[str], lake: str,
+                   header: bool = True, mode: str = "overwrite",
+                   max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+                   sort_within: tuple[str, ...] = ("month", "day_of_month")) -> None:
+    """Raw flight files -> typed lake, in one job."""
+    write_flights_lake(type_flights(read_flights_raw(spark, source, header=header)), lake,
+                       mode, max_records_per_file, sort_within)
