@@ -82,8 +82,8 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
         if q.needs_aircraft and q.flights:
             kw.setdefault("join", join)
         result = build(name, flights, aircraft, **kw)
-        write_csv(result, os.path.join(out, name, "csv"))
-        write_json(result, os.path.join(out, name, "json"))
+        write_csv(result, os.path.join(out, name, "csv"), single_file=q.small_result)
+        write_json(result, os.path.join(out, name, "json"), single_file=q.small_result)
     return list(names)
 
 

@@ -11,7 +11,7 @@ threshold / k values that select a meaningful subset of the small fixture
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,11 +26,12 @@ class Query:
     needs_aircraft: bool = False
     flights: bool = True  # False: the query reads the aircraft dimension only
     doc: str = ""
-    defaults: dict = field(default_factory=dict)
+    small_result: bool = True  # False: the result grows with the input (no single-file sink)
 
 
-def _q(fn, needs_aircraft=False, flights=True):
-    return Query(fn, needs_aircraft, flights, (fn.__doc__ or "").strip().splitlines()[0])
+def _q(fn, needs_aircraft=False, flights=True, small_result=True):
+    return Query(fn, needs_aircraft, flights, (fn.__doc__ or "").strip().splitlines()[0],
+                 small_result)
 
 
 def _aircraft_dim(aircraft: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ QUERIES: dict[str, Query] = {
     "airport_percent_bottom": _q(airports.airport_percent_bottom),
     "dst_average_delay": _q(dst.dst_average_delay),
     "dst_delay_percent": _q(dst.dst_delay_percent),
-    "aircraft_dim": _q(_aircraft_dim, needs_aircraft=True, flights=False),
+    "aircraft_dim": _q(_aircraft_dim, needs_aircraft=True, flights=False, small_result=False),
     "model_delay_count": _q(models.model_delay_count, needs_aircraft=True),
     "model_delay_count_upper": _q(models.model_delay_count_upper, needs_aircraft=True),
     "model_average_delay": _q(models.model_average_delay, needs_aircraft=True),

@@ -47,7 +47,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster it must be set by the launcher to a shared file system.  Only
     a local-mode session without it (tests) gets a private temporary folder."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's own configuration applies
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        return path
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if path:
         if sc.getCheckpointDir() is None:

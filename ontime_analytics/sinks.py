@@ -1,8 +1,10 @@
 """K1-K3: result writers.
 
 Results of the analyses are small (one row per year, airport, model ...), so
-they are written as a single part file: ``coalesce(1)`` only narrows the final
-small result and never moves flight rows.  CSV and JSON go to separate
+by default they are written as a single part file: ``coalesce(1)`` only
+narrows the final small result and never moves flight rows.  A result that
+grows with its input (the aircraft dimension itself) is written with
+``single_file=False``, one file per partition.  CSV and JSON go to separate
 directories.  JSON is JSON Lines in UTF-8 with named fields.
 """
 
@@ -11,14 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_csv(result: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
-    """K1/K2: ``key,value[,value]`` lines, no header by default, one part file."""
-    result.coalesce(1).write.mode(mode).option("header", header).csv(path)
+def write_csv(result: DataFrame, path: str, header: bool = False, mode: str = "overwrite",
+              single_file: bool = True) -> None:
+    """K1/K2: ``key,value[,value]`` lines, no header by default."""
+    out = result.coalesce(1) if single_file else result
+    out.write.mode(mode).option("header", header).csv(path)
 
 
-def write_json(result: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K3: one JSON object per result row, one part file."""
-    result.coalesce(1).write.mode(mode).option("encoding", "UTF-8").json(path)
+def write_json(result: DataFrame, path: str, mode: str = "overwrite",
+               single_file: bool = True) -> None:
+    """K3: one JSON object per result row."""
+    out = result.coalesce(1) if single_file else result
+    out.write.mode(mode).option("encoding", "UTF-8").json(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,

@@ -91,7 +91,7 @@ _PLANS: dict[tuple[str, str, str], object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), os.path.abspath(sf_dir), what)
     if key not in _PLANS:
         _PLANS[key] = make()
     return _PLANS[key]
