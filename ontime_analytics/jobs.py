@@ -9,6 +9,11 @@
 * ``--master`` / ``--acftref`` are the registry files (model jobs only).
 * each result goes to ``OUT/<query>/csv`` and ``OUT/<query>/json``.
 
+Results that are views of one aggregate (the airport, model and
+daylight-saving families) are derived from that aggregate, computed once per
+job and stored under ``spark.checkpoint.dir``: the flights are scanned once
+per family instead of once per result.
+
 ``ingest`` lands raw files in the lake: ``python -m ontime_analytics ingest
 --flights RAW_DIR --out LAKE_DIR [--header]``.
 """
@@ -22,8 +27,8 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, materialize_dimension
-from ontime_analytics.plans.catalog import QUERIES, build
-from ontime_analytics.session import get_session
+from ontime_analytics.plans.catalog import QUERIES, SUMMARIES, build
+from ontime_analytics.session import checkpoint_dir, get_session
 from ontime_analytics.sinks import write_csv, write_json
 from ontime_analytics.sources import (
     ingest_flights,
@@ -76,17 +81,39 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
         if needs_flights:  # build once, shared by all of the job's queries
             aircraft, rows = materialize_dimension(aircraft)
             join = ModelJoin(aircraft_rows=rows)
+    shared = shared_summaries(names, flights, aircraft, join)
     for name in names:
         q = QUERIES[name]
         kw = dict((params or {}).get(name, {}))
-        if q.needs_aircraft and q.flights:
-            kw.setdefault("join", join)
-        result = build(name, flights, aircraft, **kw)
+        if name in shared:
+            summary, views = shared[name]
+            result = views[name](summary, **kw)
+        else:
+            if q.needs_aircraft and q.flights:
+                kw.setdefault("join", join)
+            result = build(name, flights, aircraft, **kw)
         write_csv(result, os.path.join(out, name, "csv"), single_file=q.small_result)
         write_json(result, os.path.join(out, name, "json"), single_file=q.small_result)
     return list(names)
 
 
+def shared_summaries(names, flights, aircraft, join) -> dict[str, tuple[DataFrame, dict]]:
+    """For each summary with two or more requested views: compute it once
+    (one scan of the flights), store it under the checkpoint folder - it is
+    small, and a lost executor then re-reads it instead of re-scanning - and
+    map each of those query names to (stored summary, views)."""
+    out = {}
+    for summary in SUMMARIES.values():
+        wanted = [n for n in names if n in summary.views]
+        if len(wanted) < 2:
+            continue
+        df = summary.make(flights, aircraft, join) if summary.needs_aircraft else summary.make(flights)
+        checkpoint_dir(df.sparkSession)
+        stored = df.checkpoint(eager=True)
+        out.update({n: (stored, summary.views) for n in wanted})
+    return out
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="python -m ontime_analytics", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)

@@ -90,27 +90,30 @@ class ModelJoin:
 
 
 def aggregate_by_model(flights: DataFrame, aircraft: DataFrame,
-                       measures: Mapping[str, Column], how: str = "left",
-                       join: ModelJoin | None = None) -> DataFrame:
+                       measures: Mapping[str, Column], join: ModelJoin | None = None,
+                       matched: tuple[str, ...] = ()) -> DataFrame:
     """Sum each per-row ``measures`` column per aircraft model.
 
-    ``how='left'`` keeps flights without a registry match under the model
-    ``Unavailable`` (J3 + P10); ``how='inner'`` drops them (J4).  Measures must
-    be non-NULL numbers (use 0/1 flags and ``coalesce``)."""
-    if how not in ("left", "inner"):
-        raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    Flights without a registry match count under the model ``Unavailable``
+    (J3 + P10).  For every name in ``matched`` there is also
+    ``matched_<name>``: the same sum over the flights that did match the
+    registry (J4, inner-join semantics).  Measures must be non-NULL numbers
+    (use 0/1 flags and ``coalesce``)."""
     join = join or ModelJoin()
     names = list(measures)
     keyed = flights.select(tail_key("tail_num").alias("tail"),
                            *[measures[n].cast("long").alias(n) for n in names])
     dim = aircraft.select("tail", "model")
-    sums = [F.sum(n).alias(n) for n in names]
     if join.use_broadcast(aircraft):
-        joined = keyed.join(F.broadcast(dim), "tail", how)
+        joined = keyed.join(F.broadcast(dim), "tail", "left")
     else:
         # the check said "too big to broadcast": keep it a sort-merge join even
         # if the optimizer's own estimate of the dimension is small
-        per_tail = keyed.groupBy("tail").agg(*sums)
-        joined = per_tail.join(dim.hint("shuffle_merge"), "tail", how)
-    model = F.coalesce(F.col("model"), F.lit(S.UNAVAILABLE_MODEL)) if how == "left" else F.col("model")
-    return joined.groupBy(model.alias("model")).agg(*sums)
+        per_tail = keyed.groupBy("tail").agg(*[F.sum(n).alias(n) for n in names])
+        joined = per_tail.join(dim.hint("shuffle_merge"), "tail", "left")
+    model = F.col("model")
+    sums = [F.sum(n).alias(n) for n in names]
+    sums += [F.sum(F.when(model.isNotNull(), F.col(n)).otherwise(F.lit(0))).alias(f"matched_{n}")
+             for n in matched]
+    label = F.coalesce(model, F.lit(S.UNAVAILABLE_MODEL))
+    return joined.groupBy(label.alias("model")).agg(*sums)

@@ -1,5 +1,12 @@
 """Per origin airport (Q6-Q14): delayed counts, mean delay, delay percent,
-their thresholds and rankings."""
+their thresholds and rankings.
+
+All eleven results are views of one aggregate, :func:`airport_summary` (one
+scan, one map-side-combined aggregate per origin).  Each query function below
+takes the flights and plans ``view(summary(flights))``; a job producing
+several of them computes the summary once and derives every result from it
+(``FROM_SUMMARY``), so the flights are scanned once per job, not per result.
+"""
 
 from __future__ import annotations
 
@@ -13,73 +20,111 @@ from ontime_analytics.operators.ranking import at_least, at_most, bottom_k, top_
 KEY = ["origin"]
 
 
-def _delayed_per_airport(flights: DataFrame) -> DataFrame:
-    return (flights.filter(has_delay())
-            .groupBy("origin").agg(F.count(F.lit(1)).alias("delayed_flights")))
+def airport_summary(flights: DataFrame) -> DataFrame:
+    """Per origin: delayed flights, their delay minutes, and flights with a
+    parsable delay (every delayed flight is one of them)."""
+    delayed = has_delay()
+    return flights.groupBy("origin").agg(
+        F.count_if(delayed).alias("delayed_flights"),
+        F.coalesce(F.sum(F.when(delayed, F.col("dep_delay"))), F.lit(0)).cast("long")
+        .alias("delay_minutes"),
+        F.count("dep_delay").alias("timed_flights"),
+    )
+
+
+# --- views of the summary -------------------------------------------------
+
+def _counts(summary: DataFrame) -> DataFrame:
+    """Delayed flights per origin; airports without any are absent."""
+    return summary.filter(F.col("delayed_flights") > 0).select("origin", "delayed_flights")
+
+
+def _averages(summary: DataFrame) -> DataFrame:
+    return summary.filter(F.col("delayed_flights") > 0).select(
+        "origin", truncated_mean("delay_minutes", "delayed_flights").alias("avg_delay_trunc"),
+        exact_mean("delay_minutes", "delayed_flights").alias("avg_delay"))
+
+
+def _percents(summary: DataFrame) -> DataFrame:
+    """Delay percent among flights with a parsable delay."""
+    return summary.filter(F.col("timed_flights") > 0).select(
+        "origin", percent("delayed_flights", "timed_flights").alias("delay_percent"))
+
 
+FROM_SUMMARY = {
+    "airport_delay_count": lambda s: _counts(s).orderBy("delayed_flights", "origin"),
+    "airport_delay_count_upper": lambda s, min_count=S.AIRPORT_COUNT_UPPER:
+        at_least(_counts(s), "delayed_flights", min_count),
+    "airport_delay_count_lower": lambda s, max_count=S.AIRPORT_COUNT_LOWER:
+        at_most(_counts(s), "delayed_flights", max_count),
+    "airport_average_delay": _averages,
+    "airport_delay_percent": lambda s: _percents(s).orderBy("delay_percent", "origin"),
+    "airport_delay_percent_upper": lambda s, min_pct=S.AIRPORT_PERCENT_UPPER:
+        at_least(_percents(s), "delay_percent", min_pct),
+    "airport_delay_percent_lower": lambda s, max_pct=S.AIRPORT_PERCENT_LOWER:
+        at_most(_percents(s), "delay_percent", max_pct),
+    "airport_count_top": lambda s, k=S.TOP_K: top_k(_counts(s), "delayed_flights", k, KEY),
+    "airport_count_bottom": lambda s, k=S.TOP_K: bottom_k(_counts(s), "delayed_flights", k, KEY),
+    "airport_percent_top": lambda s, k=S.TOP_K: top_k(_percents(s), "delay_percent", k, KEY),
+    "airport_percent_bottom": lambda s, k=S.TOP_K: bottom_k(_percents(s), "delay_percent", k, KEY),
+}
 
-def _percent_per_airport(flights: DataFrame) -> DataFrame:
-    agg = (flights.filter(F.col("dep_delay").isNotNull()).groupBy("origin")
-           .agg(F.count_if(has_delay()).alias("_delayed"), F.count(F.lit(1)).alias("_n")))
-    return agg.select("origin", percent("_delayed", "_n").alias("delay_percent"))
 
+# --- the queries ------------------------------------------------------------
 
 def airport_delay_count(flights: DataFrame) -> DataFrame:
     """Q6: delayed flights per origin (airports without any are absent), as
     the full listing in ascending order of count (O3), ties by airport."""
-    return _delayed_per_airport(flights).orderBy("delayed_flights", "origin")
+    return FROM_SUMMARY["airport_delay_count"](airport_summary(flights))
 
 
 def airport_delay_count_upper(flights: DataFrame, min_count: int = S.AIRPORT_COUNT_UPPER) -> DataFrame:
     """Q7: Q6 rows with at least ``min_count`` delayed flights."""
-    return at_least(_delayed_per_airport(flights), "delayed_flights", min_count)
+    return FROM_SUMMARY["airport_delay_count_upper"](airport_summary(flights), min_count)
 
 
 def airport_delay_count_lower(flights: DataFrame, max_count: int = S.AIRPORT_COUNT_LOWER) -> DataFrame:
     """Q8: Q6 rows with at most ``max_count`` delayed flights."""
-    return at_most(_delayed_per_airport(flights), "delayed_flights", max_count)
+    return FROM_SUMMARY["airport_delay_count_lower"](airport_summary(flights), max_count)
 
 
 def airport_average_delay(flights: DataFrame) -> DataFrame:
     """Q9: mean departure delay of delayed flights per origin, truncated
     (integer division, as published) and exact."""
-    agg = (flights.filter(has_delay()).groupBy("origin")
-           .agg(F.sum("dep_delay").alias("_total"), F.count(F.lit(1)).alias("_n")))
-    return agg.select("origin", truncated_mean("_total", "_n").alias("avg_delay_trunc"),
-                      exact_mean("_total", "_n").alias("avg_delay"))
+    return FROM_SUMMARY["airport_average_delay"](airport_summary(flights))
 
 
 def airport_delay_percent(flights: DataFrame) -> DataFrame:
     """Q10: percent of flights with a parsable delay that are delayed, per
     origin, in ascending order of percent (O4), ties by airport."""
-    return _percent_per_airport(flights).orderBy("delay_percent", "origin")
+    return FROM_SUMMARY["airport_delay_percent"](airport_summary(flights))
 
 
 def airport_delay_percent_upper(flights: DataFrame, min_pct: float = S.AIRPORT_PERCENT_UPPER) -> DataFrame:
     """Q11: Q10 rows at or above ``min_pct``."""
-    return at_least(_percent_per_airport(flights), "delay_percent", min_pct)
+    return FROM_SUMMARY["airport_delay_percent_upper"](airport_summary(flights), min_pct)
 
 
 def airport_delay_percent_lower(flights: DataFrame, max_pct: float = S.AIRPORT_PERCENT_LOWER) -> DataFrame:
     """Q12: Q10 rows at or below ``max_pct``."""
-    return at_most(_percent_per_airport(flights), "delay_percent", max_pct)
+    return FROM_SUMMARY["airport_delay_percent_lower"](airport_summary(flights), max_pct)
 
 
 def airport_count_top(flights: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Q13: the k airports with the most delayed flights."""
-    return top_k(_delayed_per_airport(flights), "delayed_flights", k, KEY)
+    return FROM_SUMMARY["airport_count_top"](airport_summary(flights), k)
 
 
 def airport_count_bottom(flights: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Q13: the k airports with the fewest delayed flights."""
-    return bottom_k(_delayed_per_airport(flights), "delayed_flights", k, KEY)
+    return FROM_SUMMARY["airport_count_bottom"](airport_summary(flights), k)
 
 
 def airport_percent_top(flights: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Q14: the k airports with the highest delay percent."""
-    return top_k(_percent_per_airport(flights), "delay_percent", k, KEY)
+    return FROM_SUMMARY["airport_percent_top"](airport_summary(flights), k)
 
 
 def airport_percent_bottom(flights: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Q14: the k airports with the lowest delay percent."""
-    return bottom_k(_percent_per_airport(flights), "delay_percent", k, KEY)
+    return FROM_SUMMARY["airport_percent_bottom"](airport_summary(flights), k)

@@ -1,4 +1,7 @@
-"""Delays on daylight-saving crossover days, per year (Q15, Q16)."""
+"""Delays on daylight-saving crossover days, per year (Q15, Q16).
+
+Both are views of :func:`dst_summary` (crossover-day flights, one aggregate
+per year), so a job producing both scans the flights once."""
 
 from __future__ import annotations
 
@@ -10,20 +13,35 @@ from ontime_analytics.functions.calendar import filter_dst_days
 from ontime_analytics.functions.parse import exact_mean, has_delay, percent, truncated_mean
 
 
+def dst_summary(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
+                last_year: int = S.DST_LAST_YEAR) -> DataFrame:
+    """Per year, on crossover days: delayed flights, their minutes, and
+    flights with a parsable delay."""
+    delayed = has_delay()
+    return filter_dst_days(flights, first_year, last_year).groupBy("year").agg(
+        F.count_if(delayed).alias("delayed_flights"),
+        F.coalesce(F.sum(F.when(delayed, F.col("dep_delay"))), F.lit(0)).cast("long")
+        .alias("delay_minutes"),
+        F.count("dep_delay").alias("timed_flights"),
+    )
+
+
+FROM_SUMMARY = {
+    "dst_average_delay": lambda s: s.filter(F.col("delayed_flights") > 0).select(
+        "year", truncated_mean("delay_minutes", "delayed_flights").alias("avg_delay_trunc"),
+        exact_mean("delay_minutes", "delayed_flights").alias("avg_delay")),
+    "dst_delay_percent": lambda s: s.filter(F.col("timed_flights") > 0).select(
+        "year", percent("delayed_flights", "timed_flights").alias("delay_percent")),
+}
+
+
 def dst_average_delay(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
                       last_year: int = S.DST_LAST_YEAR) -> DataFrame:
     """Q15: mean delay of delayed flights on crossover days, per year."""
-    agg = (filter_dst_days(flights, first_year, last_year).filter(has_delay())
-           .groupBy("year").agg(F.sum("dep_delay").alias("_total"), F.count(F.lit(1)).alias("_n")))
-    return agg.select("year", truncated_mean("_total", "_n").alias("avg_delay_trunc"),
-                      exact_mean("_total", "_n").alias("avg_delay"))
+    return FROM_SUMMARY["dst_average_delay"](dst_summary(flights, first_year, last_year))
 
 
 def dst_delay_percent(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
                       last_year: int = S.DST_LAST_YEAR) -> DataFrame:
     """Q16: percent of crossover-day flights (parsable delay) that are delayed, per year."""
-    agg = (filter_dst_days(flights, first_year, last_year)
-           .filter(F.col("dep_delay").isNotNull())
-           .groupBy("year").agg(F.count_if(has_delay()).alias("_delayed"),
-                                F.count(F.lit(1)).alias("_n")))
-    return agg.select("year", percent("_delayed", "_n").alias("delay_percent"))
+    return FROM_SUMMARY["dst_delay_percent"](dst_summary(flights, first_year, last_year))

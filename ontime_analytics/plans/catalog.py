@@ -103,6 +103,21 @@ FIXTURE_PARAMS: dict[str, dict] = {
 }
 
 
+@dataclass(frozen=True)
+class Summary:
+    """One aggregate several queries are views of (``views[name](summary, **params)``)."""
+    make: Callable[..., DataFrame]
+    views: dict
+    needs_aircraft: bool = False
+
+
+SUMMARIES: dict[str, Summary] = {
+    "airports": Summary(airports.airport_summary, airports.FROM_SUMMARY),
+    "models": Summary(models.model_summary, models.FROM_SUMMARY, needs_aircraft=True),
+    "dst": Summary(dst.dst_summary, dst.FROM_SUMMARY),
+}
+
+
 def build(name: str, flights: DataFrame | None, aircraft: DataFrame | None = None,
           **params) -> DataFrame:
     """Plan query ``name`` over typed inputs (lazy; nothing runs until an action)."""
