@@ -58,6 +58,9 @@ JOBS: dict[str, tuple[str, ...]] = {
     "airlines": ("monthly_airlines_delays", "flights_delays_by_model"),
     "aircraft": ("aircraft_dim",),
 }
+# every result in one run: the flights, the aircraft dimension and each
+# summary are shared across all families
+JOBS["all"] = tuple(dict.fromkeys(n for names in list(JOBS.values()) for n in names))
 
 
 def load_flights(spark: SparkSession, path: str, raw: bool, header: bool) -> DataFrame:

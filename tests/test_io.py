@@ -190,6 +190,7 @@ def test_jobs_share_one_scan_per_summary_and_match_the_queries(spark, tmp_path):
     """Job outputs derived from a stored summary equal the single queries."""
     from ontime_analytics.jobs import JOBS, run_job
     from ontime_analytics.operators.aircraft import ModelJoin
+    from ontime_analytics.plans.catalog import QUERIES
     from ontime_analytics.sources.fixture import (
         fixture_flights,
         master_lines_from_part,
@@ -203,15 +204,16 @@ def test_jobs_share_one_scan_per_summary_and_match_the_queries(spark, tmp_path):
     master_lines_from_part(part).write.text(str(tmp_path / "master"))
     model_lines_from_part(part).write.text(str(tmp_path / "acftref"))
     out = tmp_path / "out"
-    for job in ("airports", "model-delays", "dst"):
-        run_job(spark, job, str(tmp_path / "lake"), str(out), master=str(tmp_path / "master"),
-                acftref=str(tmp_path / "acftref"))
+    run_job(spark, "all", str(tmp_path / "lake"), str(out), master=str(tmp_path / "master"),
+            acftref=str(tmp_path / "acftref"))
     flights = read_flights(spark, str(tmp_path / "lake"))
     aircraft = aircraft_dimension(read_registry_master(spark, str(tmp_path / "master")),
                                   read_model_lookup(spark, str(tmp_path / "acftref")))
-    for name in JOBS["airports"] + JOBS["model-delays"] + JOBS["dst"]:
-        kw = {"join": ModelJoin()} if name.startswith("model") else {}
-        want = build(name, flights, aircraft if kw else None, **kw)
+    assert sorted(p.name for p in out.iterdir()) == sorted(JOBS["all"])
+    for name in JOBS["all"]:
+        q = QUERIES[name]
+        kw = {"join": ModelJoin()} if q.needs_aircraft and q.flights else {}
+        want = build(name, flights, aircraft, **kw)
         got = spark.read.schema(want.schema).json(str(out / name / "json"))
         norm = lambda df: sorted(map(tuple, df.collect()), key=str)
         assert norm(got) == norm(want), name
