@@ -4,8 +4,9 @@
 
 * ``--flights`` is either raw flight files (``--raw``, plain or ``.bz2``,
   ``--header`` if they still have one) or the typed Parquet lake written by
-  ``ingest``.  Over raw text every result re-reads the text, so for repeated
-  analysis ingest once and point ``--flights`` at the lake.
+  ``ingest``.  A job over raw text that scans the flights more than once
+  first types them once into a staged lake under ``spark.checkpoint.dir``
+  (the text is parsed once, not once per result).
 * ``--master`` / ``--acftref`` are the registry files (model jobs only).
 * each result goes to ``OUT/<query>/csv`` and ``OUT/<query>/json``.
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,7 @@ from ontime_analytics.sources import (
     read_model_lookup,
     read_registry_master,
 )
+from ontime_analytics.sources.ingest import write_flights_lake
 
 JOBS: dict[str, tuple[str, ...]] = {
     "flight-delays": ("delay_by_year", "delays_by_day_of_week", "delays_by_day_of_month",
@@ -75,6 +78,10 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
     needs_aircraft = any(QUERIES[n].needs_aircraft for n in names)
     needs_flights = any(QUERIES[n].flights for n in names)
     flights = load_flights(spark, flights_path, raw, header) if needs_flights else None
+    if raw and flight_scans(names) > 1:
+        staged = os.path.join(checkpoint_dir(spark), f"staged-flights-{uuid.uuid4().hex}")
+        write_flights_lake(flights, staged)
+        flights = read_flights(spark, staged)
     aircraft, join = None, None
     if needs_aircraft:
         if not (master and acftref):
@@ -100,6 +107,22 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
     return list(names)
 
 
+def flight_scans(names) -> int:
+    """Scans of the flights a run of ``names`` makes (one per shared summary)."""
+    scans, seen = 0, set()
+    for n in names:
+        if not QUERIES[n].flights:
+            continue
+        kind = next((k for k, s in SUMMARIES.items() if n in s.views
+                     and sum(m in s.views for m in names) >= 2), None)
+        if kind is None:
+            scans += 1
+        elif kind not in seen:
+            seen.add(kind)
+            scans += 1
+    return scans
+
+
 def shared_summaries(names, flights, aircraft, join) -> dict[str, tuple[DataFrame, dict]]:
     """For each summary with two or more requested views: compute it once
     (one scan of the flights), store it under the checkpoint folder - it is
