@@ -15,7 +15,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ontime_analytics.operators import airports, cancellations, delays, dst, impact, models, reasons
+from ontime_analytics.operators import (
+    airports,
+    cancellations,
+    delays,
+    dst,
+    impact,
+    models,
+    reasons,
+    summaries,
+)
 from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension
 from ontime_analytics.sources.fixture import fixture_aircraft, fixture_flights, fixture_registry
 
@@ -115,6 +124,9 @@ SUMMARIES: dict[str, Summary] = {
     "airports": Summary(airports.airport_summary, airports.FROM_SUMMARY),
     "models": Summary(models.model_summary, models.FROM_SUMMARY, needs_aircraft=True),
     "dst": Summary(dst.dst_summary, dst.FROM_SUMMARY),
+    # job-only: the single queries of these keep their direct one-key plans
+    "calendar": Summary(summaries.calendar_summary, summaries.CALENDAR_VIEWS),
+    "cancellations": Summary(summaries.cancellation_summary, summaries.CANCELLATION_VIEWS),
 }
 
 

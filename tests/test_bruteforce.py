@@ -252,3 +252,21 @@ def test_against_brute_force(inputs, name, strategy):
     kw = {"join": ModelJoin(strategy=strategy)} if strategy else {}
     got = {tuple(r[c] for c in COLUMNS[name]) for r in build(name, fl, aircraft, **kw).collect()}
     assert got == expected(name, data)
+
+
+def _summary_cases():
+    from ontime_analytics.plans.catalog import SUMMARIES
+
+    return [(kind, n) for kind, s in SUMMARIES.items() for n in s.views if n in COLUMNS]
+
+
+@pytest.mark.parametrize("kind,name", _summary_cases())
+def test_job_summary_views_against_brute_force(inputs, kind, name):
+    """The views the job runner derives from a shared summary, on dirty data."""
+    from ontime_analytics.plans.catalog import SUMMARIES
+
+    fl, aircraft, data = inputs
+    s = SUMMARIES[kind]
+    summary = s.make(fl, aircraft, ModelJoin()) if s.needs_aircraft else s.make(fl)
+    got = {tuple(r[c] for c in COLUMNS[name]) for r in s.views[name](summary).collect()}
+    assert got == expected(name, data)
