@@ -220,13 +220,18 @@ def test_jobs_share_one_scan_per_summary_and_match_the_queries(spark, tmp_path):
 
 
 def test_raw_multi_scan_job_stages_the_flights_once(spark, tmp_path):
-    from ontime_analytics.jobs import flight_scans, run_job
+    from ontime_analytics.jobs import JOBS, flight_scans, run_job
 
     src = tmp_path / "raw"
     write_text(src / "1987.csv.bz2", ROWS_1987, header=True, compress=True)
     write_text(src / "2008.csv.bz2", ROWS_2008, header=True, compress=True)
-    assert flight_scans(("delay_by_year", "delays_by_month")) == 2
+    assert flight_scans(JOBS["cancellations"]) == 2  # cancellation summary + per carrier
+    assert flight_scans(JOBS["flight-delays"]) == 1  # calendar summary
     out = tmp_path / "out"
+    run_job(spark, "cancellations", str(src), str(out), raw=True, header=True)
+    got = {line for p in (out / "cancellations_by_carrier" / "csv").glob("part-*")
+           for line in p.read_text().splitlines()}
+    assert got == {"PS,3,1", "AA,2,0", ",1,0"}  # the short row has no carrier (NULL)
     run_job(spark, "flight-delays", str(src), str(out), raw=True, header=True)
     got = {tuple(int(v) for v in line.split(","))
            for p in (out / "delay_by_year" / "csv").glob("part-*") for line in p.read_text().splitlines()}
