@@ -1,8 +1,8 @@
 """Run every named query in Spark and its SQL in DuckDB; compare the results.
 
 Usage: ``python tests/oracle_check.py [sf_dir] [name ...]``.  The comparison
-is order-insensitive on rows and requires identical column names, row counts
-and values (floats compared exactly, as the driver's value hash does).
+is order-insensitive on rows and requires identical column names and types,
+row counts and values (floats compared exactly, as the driver's value hash does).
 """
 
 from __future__ import annotations
@@ -44,15 +44,23 @@ def _rows(columns, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN"}
+
+
 def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     sdf = E.queries()[name](spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     rel = con.sql(E.oracle_sql()[name])
     d_cols = rel.columns
+    d_types = dict(zip(d_cols, map(str, rel.types)))
     d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duckdb={d_cols}"
+    if s_types != d_types:
+        return False, f"types differ: spark={s_types} duckdb={d_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count differs: spark={len(s_rows)} duckdb={len(d_rows)}"
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
