@@ -90,12 +90,6 @@ STRING_FIELDS = (
     ("Origin", "origin"),
 )
 
-# Raw columns a typed table is built from (the other 12 are never read).
-USED_RAW_COLUMNS = tuple(
-    [r for r, _ in INT_FIELDS] + [r for r, _ in STRING_FIELDS]
-    + ["TailNum", "Cancelled", "CancellationCode"]
-)
-
 FLIGHTS_SCHEMA = StructType(
     [StructField("year", IntegerType()), StructField("month", IntegerType()),
      StructField("day_of_month", IntegerType()), StructField("day_of_week", IntegerType()),
@@ -115,9 +109,3 @@ MASTER_TAIL_SLICE = (0, 5)
 MASTER_MODEL_CODE_SLICE = (37, 43)
 ACFTREF_MODEL_CODE_SLICE = (0, 6)
 ACFTREF_MODEL_NAME_SLICE = (39, 58)
-
-AIRCRAFT_SCHEMA = StructType([
-    StructField("tail", StringType()),
-    StructField("mfr_model_code", StringType()),
-    StructField("model", StringType()),
-])
