@@ -73,8 +73,13 @@ def load_flights(spark: SparkSession, path: str, raw: bool, header: bool) -> Dat
 def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, raw: bool = False,
             header: bool = False, master: str | None = None, acftref: str | None = None,
             params: dict[str, dict] | None = None) -> list[str]:
-    """Run every query of ``job`` and write its results; returns the query names."""
+    """Run every query of ``job`` and write its results; returns the query names.
+
+    ``all`` without registry files runs every result that needs no aircraft."""
     names = JOBS[job]
+    if job == "all" and not (master and acftref):
+        names = tuple(n for n in names if not QUERIES[n].needs_aircraft)
+        print("no --master/--acftref: the aircraft-model results are skipped", file=sys.stderr)
     needs_aircraft = any(QUERIES[n].needs_aircraft for n in names)
     needs_flights = any(QUERIES[n].flights for n in names)
     flights = load_flights(spark, flights_path, raw, header) if needs_flights else None

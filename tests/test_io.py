@@ -236,3 +236,14 @@ def test_raw_multi_scan_job_stages_the_flights_once(spark, tmp_path):
     got = {tuple(int(v) for v in line.split(","))
            for p in (out / "delay_by_year" / "csv").glob("part-*") for line in p.read_text().splitlines()}
     assert got == {(1987, 16 + 45, 3), (2008, 30, 3)}
+
+
+def test_all_job_without_registry_skips_model_results(spark, tmp_path):
+    from ontime_analytics.jobs import run_job
+    from ontime_analytics.plans.catalog import QUERIES
+
+    src = tmp_path / "raw"
+    write_text(src / "1987.csv", ROWS_1987, header=True)
+    names = run_job(spark, "all", str(src), str(tmp_path / "out"), raw=True, header=True)
+    assert names and not any(QUERIES[n].needs_aircraft for n in names)
+    assert len(names) == sum(1 for q in QUERIES.values() if not q.needs_aircraft)
