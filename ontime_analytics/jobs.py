@@ -26,6 +26,7 @@ import os
 import sys
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, materialize_dimension
@@ -107,8 +108,13 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
             if q.needs_aircraft and q.flights:
                 kw.setdefault("join", join)
             result = build(name, flights, aircraft, **kw)
-        write_csv(result, os.path.join(out, name, "csv"), single_file=q.small_result)
-        write_json(result, os.path.join(out, name, "json"), single_file=q.small_result)
+        # computed once for both formats (a lost block is recomputed from lineage)
+        result = result.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_csv(result, os.path.join(out, name, "csv"), single_file=q.small_result)
+            write_json(result, os.path.join(out, name, "json"), single_file=q.small_result)
+        finally:
+            result.unpersist()
     return list(names)
 
 
