@@ -91,6 +91,7 @@ def filter_dst_days(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
     """Keep the flights on crossover days (broadcast left-semi join with the
     calendar; its size is 2 x the number of years, fixed by the parameters)."""
     cal = dst_calendar(flights.sparkSession, first_year, last_year)
-    pruned = (flights.filter(dst_year_range("year", first_year, last_year))
-              .filter(F.col("month").isin(3, 4, 10, 11)))
+    # the month set first: it drops 2/3 of the rows, the year range hardly any
+    pruned = (flights.filter(F.col("month").isin(3, 4, 10, 11))
+              .filter(dst_year_range("year", first_year, last_year)))
     return pruned.join(F.broadcast(cal), ["year", "month", "day_of_month"], "left_semi")
