@@ -4,6 +4,8 @@ from ontime_analytics.functions.calendar import dst_calendar, filter_dst_days, i
 from ontime_analytics.functions.parse import (
     cancellation_reason,
     distance_band,
+    distance_band_index,
+    distance_band_label,
     exact_mean,
     has_delay,
     int_div,
@@ -18,7 +20,7 @@ from ontime_analytics.functions.parse import (
 )
 
 __all__ = [
-    "cancellation_reason", "distance_band", "dst_calendar", "exact_mean", "filter_dst_days", "has_delay",
+    "cancellation_reason", "distance_band", "distance_band_index", "distance_band_label", "dst_calendar", "exact_mean", "filter_dst_days", "has_delay",
     "int_div", "is_cancelled", "is_dst_crossover", "month_name", "net_delay_positive",
     "percent", "strict_int", "tail_key", "truncated_mean", "weekday_name",
 ]

@@ -59,17 +59,32 @@ def cancellation_reason(cancel_code: Column | str = "cancel_code") -> Column:
     return _lookup(F.upper(_col(cancel_code)), S.CANCELLATION_REASONS)
 
 
-def distance_band(distance: Column | str = "distance") -> Column:
-    """500-mile band label, upper bound inclusive; NULL/negative -> 'NA'."""
+def distance_band_index(distance: Column | str = "distance") -> Column:
+    """P7, numeric: -1 for NULL/negative, 0 for 0-500, k for the k-th 500-mile
+    band above it (upper bound inclusive), and the last index above 5000."""
     d = _col(distance)
     w = S.DISTANCE_BAND_WIDTH
-    lo = int_div(d - 1, F.lit(w)) * w + 1
-    return (
-        F.when(d.isNull() | (d < 0), F.lit("NA"))
-        .when(d <= w, F.lit(f"0-{w}"))
-        .when(d > S.DISTANCE_BAND_MAX, F.lit(f"> {S.DISTANCE_BAND_MAX}"))
-        .otherwise(F.concat(lo.cast("string"), F.lit("-"), (lo + (w - 1)).cast("string")))
-    )
+    top = S.DISTANCE_BAND_MAX // w
+    return (F.when(d.isNull() | (d < 0), F.lit(-1))
+            .when(d <= w, F.lit(0))
+            .when(d > S.DISTANCE_BAND_MAX, F.lit(top))
+            .otherwise(int_div(d - 1, F.lit(w)).cast("int")))
+
+
+def distance_band_label(index: Column | str) -> Column:
+    """Label of a band index: 'NA', '0-500', '501-1000', ..., '> 5000'."""
+    i = _col(index)
+    w = S.DISTANCE_BAND_WIDTH
+    top = S.DISTANCE_BAND_MAX // w
+    return (F.when(i == -1, F.lit("NA"))
+            .when(i == 0, F.lit(f"0-{w}"))
+            .when(i == top, F.lit(f"> {S.DISTANCE_BAND_MAX}"))
+            .otherwise(F.concat((i * w + 1).cast("string"), F.lit("-"), ((i + 1) * w).cast("string"))))
+
+
+def distance_band(distance: Column | str = "distance") -> Column:
+    """500-mile band label, upper bound inclusive; NULL/negative -> 'NA'."""
+    return distance_band_label(distance_band_index(distance))
 
 
 def tail_key(tail_num: Column | str = "tail_num") -> Column:
