@@ -38,10 +38,12 @@ FROM_SUMMARY = {
 def dst_average_delay(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
                       last_year: int = S.DST_LAST_YEAR) -> DataFrame:
     """Q15: mean delay of delayed flights on crossover days, per year."""
-    return FROM_SUMMARY["dst_average_delay"](dst_summary(flights, first_year, last_year))
+    # only delayed rows can change this view (see airports.PREFILTERS)
+    return FROM_SUMMARY["dst_average_delay"](dst_summary(flights.filter(has_delay()), first_year, last_year))
 
 
 def dst_delay_percent(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
                       last_year: int = S.DST_LAST_YEAR) -> DataFrame:
     """Q16: percent of crossover-day flights (parsable delay) that are delayed, per year."""
-    return FROM_SUMMARY["dst_delay_percent"](dst_summary(flights, first_year, last_year))
+    timed = flights.filter(F.col("dep_delay").isNotNull())
+    return FROM_SUMMARY["dst_delay_percent"](dst_summary(timed, first_year, last_year))

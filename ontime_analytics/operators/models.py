@@ -78,7 +78,30 @@ FROM_SUMMARY = {
 }
 
 
+def _known_delayed_rows():
+    return has_delay() & F.coalesce(F.col("tail_num") != "NA", F.lit(False))
+
+
+def _timed_rows():
+    return F.col("dep_delay").isNotNull()
+
+
+# Rows that cannot change a view are dropped before a single query joins and
+# aggregates (they add 0 to every measure it reads; groups made only of them
+# are removed by its filter).  The inner-join and all-flights views keep all.
+PREFILTERS = {
+    "model_delay_count": _known_delayed_rows, "model_delay_count_upper": _known_delayed_rows,
+    "model_average_delay": _known_delayed_rows, "model_average_delay_upper": _known_delayed_rows,
+    "model_count_top": _known_delayed_rows, "model_count_bottom": _known_delayed_rows,
+    "model_average_top": _known_delayed_rows,
+    "model_delay_percent": _timed_rows, "model_delay_percent_upper": _timed_rows,
+    "model_percent_top": _timed_rows,
+}
+
+
 def _view(name: str, flights: DataFrame, aircraft: DataFrame, join: ModelJoin | None, *params):
+    if name in PREFILTERS:
+        flights = flights.filter(PREFILTERS[name]())
     return FROM_SUMMARY[name](model_summary(flights, aircraft, join), *params)
 
 
