@@ -9,6 +9,8 @@
   (the text is parsed once, not once per result).
 * ``--master`` / ``--acftref`` are the registry files (model jobs only).
 * each result goes to ``OUT/<query>/csv`` and ``OUT/<query>/json``.
+* ``--param QUERY.NAME=VALUE`` (repeatable) sets a threshold or ``k``, e.g.
+  ``--param airport_delay_count_upper.min_count=92625 --param model_count_top.k=50``.
 
 Results that are views of one aggregate (the airport, model and
 daylight-saving families) are derived from that aggregate, computed once per
@@ -151,6 +153,25 @@ def shared_summaries(names, flights, aircraft, join) -> dict[str, tuple[DataFram
     return out
 
 
+def parse_params(items: list[str]) -> dict[str, dict]:
+    """``["query.name=value", ...]`` -> ``{query: {name: int | float | str}}``."""
+    out: dict[str, dict] = {}
+    for item in items:
+        key, _, raw = item.partition("=")
+        query, _, name = key.partition(".")
+        if not (query and name and raw) or query not in QUERIES:
+            raise SystemExit(f"bad --param {item!r}: expected QUERY.NAME=VALUE for a known query")
+        value: int | float | str = raw
+        for cast in (int, float):
+            try:
+                value = cast(raw)
+                break
+            except ValueError:
+                pass
+        out.setdefault(query, {})[name] = value
+    return out
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="python -m ontime_analytics", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -162,13 +183,16 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", help="registry MASTER file(s)")
     ap.add_argument("--acftref", help="registry ACFTREF file(s)")
     ap.add_argument("--master-url", help="Spark master, e.g. local[8] (default: from spark-submit)")
+    ap.add_argument("--param", action="append", default=[], metavar="QUERY.NAME=VALUE",
+                    help="threshold or k of one query (repeatable)")
     a = ap.parse_args(argv)
+    params = parse_params(a.param)
     spark = get_session(f"ontime_{a.job}", master=a.master_url)
     if a.job == "ingest":
         ingest_flights(spark, a.flights, a.out, header=a.header)
     else:
         run_job(spark, a.job, a.flights, a.out, raw=a.raw, header=a.header,
-                master=a.master, acftref=a.acftref)
+                master=a.master, acftref=a.acftref, params=params)
     return 0
 
 

@@ -247,3 +247,24 @@ def test_all_job_without_registry_skips_model_results(spark, tmp_path):
     names = run_job(spark, "all", str(src), str(tmp_path / "out"), raw=True, header=True)
     assert names and not any(QUERIES[n].needs_aircraft for n in names)
     assert len(names) == sum(1 for q in QUERIES.values() if not q.needs_aircraft)
+
+
+def test_cli_params(spark, tmp_path):
+    import pytest
+
+    from ontime_analytics.jobs import main, parse_params
+
+    assert parse_params(["airport_delay_count_upper.min_count=2", "airport_delay_percent_upper.min_pct=40.5",
+                         "model_count_top.k=3"]) == {
+        "airport_delay_count_upper": {"min_count": 2}, "airport_delay_percent_upper": {"min_pct": 40.5},
+        "model_count_top": {"k": 3}}
+    with pytest.raises(SystemExit):
+        parse_params(["no_such_query.k=3"])
+    src = tmp_path / "raw"
+    write_text(src / "1987.csv", ROWS_1987, header=True)
+    out = tmp_path / "out"
+    assert main(["airports", "--raw", "--header", "--flights", str(src), "--out", str(out),
+                 "--param", "airport_delay_count_upper.min_count=1"]) == 0
+    got = [line for p in (out / "airport_delay_count_upper" / "csv").glob("part-*")
+           for line in p.read_text().splitlines()]
+    assert sorted(got) == ["LAX,1", "SAN,1"]
