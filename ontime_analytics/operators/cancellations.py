@@ -11,22 +11,34 @@ from ontime_analytics.functions.parse import cancellation_reason, is_cancelled
 
 def cancellations_by_reason(flights: DataFrame) -> DataFrame:
     """Q23: cancelled flights per reason, plus the row ``All Flights`` holding
-    the number of *all* flights.
+    the number of *all* flights (0 on empty input).
 
-    One scan: the flights are aggregated once on (cancelled?, reason) - a
-    handful of groups - and a ``rollup`` over that tiny result yields both the
-    per-reason rows (grouping id 0, cancelled) and the grand total (grouping
-    id 3).  An unknown code on a cancelled flight stays the NULL reason,
-    distinct from the total row."""
+    The reasons are a fixed set (the code map, plus NULL for an unknown code
+    on a cancelled flight), so this is one global aggregate - the total and one
+    conditional count per reason, partial per task - unpivoted into rows;
+    reasons that do not occur are left out, the total row always stays."""
     c = is_cancelled()
-    small = (flights.groupBy(c.alias("_c"), F.when(c, cancellation_reason()).alias("reason"))
-             .agg(F.count(F.lit(1)).alias("_n")))
-    rolled = small.rollup("_c", "reason").agg(F.sum("_n").alias("flights"),
-                                             F.grouping_id().alias("_g"))
-    g = F.col("_g")
-    return (rolled.filter(((g == 0) & F.col("_c")) | (g == 3))
-            .select(F.when(g == 3, F.lit(S.ALL_FLIGHTS_LABEL)).otherwise(F.col("reason")).alias("reason"),
-                    F.col("flights").cast("long").alias("flights")))
+    reason = cancellation_reason()
+    labels = [label for _, label in S.CANCELLATION_REASONS]
+    row = flights.agg(
+        F.count(F.lit(1)).alias("_all"),
+        *[F.count_if(c & (reason == label)).alias(f"_r{i}") for i, label in enumerate(labels)],
+        F.count_if(c & reason.isNull()).alias("_unknown"),
+    )
+    return _reason_rows(row, "_all", [f"_r{i}" for i in range(len(labels))], "_unknown")
+
+
+def _reason_rows(row: DataFrame, total: str, per_label: list[str], unknown: str) -> DataFrame:
+    """One-row counts -> (reason, flights) rows: the total, then each reason
+    that occurs (labels in code-map order, then the unknown-code NULL)."""
+    labels = [label for _, label in S.CANCELLATION_REASONS]
+    structs = [F.struct(F.lit(S.ALL_FLIGHTS_LABEL).alias("reason"), F.col(total).alias("flights"))]
+    structs += [F.struct(F.lit(label).alias("reason"), F.col(c).alias("flights"))
+                for label, c in zip(labels, per_label)]
+    structs.append(F.struct(F.lit(None).cast("string").alias("reason"), F.col(unknown).alias("flights")))
+    rows = row.select(F.inline(F.array(*structs)))
+    keep = F.coalesce(F.col("reason") == S.ALL_FLIGHTS_LABEL, F.lit(False)) | (F.col("flights") > 0)
+    return rows.filter(keep).select("reason", F.col("flights").cast("long").alias("flights"))
 
 
 def cancellations_by_month_reason(flights: DataFrame) -> DataFrame:

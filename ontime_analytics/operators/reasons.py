@@ -15,16 +15,18 @@ from ontime_analytics.functions.parse import exact_mean
 
 
 def _unpivot(row: DataFrame, fields: list[str]) -> DataFrame:
-    """One row with ``{label}__{field}`` columns -> one row per reason label."""
+    """One row with ``{label}__{field}`` columns -> one row per reason label;
+    nothing for empty input (``_rows`` = 0), where there is no pair to count."""
     structs = [F.struct(F.lit(label).alias("reason"),
                         *[F.col(f"{label}__{f}").alias(f) for f in fields])
                for label, _ in S.DELAY_REASONS]
-    return row.select(F.inline(F.array(*structs)))
+    return row.filter(F.col("_rows") > 0).select(F.inline(F.array(*structs)))
 
 
 def delay_reason_counts(flights: DataFrame) -> DataFrame:
     """Q27: per reason, flights with a parsed delay above zero; all five kept."""
-    row = flights.agg(*[F.count_if(F.col(c) > 0).alias(f"{label}__flights")
+    row = flights.agg(F.count(F.lit(1)).alias("_rows"),
+                      *[F.count_if(F.col(c) > 0).alias(f"{label}__flights")
                         for label, c in S.DELAY_REASONS])
     return _unpivot(row, ["flights"])
 
@@ -32,7 +34,7 @@ def delay_reason_counts(flights: DataFrame) -> DataFrame:
 def delay_reason_minutes(flights: DataFrame) -> DataFrame:
     """Q28: per reason, total minutes and number of flights with a parsable
     value (zeros count), plus their mean."""
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for label, c in S.DELAY_REASONS:
         aggs.append(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"{label}__minutes"))
         aggs.append(F.count(c).alias(f"{label}__flights"))

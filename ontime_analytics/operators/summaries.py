@@ -25,6 +25,7 @@ from ontime_analytics.functions.parse import (
     net_delay_positive,
     weekday_name,
 )
+from ontime_analytics.operators.cancellations import _reason_rows
 
 
 def _sum(c: str) -> Column:
@@ -87,23 +88,29 @@ def _reason(s: DataFrame) -> Column:
 
 def _by_reason(s: DataFrame) -> DataFrame:
     c = F.col("is_cancelled")
-    small = s.groupBy(c.alias("_c"), F.when(c, _reason(s)).alias("reason")).agg(F.sum("flights").alias("_n"))
-    rolled = small.rollup("_c", "reason").agg(F.sum("_n").alias("flights"), F.grouping_id().alias("_g"))
-    g = F.col("_g")
-    return (rolled.filter(((g == 0) & F.col("_c")) | (g == 3))
-            .select(F.when(g == 3, F.lit(S.ALL_FLIGHTS_LABEL)).otherwise(F.col("reason")).alias("reason"),
-                    F.col("flights").cast("long").alias("flights")))
+    reason = _reason(s)
+    labels = [label for _, label in S.CANCELLATION_REASONS]
+    n = F.col("flights")
+    row = s.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("_all"),
+        *[F.coalesce(F.sum(F.when(c & (reason == label), n)), F.lit(0)).alias(f"_r{i}")
+          for i, label in enumerate(labels)],
+        F.coalesce(F.sum(F.when(c & reason.isNull(), n)), F.lit(0)).alias("_unknown"),
+    )
+    return _reason_rows(row, "_all", [f"_r{i}" for i in range(len(labels))], "_unknown")
 
 
 def _reasons_unpivot(s: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """Global totals per delay reason, one row per reason label."""
-    row = s.agg(*[F.sum(f"{c}_{src}").cast("long").alias(f"{c}__{out}")
+    """Global totals per delay reason, one row per reason label (none for
+    empty input)."""
+    row = s.agg(F.coalesce(F.sum("flights"), F.lit(0)).alias("_rows"),
+                *[F.sum(f"{c}_{src}").cast("long").alias(f"{c}__{out}")
                   for _, c in S.DELAY_REASONS for out, src in fields.items()])
     structs = [F.struct(F.lit(label).alias("reason"),
                         *[F.coalesce(F.col(f"{c}__{out}"), F.lit(0).cast("long")).alias(out)
                           for out in fields])
                for label, c in S.DELAY_REASONS]
-    return row.select(F.inline(F.array(*structs)))
+    return row.filter(F.col("_rows") > 0).select(F.inline(F.array(*structs)))
 
 
 CANCELLATION_VIEWS = {

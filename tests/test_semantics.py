@@ -267,3 +267,23 @@ def test_size_check_falls_back_to_shuffle(spark, registry):
     assert ModelJoin().use_broadcast(registry)
     assert not ModelJoin(broadcast_max_bytes=10).use_broadcast(registry)
     assert not ModelJoin(aircraft_rows=10**9).use_broadcast(registry)
+
+
+def test_empty_input(spark):
+    """No flights: every grouped result is empty, the cancellation report still
+    has its total row (a global count), the reason reports have no pair to count."""
+    from ontime_analytics.plans.catalog import QUERIES, SUMMARIES, build
+
+    fl = spark.createDataFrame([], S.FLIGHTS_SCHEMA)
+    ac = spark.createDataFrame([], "tail string, mfr_model_code string, model string")
+    j = ModelJoin(strategy="broadcast")
+    for name, q in QUERIES.items():
+        if not q.flights:
+            continue
+        rows = [tuple(r) for r in build(name, fl, ac, **({"join": j} if q.needs_aircraft else {})).collect()]
+        assert rows == ([("All Flights", 0)] if name == "cancellations_by_reason" else []), name
+    for s in SUMMARIES.values():
+        summary = s.make(fl, ac, j) if s.needs_aircraft else s.make(fl)
+        for name, view in s.views.items():
+            rows = [tuple(r) for r in view(summary).collect()]
+            assert rows == ([("All Flights", 0)] if name == "cancellations_by_reason" else []), name
