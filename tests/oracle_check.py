@@ -48,8 +48,8 @@ SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType
                  "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN"}
 
 
-def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
-    sdf = E.queries()[name](spark, sf_dir)
+def compare(spark, con, name: str, sf_dir: str, fn=None) -> tuple[bool, str]:
+    sdf = (fn or E.queries()[name])(spark, sf_dir)
     s_cols = sdf.columns
     s_types = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
