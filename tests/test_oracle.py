@@ -7,6 +7,8 @@ from conftest import SF01
 
 import __spark_entry__ as E
 from oracle_check import compare
+from ontime_analytics.operators.aircraft import ModelJoin
+from ontime_analytics.plans.catalog import QUERIES, fixture_query
 
 
 def test_every_query_has_an_oracle():
@@ -38,13 +40,12 @@ def test_fixture_thresholds_select_documented_counts(spark):
         assert q[name](spark, SF01).count() == n, name
 
 
-@pytest.mark.parametrize("name", sorted(n for n, q in __import__(
-    "ontime_analytics.plans.catalog", fromlist=["QUERIES"]).QUERIES.items() if q.needs_aircraft and q.flights))
+MODEL_QUERIES = sorted(n for n, q in QUERIES.items() if q.needs_aircraft and q.flights)
+
+
+@pytest.mark.parametrize("name", MODEL_QUERIES)
 def test_model_queries_shuffle_fallback_match_oracle(spark, duck01, name):
     """The size-check fallback (per-tail pre-aggregation + co-partitioned join)."""
-    from ontime_analytics.operators.aircraft import ModelJoin
-    from ontime_analytics.plans.catalog import fixture_query
-
     fn = fixture_query(name, join=ModelJoin(strategy="shuffle"))
     ok, msg = compare(spark, duck01, name, SF01, fn)
     assert ok, f"{name}: {msg}"
