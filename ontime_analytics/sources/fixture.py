@@ -1,12 +1,16 @@
 """Stand-in inputs derived from the driver's test tables.
 
-The driver ships TPC-H-style tables, not flight files.  These functions only
-give rows in the raw schemas the jobs expect (flight fields as STRING,
-registry lines as fixed-width text); the typing, joins and aggregations all
-run afterwards through the library's own code, exactly as on real files.
-The derivation is fixed by ``FIXTURES.md`` (B1-B3) so that the DuckDB oracle
-can build the very same rows.  It is a pure projection of ``lineitem`` (no
-shuffle), so column pruning reaches the Parquet scan.
+The driver ships TPC-H-style tables, not flight files.  The ``*_from_*``
+builders only give rows in the raw schemas the jobs expect (flight fields as
+STRING, registry lines as fixed-width text) - no parsing, typing, joining or
+aggregating.  The derivation is fixed by ``FIXTURES.md`` (B1-B3) so that the
+DuckDB oracle can build the very same rows; for the flights it is a pure
+projection of ``lineitem`` (no shuffle), so column pruning reaches the scan.
+
+``fixture_flights`` / ``fixture_registry`` / ``fixture_aircraft`` then wire
+those rows into the library's own steps, exactly as for real files: typing
+(S1, :func:`type_flights`), the registry parsers (S2/S3) and the registry
+join (J1, :func:`aircraft_dimension`, stored once per session).
 """
 
 from __future__ import annotations
