@@ -27,6 +27,7 @@ import argparse
 import os
 import sys
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -75,7 +76,7 @@ def load_flights(spark: SparkSession, path: str, raw: bool, header: bool) -> Dat
 
 def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, raw: bool = False,
             header: bool = False, master: str | None = None, acftref: str | None = None,
-            params: dict[str, dict] | None = None) -> list[str]:
+            params: dict[str, dict] | None = None, parallel: int = 4) -> list[str]:
     """Run every query of ``job`` and write its results; returns the query names.
 
     ``all`` without registry files runs every result that needs no aircraft."""
@@ -100,7 +101,8 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
             aircraft, rows = materialize_dimension(aircraft)
             join = ModelJoin(aircraft_rows=rows)
     shared = shared_summaries(names, flights, aircraft, join)
-    for name in names:
+
+    def write_one(name: str) -> None:
         q = QUERIES[name]
         kw = dict((params or {}).get(name, {}))
         if name in shared:
@@ -117,6 +119,12 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
             write_json(result, os.path.join(out, name, "json"), single_file=q.small_result)
         finally:
             result.unpersist()
+
+    # small result writes are submitted from a few driver threads as concurrent
+    # Spark jobs, so the cluster is not idle between them
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(write_one, n) for n in names]:
+            f.result()
     return list(names)
 
 
@@ -185,6 +193,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master-url", help="Spark master, e.g. local[8] (default: from spark-submit)")
     ap.add_argument("--param", action="append", default=[], metavar="QUERY.NAME=VALUE",
                     help="threshold or k of one query (repeatable)")
+    ap.add_argument("--parallel", type=int, default=4,
+                    help="result writes submitted concurrently (default 4)")
     a = ap.parse_args(argv)
     params = parse_params(a.param)
     spark = get_session(f"ontime_{a.job}", master=a.master_url)
@@ -192,7 +202,7 @@ def main(argv: list[str] | None = None) -> int:
         ingest_flights(spark, a.flights, a.out, header=a.header)
     else:
         run_job(spark, a.job, a.flights, a.out, raw=a.raw, header=a.header,
-                master=a.master, acftref=a.acftref, params=params)
+                master=a.master, acftref=a.acftref, params=params, parallel=a.parallel)
     return 0
 
 
