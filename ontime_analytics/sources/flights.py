@@ -71,14 +71,18 @@ def read_flights_csv(spark: SparkSession, path: str | list[str], header: bool =
 
 
 def bad_rows(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
-    """Malformed-input report for a set of flight files, in one pass:
-    rows, rows with a field count other than 29, and rows whose DepDelay is
-    neither parsable nor the ``NA`` marker."""
+    """Malformed-input report for a set of flight files, in one pass (one
+    global aggregate): rows, rows with a field count other than 29, and for
+    every integer field the values that are neither a strict integer nor the
+    ``NA`` marker (``unparsable_<column>``; a missing field counts)."""
     raw = read_flights_raw(spark, path, header=header, keep_field_count=True)
-    dep = F.col("DepDelay")
+
+    def unparsable(name: str):
+        c = F.col(name)
+        return F.count_if(strict_int(c).isNull() & ~F.coalesce(c == "NA", F.lit(False)))
+
     return raw.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(FIELD_COUNT_COLUMN) != len(S.RAW_COLUMNS)).alias("wrong_field_count"),
-        F.count_if(strict_int(dep).isNull() & ~F.coalesce(dep == "NA", F.lit(False)))
-        .alias("unparsable_dep_delay"),
+        *[unparsable(name).alias(f"unparsable_{typed}") for name, typed in S.INT_FIELDS],
     )

@@ -68,6 +68,9 @@ def test_typed_flights_from_csv_and_bad_rows(spark, tmp_path):
     assert (r.rows, r.wrong_field_count) == (6, 1)
     # sample row: DepDelay 11 (parsable); ' 20' is the only unparsable non-NA value
     assert r.unparsable_dep_delay == 2  # ' 20' and the short row's missing field
+    assert r.unparsable_year == 0 and r.unparsable_day_of_week == 0
+    assert r.unparsable_distance == 1  # the short row's missing field
+    assert r.unparsable_carrier_delay == 1  # reason fields are NA or digits; the short row lacks them
 
 
 def test_registry_files(spark, tmp_path):
