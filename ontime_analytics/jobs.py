@@ -128,32 +128,37 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
     return list(names)
 
 
+def plan_summaries(names) -> dict[str, list[str]]:
+    """Which shared summary serves which results: greedily the summary that
+    covers the most remaining results (ties: the smaller, listed first), as
+    long as it serves at least two."""
+    remaining = [n for n in names if QUERIES[n].flights]
+    chosen: dict[str, list[str]] = {}
+    while True:
+        best = max(SUMMARIES, key=lambda k: sum(n in SUMMARIES[k].views for n in remaining),
+                   default=None)
+        covered = [n for n in remaining if best and n in SUMMARIES[best].views]
+        if len(covered) < 2:
+            return chosen
+        chosen[best] = covered
+        remaining = [n for n in remaining if n not in covered]
+
+
 def flight_scans(names) -> int:
     """Scans of the flights a run of ``names`` makes (one per shared summary)."""
-    scans, seen = 0, set()
-    for n in names:
-        if not QUERIES[n].flights:
-            continue
-        kind = next((k for k, s in SUMMARIES.items() if n in s.views
-                     and sum(m in s.views for m in names) >= 2), None)
-        if kind is None:
-            scans += 1
-        elif kind not in seen:
-            seen.add(kind)
-            scans += 1
-    return scans
+    plan = plan_summaries(names)
+    shared = {n for ns in plan.values() for n in ns}
+    return len(plan) + sum(1 for n in names if QUERIES[n].flights and n not in shared)
 
 
 def shared_summaries(names, flights, aircraft, join) -> dict[str, tuple[DataFrame, dict]]:
-    """For each summary with two or more requested views: compute it once
-    (one scan of the flights), store it under the checkpoint folder - it is
-    small, and a lost executor then re-reads it instead of re-scanning - and
-    map each of those query names to (stored summary, views)."""
+    """For each chosen summary (:func:`plan_summaries`): compute it once (one
+    scan of the flights), store it under the checkpoint folder - it is small,
+    and a lost executor then re-reads it instead of re-scanning - and map each
+    of its query names to (stored summary, views)."""
     out = {}
-    for summary in SUMMARIES.values():
-        wanted = [n for n in names if n in summary.views]
-        if len(wanted) < 2:
-            continue
+    for kind, wanted in plan_summaries(names).items():
+        summary = SUMMARIES[kind]
         df = summary.make(flights, aircraft, join) if summary.needs_aircraft else summary.make(flights)
         checkpoint_dir(df.sparkSession)
         stored = df.checkpoint(eager=True)

@@ -25,6 +25,8 @@ from ontime_analytics.functions.parse import (
     net_delay_positive,
     weekday_name,
 )
+from ontime_analytics.functions.calendar import filter_dst_days
+from ontime_analytics.operators import dst
 from ontime_analytics.operators.cancellations import _reason_rows
 
 
@@ -36,12 +38,13 @@ def _sum(c: str) -> Column:
 
 def calendar_summary(flights: DataFrame) -> DataFrame:
     """Per (year, month, day_of_month, day_of_week, carrier): flights, delayed
-    flights and their minutes, flights with a positive net delay, cancelled
-    flights."""
+    flights and their minutes, flights with a parsable delay, flights with a
+    positive net delay, cancelled flights."""
     delayed = has_delay()
     return flights.groupBy("year", "month", "day_of_month", "day_of_week", "carrier").agg(
         F.count(F.lit(1)).alias("flights"),
         F.count_if(delayed).alias("delayed_flights"),
+        F.count("dep_delay").alias("timed_flights"),
         F.coalesce(F.sum(F.when(delayed, F.col("dep_delay"))), F.lit(0)).cast("long")
         .alias("delay_minutes"),
         F.count_if(F.coalesce(net_delay_positive(), F.lit(False))).alias("net_delayed"),
@@ -53,6 +56,12 @@ def _delayed_by(s: DataFrame, key: Column, name: str) -> DataFrame:
     return s.groupBy(key.alias(name)).agg(_sum("delayed_flights"))
 
 
+def _dst_years(s: DataFrame) -> DataFrame:
+    """The per-year crossover-day summary of :mod:`dst`, rolled up from dates."""
+    return filter_dst_days(s).groupBy("year").agg(
+        _sum("delayed_flights"), _sum("delay_minutes"), _sum("timed_flights"))
+
+
 CALENDAR_VIEWS = {
     "delay_by_year": lambda s: s.groupBy("year").agg(_sum("delay_minutes"), _sum("flights")),
     "delays_by_day_of_week": lambda s: _delayed_by(s, weekday_name("day_of_week"), "day_name"),
@@ -64,6 +73,8 @@ CALENDAR_VIEWS = {
         .agg(_sum("flights"), _sum("cancelled_flights")),
     "monthly_airlines_delays": lambda s: s.groupBy("year", "month").agg(
         _sum("flights"), F.countDistinct("carrier").alias("airlines"), _sum("delayed_flights")),
+    "dst_average_delay": lambda s: dst.FROM_SUMMARY["dst_average_delay"](_dst_years(s)),
+    "dst_delay_percent": lambda s: dst.FROM_SUMMARY["dst_delay_percent"](_dst_years(s)),
 }
 
 
