@@ -12,10 +12,12 @@
 * ``--param QUERY.NAME=VALUE`` (repeatable) sets a threshold or ``k``, e.g.
   ``--param airport_delay_count_upper.min_count=92625 --param model_count_top.k=50``.
 
-Results that are views of one aggregate (the airport, model and
-daylight-saving families) are derived from that aggregate, computed once per
-job and stored under ``spark.checkpoint.dir``: the flights are scanned once
-per family instead of once per result.
+Results that are views of one shared aggregate (``plans.catalog.SUMMARIES``:
+per origin, per model, per (date, carrier), per (month, code), per DST year)
+are derived from it; the aggregate is computed once per job and stored under
+``spark.checkpoint.dir``, so the flights are scanned once per summary instead
+of once per result (``all``: 5 scans for 39 results).  Results are written
+from a few driver threads as concurrent Spark jobs (``--parallel``).
 
 ``ingest`` lands raw files in the lake: ``python -m ontime_analytics ingest
 --flights RAW_DIR --out LAKE_DIR [--header]``.
