@@ -271,3 +271,14 @@ def test_cli_params(spark, tmp_path):
     got = [line for p in (out / "airport_delay_count_upper" / "csv").glob("part-*")
            for line in p.read_text().splitlines()]
     assert sorted(got) == ["LAX,1", "SAN,1"]
+
+
+def test_summary_plan_of_the_jobs():
+    from ontime_analytics.jobs import JOBS, flight_scans, plan_summaries
+
+    plan = plan_summaries(JOBS["all"])
+    assert set(plan) == {"models", "airports", "calendar", "cancellations"}
+    assert {"dst_average_delay", "dst_delay_percent"} <= set(plan["calendar"])  # no separate DST scan
+    assert flight_scans(JOBS["all"]) == 5  # 4 summaries + distance_impact
+    assert plan_summaries(JOBS["dst"]) == {"dst": ["dst_average_delay", "dst_delay_percent"]}
+    assert plan_summaries(("distance_impact",)) == {}
