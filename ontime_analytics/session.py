@@ -38,7 +38,10 @@ def get_session(app_name: str = "ontime_analytics", master: str | None = None,
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+    try:
+        spark.sparkContext.setLogLevel("WARN")
+    except Exception:  # Spark Connect has no SparkContext; the server logs
+        pass
     return spark
 
 
