@@ -102,7 +102,7 @@ def run_job(spark: SparkSession, job: str, flights_path: str | None, out: str, r
         if needs_flights:  # build once, shared by all of the job's queries
             aircraft, rows = materialize_dimension(aircraft)
             join = ModelJoin(aircraft_rows=rows)
-    shared = shared_summaries(names, flights, aircraft, join)
+    shared = shared_summaries(names, flights, aircraft, join, parallel)
 
     def write_one(name: str) -> None:
         q = QUERIES[name]
@@ -153,19 +153,25 @@ def flight_scans(names) -> int:
     return len(plan) + sum(1 for n in names if QUERIES[n].flights and n not in shared)
 
 
-def shared_summaries(names, flights, aircraft, join) -> dict[str, tuple[DataFrame, dict]]:
+def shared_summaries(names, flights, aircraft, join, parallel: int = 4) -> dict[str, tuple[DataFrame, dict]]:
     """For each chosen summary (:func:`plan_summaries`): compute it once (one
     scan of the flights), store it under the checkpoint folder - it is small,
     and a lost executor then re-reads it instead of re-scanning - and map each
-    of its query names to (stored summary, views)."""
-    out = {}
-    for kind, wanted in plan_summaries(names).items():
+    of its query names to (stored summary, views).  The summaries are
+    independent, so they are built as concurrent Spark jobs."""
+    plan = plan_summaries(names)
+    if not plan:
+        return {}
+    checkpoint_dir(flights.sparkSession)
+
+    def build_one(kind: str) -> DataFrame:
         summary = SUMMARIES[kind]
         df = summary.make(flights, aircraft, join) if summary.needs_aircraft else summary.make(flights)
-        checkpoint_dir(df.sparkSession)
-        stored = df.checkpoint(eager=True)
-        out.update({n: (stored, summary.views) for n in wanted})
-    return out
+        return df.checkpoint(eager=True)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        stored = dict(zip(plan, pool.map(build_one, plan)))
+    return {n: (stored[kind], SUMMARIES[kind].views) for kind, wanted in plan.items() for n in wanted}
 
 
 def parse_params(items: list[str]) -> dict[str, dict]:
