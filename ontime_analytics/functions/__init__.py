@@ -3,6 +3,7 @@
 from ontime_analytics.functions.calendar import dst_calendar, filter_dst_days, is_dst_crossover
 from ontime_analytics.functions.parse import (
     cancellation_reason,
+    delayed_rows,
     distance_band,
     distance_band_index,
     distance_band_label,
@@ -20,7 +21,7 @@ from ontime_analytics.functions.parse import (
 )
 
 __all__ = [
-    "cancellation_reason", "distance_band", "distance_band_index", "distance_band_label", "dst_calendar", "exact_mean", "filter_dst_days", "has_delay",
+    "cancellation_reason", "delayed_rows", "distance_band", "distance_band_index", "distance_band_label", "dst_calendar", "exact_mean", "filter_dst_days", "has_delay",
     "int_div", "is_cancelled", "is_dst_crossover", "month_name", "net_delay_positive",
     "percent", "strict_int", "tail_key", "truncated_mean", "weekday_name",
 ]

@@ -34,6 +34,13 @@ def has_delay(dep_delay: Column | str = "dep_delay") -> Column:
     return F.coalesce(_col(dep_delay) > S.DELAY_THRESHOLD_MINUTES, F.lit(False))
 
 
+def delayed_rows(dep_delay: Column | str = "dep_delay") -> Column:
+    """Filter form of :func:`has_delay`: ``dep_delay > 15``.  In a filter a NULL
+    drops the row just as ``false`` does, and the plain comparison (unlike the
+    ``coalesce``) is pushed down to the Parquet scan."""
+    return _col(dep_delay) > S.DELAY_THRESHOLD_MINUTES
+
+
 def is_cancelled(cancelled: Column | str = "cancelled") -> Column:
     """cancelled flag equals 1 (unparsable was typed as 0)."""
     return F.coalesce(_col(cancelled) == 1, F.lit(False))

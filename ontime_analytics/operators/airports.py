@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
-from ontime_analytics.functions.parse import exact_mean, has_delay, percent, truncated_mean
+from ontime_analytics.functions.parse import (
+    delayed_rows,
+    exact_mean,
+    has_delay,
+    percent,
+    truncated_mean,
+)
 from ontime_analytics.operators.ranking import at_least, at_most, bottom_k, top_k
 
 KEY = ["origin"]
@@ -76,7 +82,7 @@ FROM_SUMMARY = {
 # is removed by the view's own filter - so the result is the same, with fewer
 # rows aggregated (and the predicate pushed to the scan on the lake).
 def _delayed_rows():
-    return has_delay()
+    return delayed_rows()
 
 
 def _timed_rows():

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
 from ontime_analytics.functions.calendar import filter_dst_days
-from ontime_analytics.functions.parse import exact_mean, has_delay, percent, truncated_mean
+from ontime_analytics.functions.parse import (
+    delayed_rows,
+    exact_mean,
+    has_delay,
+    percent,
+    truncated_mean,
+)
 
 
 def dst_summary(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
@@ -39,7 +45,8 @@ def dst_average_delay(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
                       last_year: int = S.DST_LAST_YEAR) -> DataFrame:
     """Q15: mean delay of delayed flights on crossover days, per year."""
     # only delayed rows can change this view (see airports.PREFILTERS)
-    return FROM_SUMMARY["dst_average_delay"](dst_summary(flights.filter(has_delay()), first_year, last_year))
+    return FROM_SUMMARY["dst_average_delay"](dst_summary(flights.filter(delayed_rows()), first_year,
+                                                         last_year))
 
 
 def dst_delay_percent(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,

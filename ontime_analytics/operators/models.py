@@ -17,7 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
-from ontime_analytics.functions.parse import exact_mean, has_delay, percent, truncated_mean
+from ontime_analytics.functions.parse import (
+    delayed_rows,
+    exact_mean,
+    has_delay,
+    percent,
+    truncated_mean,
+)
 from ontime_analytics.operators.aircraft import ModelJoin, aggregate_by_model
 from ontime_analytics.operators.ranking import at_least, bottom_k, top_k
 
@@ -79,7 +85,8 @@ FROM_SUMMARY = {
 
 
 def _known_delayed_rows():
-    return has_delay() & F.coalesce(F.col("tail_num") != "NA", F.lit(False))
+    # filter form (pushable): a NULL delay or tail drops the row, as false would
+    return delayed_rows() & (F.col("tail_num") != "NA")
 
 
 def _timed_rows():
