@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime_analytics.llm.chat import LLAMA_LIKE, format_conversations, formatted_text, loss_text, read_turns
+from ontime_analytics.llm.exact_dedup import exact_duplicates
+from ontime_analytics.llm.secrets_scan import KINDS, scan_secrets
+from ontime_analytics.llm.token_counts import count_tokens
+from ontime_analytics.llm.toxicity import score, train
 from ontime_analytics.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +28,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public vocabulary file; the package that holds them is looked up when a query asks for one."""
+    return importlib.import_module("public_tokenizers").path(name)
+
+
+# ---- 1: toxicity ----------------------------------------------------------
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document, by a model fitted on at most 8,000 labelled documents."""
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 # ---- 2: URL filters -------------------------------------------------------
 
 # fixed values: the rules of the contract (host, path, verdict)
@@ -93,3 +112,38 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 
 
 ORACLE_SQL["op5_chat_formatting"] = _chat_sql()
+
+
+# ---- 7: exact dedup -------------------------------------------------------
+
+@query
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its equals that stays."""
+    return exact_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+ORACLE_SQL["op7_exact_dedup"] = """
+WITH n AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, text_sha256 FROM n"""
+
+
+# ---- 9: token counts ------------------------------------------------------
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document's whole text; over_limit above 1,024."""
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), limit=1024)
+
+
+# ---- 10: secret scans -----------------------------------------------------
+
+@query
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of every document's whole text: counts, the digest of the base spans, all spans."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("findings", lambda x: x["kind"].isin(*kinds))
+    spans = lambda c: F.concat_ws(",", F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
+    return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS],
+                        F.sha2(spans(of(*KINDS[:3])), 256).alias("base_sha256"), spans(F.col("findings")).alias("spans"))
