@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ontime_analytics.llm.chat import LLAMA_LIKE, format_conversations, formatted_text, loss_text, read_turns
 from ontime_analytics.llm.exact_dedup import exact_duplicates
+from ontime_analytics.llm.minhash import near_duplicates
 from ontime_analytics.llm.secrets_scan import KINDS, scan_secrets
 from ontime_analytics.llm.token_counts import count_tokens
 from ontime_analytics.llm.toxicity import score, train
@@ -75,6 +76,14 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 """ % ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 
+# ---- 3: MinHash near-dedup ------------------------------------------------
+
+@query
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate group at a Jaccard similarity of 0.75 over five-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=75)
+
+
 # ---- 5: chat formatting ---------------------------------------------------
 
 @query
