@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontime_analytics.llm.bpe_codec import decode, encode
 from ontime_analytics.llm.chat import LLAMA_LIKE, format_conversations, formatted_text, loss_text, read_turns
 from ontime_analytics.llm.exact_dedup import exact_duplicates
 from ontime_analytics.llm.minhash import near_duplicates
@@ -138,6 +139,20 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
        doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, text_sha256 FROM n"""
 
 
+# ---- 8: BPE encoding and decoding -----------------------------------------
+
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    out = decode(encode(docs, tokenizer_path()), tokenizer_path())
+    return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded again, as digests."""
+    return encoded_digests(table(spark, sf_dir, "documents"))
+
+
 # ---- 9: token counts ------------------------------------------------------
 
 @query
