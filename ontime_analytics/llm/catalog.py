@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ontime_analytics.llm.bpe_codec import decode, encode
 from ontime_analytics.llm.chat import LLAMA_LIKE, format_conversations, formatted_text, loss_text, read_turns
+from ontime_analytics.llm.decontaminate import find_leaks
 from ontime_analytics.llm.exact_dedup import exact_duplicates
 from ontime_analytics.llm.minhash import near_duplicates
 from ontime_analytics.llm.secrets_scan import KINDS, scan_secrets
@@ -124,6 +125,15 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 ORACLE_SQL["op5_chat_formatting"] = _chat_sql()
 
 
+# ---- 6: benchmark decontamination -----------------------------------------
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item found in it."""
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", F.explode("leaks").alias("hit")).select("doc_id", "hit.*")
+
+
 # ---- 7: exact dedup -------------------------------------------------------
 
 @query
