@@ -20,12 +20,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime_analytics.llm.bpe import ByteBpe, pieces
-from ontime_analytics.llm.common import partitions, slices, utf8
+from ontime_analytics.llm.common import MESSAGE, message, pack, partitions, slices, unpack, utf8
 
 BLOCK_BYTES = 16 << 20
 MAX_VOCABULARY = 1 << 20
@@ -39,25 +38,6 @@ class _Codes(dict):
         return n
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Integer arrays as bytes, plane by plane, compressed; sizes go first."""
-    body = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
-    head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.itemsize))], "<u4").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + body)
-
-
-def _unpack(data: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int(np.frombuffer(raw, "<u4", 1)[0])
-    sizes = np.frombuffer(raw, "<u4", 2 * n, 4).reshape(n, 2).tolist()
-    out, at = [], 4 + 8 * n
-    for count, width in sizes:
-        planes = np.frombuffer(raw, np.uint8, count * width, at).reshape(width, count)
-        out.append(np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1))
-        at += count * width
-    return out
-
-
 def _blocks(batches, path: str, n_buckets: int):
     """(block, units by bucket, sizes by bucket, chunks) with chunks of (ids of the documents, units per document,
     units' places).  A unit's place counts the block's units bucket by bucket."""
@@ -94,15 +74,6 @@ def _blocks(batches, path: str, n_buckets: int):
         yield done()
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * 5
-    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["block", "kind", "seq", "payload", "doc_ids"])
-
-
-_SCHEMA = "block binary, kind int, seq int, payload binary, doc_ids array<long>"
-
-
 def _ask(path: str, n_buckets: int):
     """Step 1: a block's distinct units for each bucket."""
     def run(batches):
@@ -111,9 +82,9 @@ def _ask(path: str, n_buckets: int):
             for k, n in enumerate(counts.tolist()):
                 if n:
                     mine = units[at:at + n]
-                    rows.append((block, 0, k, _pack(np.array([len(u) for u in mine], np.uint32), np.frombuffer(b"".join(mine), np.uint8)), None))
+                    rows.append((block, 0, k, pack(np.array([len(u) for u in mine], np.uint32), np.frombuffer(b"".join(mine), np.uint8)), None))
                     at += n
-            yield _rows(rows)
+            yield message(rows)
     return run
 
 
@@ -127,7 +98,7 @@ def _answer(path: str):
             for block, k, payload in zip(b.column("block").to_pylist(), b.column("seq").to_pylist(), b.column("payload").to_pylist()):
                 if k != bucket:
                     bucket, known = k, {}
-                sizes, data = _unpack(payload)
+                sizes, data = unpack(payload)
                 data, at, lists = data.tobytes(), 0, []
                 for n in sizes.tolist():
                     unit = data[at:at + n]
@@ -137,11 +108,11 @@ def _answer(path: str):
                         ids = known[unit] = np.array(bpe.ids(unit.decode()), np.uint16 if small else np.uint32).tobytes()
                     lists.append(ids)
                 flat = np.frombuffer(b"".join(lists), np.uint16 if small else np.uint32)
-                rows.append((block, 0, k, _pack(np.array([len(x) // flat.itemsize for x in lists], np.uint32), flat), None))
+                rows.append((block, 0, k, pack(np.array([len(x) // flat.itemsize for x in lists], np.uint32), flat), None))
                 if len(rows) >= 64:
-                    yield _rows(rows)
+                    yield message(rows)
                     rows = []
-            yield _rows(rows)
+            yield message(rows)
     return run
 
 
@@ -150,7 +121,7 @@ def _positions(path: str, n_buckets: int):
     def run(batches):
         for block, _, _, chunks in _blocks(batches, path, n_buckets):
             for i, (ids, sizes, places) in enumerate(chunks):
-                yield _rows([(block, 1, i, _pack(sizes, places), ids.to_pylist())])
+                yield message([(block, 1, i, pack(sizes, places), ids.to_pylist())])
     return run
 
 
@@ -174,11 +145,11 @@ def _join(batches):
                 answers[seq] = payload
                 continue
             if table is None:
-                parts = [_unpack(answers[k]) for k in sorted(answers)]
+                parts = [unpack(answers[k]) for k in sorted(answers)]
                 sizes = np.concatenate([np.empty(0, np.int64), *(p[0].astype(np.int64) for p in parts)])
                 table = (np.concatenate([np.empty(0, np.uint32), *(p[1].astype(np.uint32) for p in parts)]), np.cumsum(sizes) - sizes, sizes)
                 answers = {}
-            per_doc, places = _unpack(payload)
+            per_doc, places = unpack(payload)
             if len(places) and int(places.max()) >= len(table[2]):
                 raise RuntimeError("a block has no answers: the documents changed between two reads; write them to a table first")
             places = places.astype(np.int64)
@@ -199,9 +170,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     ignored; an empty table gives no rows."""
     n = partitions(docs.sparkSession)
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    asked = base.mapInArrow(_ask(path, n), _SCHEMA)
-    answered = asked.repartition(n, "seq").sortWithinPartitions("seq", "block").mapInArrow(_answer(path), _SCHEMA)
-    sent = answered.unionByName(base.mapInArrow(_positions(path, n), _SCHEMA))
+    asked = base.mapInArrow(_ask(path, n), MESSAGE)
+    answered = asked.repartition(n, "seq").sortWithinPartitions("seq", "block").mapInArrow(_answer(path), MESSAGE)
+    sent = answered.unionByName(base.mapInArrow(_positions(path, n), MESSAGE))
     return sent.repartition(n, "block").sortWithinPartitions("block", "kind", "seq").mapInArrow(_join, "doc_id long, ids binary")
 
 

@@ -13,6 +13,7 @@ from ontime_analytics.llm.chat import LLAMA_LIKE, format_conversations, formatte
 from ontime_analytics.llm.decontaminate import find_leaks
 from ontime_analytics.llm.exact_dedup import exact_duplicates
 from ontime_analytics.llm.minhash import near_duplicates
+from ontime_analytics.llm.repeats import remove_repeats
 from ontime_analytics.llm.secrets_scan import KINDS, scan_secrets
 from ontime_analytics.llm.token_counts import count_tokens
 from ontime_analytics.llm.toxicity import score, train
@@ -86,6 +87,15 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=75)
 
 
+# ---- 4: suffix-array dedup ------------------------------------------------
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 50-byte strings that an earlier document holds."""
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # ---- 5: chat formatting ---------------------------------------------------
 
 @query

@@ -6,8 +6,10 @@ import os
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +76,32 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20, text: st
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of a column as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Integer arrays as bytes, plane by plane, compressed; sizes go first."""
+    body = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
+    head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.itemsize))], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + body)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    sizes = np.frombuffer(raw, "<u4", 2 * n, 4).reshape(n, 2).tolist()
+    out, at = [], 4 + 8 * n
+    for count, width in sizes:
+        planes = np.frombuffer(raw, np.uint8, count * width, at).reshape(width, count)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1))
+        at += count * width
+    return out
+
+
+#: What blocks and buckets send each other: kind and seq order a receiver's rows.
+MESSAGE = "block binary, kind int, seq int, payload binary, doc_ids array<long>"
+
+
+def message(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[]] * 5
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["block", "kind", "seq", "payload", "doc_ids"])
