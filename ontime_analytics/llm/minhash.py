@@ -9,10 +9,10 @@ share of coordinates that concentrates around the sets' Jaccard similarity.
 
 Documents with equal shingle sets form one class.  Classes that agree in one of
 ``BANDS`` bands meet in a bucket.  Round one verifies each member against the
-bucket's smallest class; round two verifies, in buckets that still hold several
-components, every pair across components that has not been compared.  So every
-candidate link between different components is verified on the full sets,
-while a group of thousands of alike documents costs one comparison each.
+bucket's pivot.  Round two takes the classes of buckets that still hold several
+components and verifies every pair across components that exact prefix and
+position filters leave.  Every verdict is on the full sets, and a group of
+thousands of alike documents costs about one comparison each.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ontime_analytics.llm.common import drop, slices, store, utf8
@@ -82,7 +82,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     for r in range(2 * SIZE):
         if not len(elements):
             break
-        x = _mix(elements + np.uint64(r + 1) * _ODD[0])
+        x = _mix(elements + np.uint64((r + 1) * int(_ODD[0]) & (2 ** 64 - 1)))
         bins = (x >> np.uint64(57)).astype(np.int64) if r < SIZE else r - SIZE
         np.minimum.at(flat, of * SIZE + bins, (np.uint64(r) << np.uint64(55)) | (x & low))
         open_ = (out == empty).any(axis=1)[of]
@@ -132,28 +132,57 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, table, most: int = 64) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, percent: int, table, most: int = 64) -> DataFrame:
     """The pairs (a, b) whose full sets are similar.  ``b``'s text is sent to its partners' groups of about ``most``."""
     sizes = pairs.groupBy("b").agg(F.count("*").alias("n"))
+    sizes, _ = table(sizes, "sizes")
     dealt = pairs.join(sizes, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / most).cast("long")))
     dealt, _ = table(dealt.select(F.col("b").alias("grp"), "salt", F.col("a").alias("cls")), "pairs")
     dealt = dealt.unionByName(dealt.select("grp", "salt", F.col("grp").alias("cls")).distinct())
-    needed = dealt.select("cls").distinct().join(classes.select("cls", F.col("text_id").alias("doc_id"), "text_hash"), "cls")
-    own = texts.join(needed, (texts["doc_id"].eqNullSafe(needed["doc_id"])) & (texts["text_hash"] == needed["text_hash"])) \
-        .select("cls", "text").groupBy("cls").agg(F.first("text").alias("text"))
-    sent = dealt.join(own, "cls").select("grp", "salt", "cls", "text")
+    sent = dealt.join(texts, "cls").select("grp", "salt", "cls", "text")
     return sent.repartition("grp", "salt").sortWithinPartitions("grp", "salt", F.col("cls") != F.col("grp")) \
         .mapInArrow(_verify(percent), "a long, b long")
 
 
+def _shingle_rows(batches):
+    hashes = WordHashes()
+    for b in slices(batches, 2 << 20):
+        sets = shingle_sets(utf8(b.column("text")), hashes)
+        yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("component"), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))],
+                                         ["cls", "component", "shingles"])
+
+
+def _across(texts: DataFrame, percent: int, table) -> DataFrame:
+    """The pairs (a, b) of classes in different components that may be similar: exact prefix and position filters.
+
+    With shingles ordered from rare to frequent, two sets that overlap enough
+    share one of the first n - required + 1 of each, and from a shared one at
+    the places i and j on they can share at most min(n - i, m - j) + 1.  So a
+    shingle common to a large group only pairs classes that have little else."""
+    rows, _ = table(texts.mapInArrow(_shingle_rows, "cls long, component long, shingles array<long>")
+                    .select("cls", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "shingles")
+    counts, _ = table(rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"), "counts")
+    placed = rows.join(counts, "shingle", "left").withColumn(
+        "place", F.row_number().over(Window.partitionBy("cls").orderBy(F.coalesce("df", F.lit(1)), "shingle")))
+    first, _ = table(placed.filter(F.col("df").isNotNull() & (F.col("place") <= F.expr(f"n - ceil({percent} * n / 100) + 1")))
+                     .select("shingle", "cls", "component", "n", "place"), "prefixes")
+    x, y = first.alias("x"), first.alias("y")
+    need = F.expr(f"ceil({percent} * (x.n + y.n) / {100 + percent})")
+    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & F.expr("x.cls < y.cls and x.component != y.component")
+                  & F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+                  & (F.expr("least(x.n - x.place, y.n - y.place) + 1") >= need)) \
+        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept, group, text_hash``.
 
     Documents are linked when 100 * |both| >= ``percent`` * |either| on their
     full sets of distinct five-word shingles; ``component_id`` is the smallest
     id reachable over links, itself included, and ``kept`` says that it is the
     row's own.  A document without words or text has no shingles and no links.
-    Of equal ids each row is judged by its own text; a null id counts as larger
+    ``group`` numbers the groups of this run (null without shingles),
+    ``text_hash`` is Spark's xxhash64 of the text.  Of equal ids each row is judged by its own text; a null id counts as larger
     than any other and is kept only where no id is known.  Other columns are
     ignored; an empty table gives no rows.
     """
@@ -173,33 +202,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "set_hash", F.col("x.doc_id").alias("text_id"), F.col("x.text_hash").alias("text_hash"), F.col("x.n_shingles").alias("n"),
         F.col("x.bands").alias("bands")).withColumn("cls", F.monotonically_increasing_id()), "classes")
 
-    places = classes.select("cls", "n", F.explode("bands").alias("key"))
-    buckets, _ = table(places.groupBy("key").agg(F.min("cls").alias("pivot"), F.count("*").alias("size")).filter("size > 1"), "buckets")
-    members, _ = table(places.join(buckets, "key"), "members")
+    places = classes.select("cls", F.explode("bands").alias("key"))
+    sizes, _ = table(places.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    members, _ = table(places.join(sizes, "key"), "members")
+    # a bucket's pivot: the class that meets most others in its buckets, as the least altered of a group does
+    met, _ = table(members.groupBy("cls").agg(F.sum("size").alias("met")), "met")
+    pivots, _ = table(members.join(met, "cls").groupBy("key").agg(F.max(F.struct("met", "cls")).alias("x"))
+                      .select("key", F.col("x.cls").alias("pivot")), "pivots")
+    members, _ = table(members.join(pivots, "key"), "members")
+    wanted = members.select("cls").distinct().join(classes.select("cls", F.col("text_id").alias("doc_id"), "text_hash"), "cls")
+    texts = base.join(wanted, (base["doc_id"].eqNullSafe(wanted["doc_id"])) & (base["text_hash"] == wanted["text_hash"]))
+    texts, _ = table(texts.select("cls", "text").groupBy("cls").agg(F.first("text").alias("text")), "texts")
     pairs = members.filter("cls != pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
-    links, _ = table(_links(pairs, classes, base, percent, table), "links")
+    links, _ = table(_links(pairs, texts, percent, table), "links")
     parts, _ = table(components(links), "components")
 
-    # round two: what the pivots did not join
+    # round two: the classes of buckets that still hold several components
     placed = members.filter("size > 2").join(parts, F.col("cls") == F.col("node"), "left") \
-        .select("key", "cls", "n", "pivot", F.coalesce("component", "cls").alias("component"))
-    split = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key") \
-        .agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-    split, _ = table(split.select("key", F.col("main.component").alias("main")), "split")
-    rest, _ = table(placed.filter("cls != pivot").join(split, "key"), "rest")
-    stray = rest.filter("component != main").select("key", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    more = rest.join(stray, "key").filter("component != cb and 100 * least(n, nb) >= %d * greatest(n, nb)" % percent) \
-        .filter("component = main or cls < b").select(F.col("cls").alias("a"), "b").distinct()
-    found, _ = table(_links(more, classes, base, percent, table), "links")
+        .select("key", "cls", F.coalesce("component", "cls").alias("component"))
+    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    split, _ = table(split.select("key"), "split")
+    rest = placed.join(split, "key").select("cls", "component").distinct()
+    found, _ = table(_links(_across(texts.join(rest, "cls"), percent, table), texts, percent, table), "links")
     if not found.isEmpty():
         parts, _ = table(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)), "components")
 
     of_class = classes.select("set_hash", "cls", "text_id").join(parts, F.col("cls") == F.col("node"), "left") \
         .select("set_hash", "text_id", F.coalesce("component", "cls").alias("component"))
     least = of_class.groupBy("component").agg(F.min("text_id").alias("component_id"))
-    named, _ = store(of_class.join(least, "component").select("set_hash", "component_id"), "named")
+    named, _ = store(of_class.join(least, "component").select("set_hash", "component_id", F.col("component").alias("group")), "named")
     for path in made:
         drop(docs.sparkSession, path)
-    out = rows.select("doc_id", "n_shingles", "set_hash").join(named, "set_hash", "left")
+    out = rows.select("doc_id", "n_shingles", "set_hash", "text_hash").join(named, "set_hash", "left")
     mine = F.when(F.col("set_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", mine.alias("component_id"), F.col("doc_id").eqNullSafe(mine).alias("kept"))
+    return out.select("doc_id", "n_shingles", mine.alias("component_id"), F.col("doc_id").eqNullSafe(mine).alias("kept"), "group", "text_hash")
