@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ontime_analytics.llm.bpe import ByteBpe, pieces
 from ontime_analytics.llm.common import MESSAGE, message, pack, partitions, slices, unpack, utf8
@@ -207,5 +207,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
                 at = end
 
-    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields]
-    return encoded.mapInArrow(run, ", ".join([*types, "decoded string"]))
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))

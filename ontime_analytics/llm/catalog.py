@@ -84,7 +84,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 @query
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate group at a Jaccard similarity of 0.75 over five-word shingles."""
-    return near_duplicates(table(spark, sf_dir, "documents"), percent=75)
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=75).drop("group", "text_hash")
 
 
 # ---- 4: suffix-array dedup ------------------------------------------------
@@ -149,7 +149,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one of its equals that stays."""
-    return exact_duplicates(table(spark, sf_dir, "documents")).drop("row")
+    return exact_duplicates(table(spark, sf_dir, "documents")).drop("row", "text_hash")
 
 
 ORACLE_SQL["op7_exact_dedup"] = """
@@ -161,9 +161,9 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 
 # ---- 8: BPE encoding and decoding -----------------------------------------
 
-def encoded_digests(docs: DataFrame) -> DataFrame:
+def encoded_digests(docs: DataFrame, *more: str) -> DataFrame:
     out = decode(encode(docs, tokenizer_path()), tokenizer_path())
-    return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+    return out.select("doc_id", *more, (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

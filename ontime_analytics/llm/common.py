@@ -24,14 +24,9 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def text_column(df: DataFrame, name: str) -> Column:
-    """The column ``name`` of ``df`` as a string, null as the empty string."""
-    return F.coalesce(df[name].cast("string"), F.lit(""))
-
-
-def pick(df: DataFrame, **columns: str) -> DataFrame:
-    """``df`` cut down to ``new=old`` columns, so that no other column's name can clash."""
-    return df.select(*[df[old].alias(new) for new, old in columns.items()])
+def whole(df: DataFrame) -> Column:
+    """A row of ``df`` as one struct, so that its columns cannot clash with those an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:

@@ -244,7 +244,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
     hits = "array<struct<item_id:bigint,score:double,question:double,answer:double>>"
 
     out = docs.select(*[docs[c] for c in keep], docs[text_col].cast("string").alias("__text"), F.array().cast(hits).alias("__leaks"))
-    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields]
     for g in range(groups):
         mine = F.pmod("row", F.lit(groups)) == g
         texts = [(r.item_id, r.text) for r in items.filter(mine).collect()]
@@ -262,5 +261,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
                 old = b.column("__leaks").to_pylist()
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([o + f for o, f in zip(old, found)], hit)], b.schema.names)
 
-        out = out.mapInArrow(run, ", ".join(types))
+        out = out.mapInArrow(run, out.schema)
     return out.select(*keep, F.col("__leaks").alias("leaks"))

@@ -66,9 +66,9 @@ def _recipes(digest_bytes: int):
             texts = [t.lower() for t in utf8(b.column("text"))]
             lists = [b"".join(xxhash.xxh3_128_digest(c)[:digest_bytes] for c in cs) for cs in chunks(texts)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("row"), pa.array([len(t) for t in texts], pa.int64()),
+                [b.column("doc_id"), b.column("row"), b.column("text_hash"), pa.array([len(t) for t in texts], pa.int64()),
                  pa.array([hashlib.sha256(t).hexdigest() for t in texts]), pa.array(lists, pa.binary())],
-                ["doc_id", "row", "n_bytes", "text_sha256", "recipe"])
+                ["doc_id", "row", "text_hash", "n_bytes", "text_sha256", "recipe"])
     return run
 
 
@@ -86,19 +86,21 @@ def _contents(digest_bytes: int):
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      digest_bytes: int = 16) -> DataFrame:
-    """One row per row of ``docs``: ``row, doc_id, keep_id, group_size, kept, text_sha256``.
+    """One row per row of ``docs``: ``row, doc_id, keep_id, group_size, kept, text_sha256, text_hash``.
 
     Texts are equal when they are after lower-casing A-Z; null is the empty
     text.  Of equal texts, the row with the largest id stays (a null id is
     below all others; of rows that repeat the largest id, one stays).  ``row``
-    numbers the rows of this run.  ``digest_bytes`` shortens the digests (the
+    numbers the rows of this run, ``text_hash`` is Spark's xxhash64 of the text as
+    given.  ``digest_bytes`` shortens the digests (the
     tests use it to force collisions): documents holding a chunk whose digest
     stands for several byte strings are told apart by the SHA-256 of their text
     besides.  Other columns are ignored; an empty table gives no rows.
     """
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    recipes, _ = store(base.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _recipes(digest_bytes), "doc_id long, row long, n_bytes long, text_sha256 string, recipe binary"), "recipes")
+    rows = base.withColumn("row", F.monotonically_increasing_id()).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    recipes, _ = store(rows.mapInArrow(
+        _recipes(digest_bytes), "doc_id long, row long, text_hash long, n_bytes long, text_sha256 string, recipe binary"), "recipes")
 
     contents = base.select("text").mapInArrow(_contents(digest_bytes), "digest binary, data binary")
     unverified, _ = store(contents.groupBy("digest").agg(F.min("data").alias("low"), F.max("data").alias("high"))
@@ -116,4 +118,4 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return met.select(
         "row", "doc_id", F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (F.col("best").isNull() | (F.col("best.row") == F.col("row"))).alias("kept"), "text_sha256")
+        (F.col("best").isNull() | (F.col("best.row") == F.col("row"))).alias("kept"), "text_sha256", "text_hash")

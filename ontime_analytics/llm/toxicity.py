@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ontime_analytics.llm.common import slices, utf8
 
@@ -179,5 +180,7 @@ def score(docs: DataFrame, model: Model, reject_above: float = 0.25, id_col: str
 
     base = docs.select(*[docs[c] for c in cols], docs[text_col].cast("string").alias("__text")) if keep is not None else \
         docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("__text"))
-    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[:-1]]
-    return base.mapInArrow(run, ", ".join([*types, "severity double, grade int, p_toxic double, rejected boolean"]))
+    schema = StructType(base.schema.fields[:-1])
+    for name, kind in (("severity", "double"), ("grade", "integer"), ("p_toxic", "double"), ("rejected", "boolean")):
+        schema.add(name, kind)
+    return base.mapInArrow(run, schema)
