@@ -26,7 +26,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ontime_analytics.llm.bpe import ByteBpe, pieces
 from ontime_analytics.llm.common import MESSAGE, message, pack, partitions, slices, unpack, utf8
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 MAX_VOCABULARY = 1 << 20
 
 
@@ -53,7 +53,7 @@ def _blocks(batches, path: str, n_buckets: int):
                 [(ids, sizes, place[c]) for ids, sizes, c in chunks])
 
     codes, chunks, size, digest = _Codes(), [], 0, xxhash.xxh3_128()
-    for b in slices(batches):
+    for b in slices(batches, 2 << 20):
         texts = [t or "" for t in b.column("text").to_pylist()]
         sizes = np.empty(len(texts), np.uint32)
         parts = []
@@ -195,7 +195,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             at, rows = 0, b.column("ids").to_pylist()
             while at < len(rows):
                 end, size = at, 0
-                while end < len(rows) and (end == at or size < 4 << 20):
+                while end < len(rows) and (end == at or size < 2 << 20):
                     size += len(rows[end] or b"")
                     end += 1
                 ids = np.frombuffer(b"".join(x or b"" for x in rows[at:end]), "<u4").astype(np.int64)
