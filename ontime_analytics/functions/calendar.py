@@ -5,18 +5,17 @@ the last Sunday of October; from 2007 on the second Sunday of March and the
 first Sunday of November.  Over 1987-2008 this yields the 44 crossover dates
 the analysis is defined on.
 
-The rule is turned into a calendar dimension by Spark itself (``spark.range``
-over the years, two rows per year, so its size is known before it is
-broadcast) and the flights are kept by a broadcast left-semi join on
-(year, month, day).  The year range and the month set are also applied as
-plain column filters first, so they reach the Parquet scan (``year``
-partition pruning on the typed lake) before any row is probed.
-:func:`is_dst_crossover` is the same rule as a row-level predicate.
+The crossover days are found by the rule itself (:func:`is_dst_crossover`), a
+column expression: no join, and no last year.  Before it, the windows that the
+rule implies - 1-7 April and 25-31 October up to 2006, 8-14 March and 1-7
+November from 2007 - stand as plain comparisons of month, day and year, so
+they reach the Parquet scan (``year`` partition pruning, and row groups of a
+lake sorted by month and day can be skipped).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
@@ -50,16 +49,17 @@ def dst_end(year: Column) -> tuple[Column, Column]:
     return month, day
 
 
-def dst_year_range(year: Column | str = "year", first_year: int = S.DST_FIRST_YEAR,
-                   last_year: int = S.DST_LAST_YEAR) -> Column:
+def dst_year_range(year: Column | str = "year", first_year: int | None = S.DST_FIRST_YEAR,
+                   last_year: int | None = None) -> Column:
+    """``year`` lies in the range; an end that is ``None`` is open (dates exist for years 1 to 9999)."""
     y = F.col(year) if isinstance(year, str) else year
-    return y.between(first_year, last_year)
+    return y.between(max(1, first_year or 1), min(9999, last_year or 9999))
 
 
 def is_dst_crossover(year: Column | str = "year", month: Column | str = "month",
                      day_of_month: Column | str = "day_of_month",
-                     first_year: int = S.DST_FIRST_YEAR,
-                     last_year: int = S.DST_LAST_YEAR) -> Column:
+                     first_year: int | None = S.DST_FIRST_YEAR,
+                     last_year: int | None = None) -> Column:
     """True iff (year, month, day) is a crossover day within the year range.
 
     The date arithmetic sits inside ``when(in range)`` so that no out-of-range
@@ -73,25 +73,16 @@ def is_dst_crossover(year: Column | str = "year", month: Column | str = "month",
     return F.coalesce(F.when(dst_year_range(y, first_year, last_year), hit), F.lit(False))
 
 
-def dst_calendar(spark: SparkSession, first_year: int = S.DST_FIRST_YEAR,
-                 last_year: int = S.DST_LAST_YEAR) -> DataFrame:
-    """(year, month, day_of_month) of every crossover day, two per year."""
-    years = spark.range(first_year, last_year + 1, numPartitions=1) \
-        .select(F.col("id").cast("int").alias("year"))
-    y = F.col("year")
-    sm, sd = dst_start(y)
-    em, ed = dst_end(y)
-    days = F.array(F.struct(sm.alias("month"), sd.alias("day_of_month")),
-                   F.struct(em.alias("month"), ed.alias("day_of_month")))
-    return years.select("year", F.inline(days))
-
-
-def filter_dst_days(flights: DataFrame, first_year: int = S.DST_FIRST_YEAR,
-                    last_year: int = S.DST_LAST_YEAR) -> DataFrame:
-    """Keep the flights on crossover days (broadcast left-semi join with the
-    calendar; its size is 2 x the number of years, fixed by the parameters)."""
-    cal = dst_calendar(flights.sparkSession, first_year, last_year)
-    # the month set first: it drops 2/3 of the rows, the year range hardly any
-    pruned = (flights.filter(F.col("month").isin(3, 4, 10, 11))
-              .filter(dst_year_range("year", first_year, last_year)))
-    return pruned.join(F.broadcast(cal), ["year", "month", "day_of_month"], "left_semi")
+def dst_windows(year: Column, month: Column, day: Column) -> Column:
+    """The days on which a crossover can fall: one week for each change and rule."""
+    old = ((month == 4) & (day <= 7)) | ((month == 10) & (day >= 25))
+    new = ((month == 3) & (day >= 8) & (day <= 14)) | ((month == 11) & (day <= 7))
+    return (old & (year < RULE_CHANGE_YEAR)) | (new & (year >= RULE_CHANGE_YEAR))
+
+
+def filter_dst_days(flights: DataFrame, first_year: int | None = S.DST_FIRST_YEAR,
+                    last_year: int | None = None) -> DataFrame:
+    """Keep the flights on crossover days."""
+    y, m, d = F.col("year"), F.col("month"), F.col("day_of_month")
+    return (flights.filter(dst_year_range(y, first_year, last_year)).filter(dst_windows(y, m, d))
+            .filter(is_dst_crossover(y, m, d, first_year, last_year)))

@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
 from ontime_analytics.functions.parse import tail_key
-from ontime_analytics.session import checkpoint_dir
 
 # Widest aircraft row in bytes: tail (5 chars) + code (6) + model (19), each
 # at most 4 bytes per character in UTF-8, plus UnsafeRow header/offsets and
@@ -48,16 +47,6 @@ def aircraft_dimension(master: DataFrame, model_lookup: DataFrame) -> DataFrame:
                     F.col("best.model").alias("model")))
 
 
-def materialize_dimension(aircraft: DataFrame) -> tuple[DataFrame, int]:
-    """Build the dimension once and store it under the shared checkpoint folder
-    (``spark.checkpoint.dir``); returns the stored DataFrame - its lineage cut,
-    so a lost executor re-reads it instead of re-running the registry join -
-    and its exact row count, the size bound for the broadcast check."""
-    checkpoint_dir(aircraft.sparkSession)
-    stored = aircraft.checkpoint(eager=True)
-    return stored, stored.count()
-
-
 def aircraft_rows_bound(master: DataFrame) -> int:
     """Proven upper bound on the rows of :func:`aircraft_dimension`: it has at
     most one row per MASTER line.  Counting the lines is one cheap scan of the
@@ -69,24 +58,32 @@ def aircraft_rows_bound(master: DataFrame) -> int:
 class ModelJoin:
     """How flights meet the aircraft dimension.
 
-    ``aircraft_rows`` is a proven upper bound on the dimension's rows (e.g.
-    :func:`aircraft_rows_bound`); when it is ``None`` the dimension is counted.
-    ``strategy`` forces ``'broadcast'`` or ``'shuffle'``; ``None`` decides by
-    ``rows x AIRCRAFT_ROW_BYTES_BOUND <= broadcast_max_bytes``."""
+    ``aircraft_rows`` is a proven upper bound on the rows of a dimension parsed
+    from the fixed-width registry (e.g. :func:`aircraft_rows_bound`), whose rows
+    have a known greatest width.  When it is ``None`` the dimension is measured,
+    rows and widths, which fits any frame.  ``strategy`` asks for ``'broadcast'``
+    or ``'shuffle'``; a broadcast above ``broadcast_max_bytes`` is refused.
+    ``None`` broadcasts up to that size and shuffles beyond."""
 
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
     aircraft_rows: int | None = None
     strategy: str | None = None
 
+    def aircraft_bytes(self, aircraft: DataFrame) -> int:
+        if self.aircraft_rows is not None:
+            return self.aircraft_rows * AIRCRAFT_ROW_BYTES_BOUND
+        width = F.lit(64 + 32) + F.octet_length(F.coalesce("tail", F.lit(""))) + F.octet_length(F.coalesce("model", F.lit("")))
+        return aircraft.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+
     def use_broadcast(self, aircraft: DataFrame) -> bool:
-        if self.strategy is not None:
-            if self.strategy not in ("broadcast", "shuffle"):
-                raise ValueError(f"unknown strategy {self.strategy!r}")
-            return self.strategy == "broadcast"
-        if self.broadcast_max_bytes <= 0:
+        if self.strategy not in (None, "broadcast", "shuffle"):
+            raise ValueError(f"unknown strategy {self.strategy!r}")
+        if self.strategy == "shuffle" or (self.strategy is None and self.broadcast_max_bytes <= 0):
             return False
-        rows = aircraft.count() if self.aircraft_rows is None else self.aircraft_rows
-        return rows * AIRCRAFT_ROW_BYTES_BOUND <= self.broadcast_max_bytes
+        size = self.aircraft_bytes(aircraft)
+        if self.strategy == "broadcast" and size > self.broadcast_max_bytes:
+            raise ValueError(f"the aircraft dimension may take {size} bytes, broadcast_max_bytes is {self.broadcast_max_bytes}")
+        return size <= self.broadcast_max_bytes
 
 
 def aggregate_by_model(flights: DataFrame, aircraft: DataFrame,

@@ -43,9 +43,9 @@ def _reason_rows(row: DataFrame, total: str, per_label: list[str], unknown: str)
 
 def cancellations_by_month_reason(flights: DataFrame) -> DataFrame:
     """Q24: cancelled flights per (year, month, reason)."""
-    return (flights.filter(is_cancelled())
-            .groupBy("year", "month", cancellation_reason().alias("reason"))
-            .agg(F.count(F.lit(1)).alias("flights")))
+    per_code = flights.filter(is_cancelled()).groupBy("year", "month", "cancel_code").agg(F.count(F.lit(1)).alias("n"))
+    # the grouped rows are labelled; all unknown codes are one NULL reason
+    return per_code.groupBy("year", "month", cancellation_reason().alias("reason")).agg(F.sum("n").cast("long").alias("flights"))
 
 
 def cancellations_by_carrier(flights: DataFrame) -> DataFrame:

@@ -24,23 +24,29 @@ def delay_by_year(flights: DataFrame) -> DataFrame:
     )
 
 
-def _delayed_count_by(flights: DataFrame, key, name: str) -> DataFrame:
-    return flights.groupBy(key.alias(name)).agg(F.count_if(has_delay()).alias("delayed_flights"))
+def _delayed_count_by(flights: DataFrame, key: str) -> DataFrame:
+    return flights.groupBy(key).agg(F.count_if(has_delay()).alias("delayed_flights"))
+
+
+def _named(counts: DataFrame, label, name: str) -> DataFrame:
+    """Counts per number -> counts per name: the few grouped rows are labelled,
+    and all numbers without a name become one NULL group."""
+    return counts.groupBy(label.alias(name)).agg(F.sum("delayed_flights").cast("long").alias("delayed_flights"))
 
 
 def delays_by_day_of_week(flights: DataFrame) -> DataFrame:
     """Q2: delayed flights per weekday name (groups with none are kept)."""
-    return _delayed_count_by(flights, weekday_name("day_of_week"), "day_name")
+    return _named(_delayed_count_by(flights, "day_of_week"), weekday_name("day_of_week"), "day_name")
 
 
 def delays_by_day_of_month(flights: DataFrame) -> DataFrame:
     """Q3: delayed flights per day of month."""
-    return _delayed_count_by(flights, F.col("day_of_month"), "day_of_month")
+    return _delayed_count_by(flights, "day_of_month")
 
 
 def delays_by_month(flights: DataFrame) -> DataFrame:
     """Q4: delayed flights per month name, across all years."""
-    return _delayed_count_by(flights, month_name("month"), "month_name")
+    return _named(_delayed_count_by(flights, "month"), month_name("month"), "month_name")
 
 
 def net_delay_by_day_of_week(flights: DataFrame) -> DataFrame:

@@ -56,10 +56,12 @@ def _delayed_by(s: DataFrame, key: Column, name: str) -> DataFrame:
     return s.groupBy(key.alias(name)).agg(_sum("delayed_flights"))
 
 
-def _dst_years(s: DataFrame) -> DataFrame:
-    """The per-year crossover-day summary of :mod:`dst`, rolled up from dates."""
-    return filter_dst_days(s).groupBy("year").agg(
-        _sum("delayed_flights"), _sum("delay_minutes"), _sum("timed_flights"))
+def _dst_years(view):
+    """``view`` of the per-year crossover-day summary of :mod:`dst`, rolled up from dates."""
+    def run(s: DataFrame, first_year: int | None = S.DST_FIRST_YEAR, last_year: int | None = None) -> DataFrame:
+        return view(filter_dst_days(s, first_year, last_year).groupBy("year").agg(
+            _sum("delayed_flights"), _sum("delay_minutes"), _sum("timed_flights")))
+    return run
 
 
 CALENDAR_VIEWS = {
@@ -73,8 +75,8 @@ CALENDAR_VIEWS = {
         .agg(_sum("flights"), _sum("cancelled_flights")),
     "monthly_airlines_delays": lambda s: s.groupBy("year", "month").agg(
         _sum("flights"), F.countDistinct("carrier").alias("airlines"), _sum("delayed_flights")),
-    "dst_average_delay": lambda s: dst.FROM_SUMMARY["dst_average_delay"](_dst_years(s)),
-    "dst_delay_percent": lambda s: dst.FROM_SUMMARY["dst_delay_percent"](_dst_years(s)),
+    "dst_average_delay": _dst_years(dst.average_view),
+    "dst_delay_percent": _dst_years(dst.percent_view),
 }
 
 

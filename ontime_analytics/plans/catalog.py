@@ -14,6 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ontime_analytics.operators import (
     airports,
@@ -25,8 +26,9 @@ from ontime_analytics.operators import (
     reasons,
     summaries,
 )
-from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension
-from ontime_analytics.sources.fixture import fixture_aircraft, fixture_flights, fixture_registry
+from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, aircraft_rows_bound
+from ontime_analytics.sources.fixture import fixture_flight_lines, fixture_flights, fixture_registry
+from ontime_analytics.sources.flights import bad_line_counts, parse_flight_lines, type_flights
 
 
 @dataclass(frozen=True)
@@ -123,7 +125,7 @@ class Summary:
 SUMMARIES: dict[str, Summary] = {
     "airports": Summary(airports.airport_summary, airports.FROM_SUMMARY),
     "models": Summary(models.model_summary, models.FROM_SUMMARY, needs_aircraft=True),
-    "dst": Summary(dst.dst_summary, dst.FROM_SUMMARY),
+    "dst": Summary(dst.every_year, dst.FROM_SUMMARY),
     # job-only: the single queries of these keep their direct one-key plans
     "calendar": Summary(summaries.calendar_summary, summaries.CALENDAR_VIEWS),
     "cancellations": Summary(summaries.cancellation_summary, summaries.CANCELLATION_VIEWS),
@@ -147,17 +149,15 @@ def build(name: str, flights: DataFrame | None, aircraft: DataFrame | None = Non
 def fixture_inputs(spark: SparkSession, sf_dir: str, name: str):
     """(flights, aircraft, join options) for ``name`` on the fixture tables.
 
-    ``aircraft_dim`` runs the registry join itself.  The model queries use the
-    dimension built once per session (stored under the checkpoint folder),
-    whose row count is the proven bound for the broadcast check."""
+    The registry join is part of each query's plan.  Only the MASTER lines are
+    counted before, the proven bound for the broadcast check."""
     q = QUERIES[name]
     flights = fixture_flights(spark, sf_dir) if q.flights else None
     aircraft, join = None, None
-    if q.needs_aircraft and not q.flights:
-        aircraft = aircraft_dimension(*fixture_registry(spark, sf_dir))
-    elif q.needs_aircraft:
-        aircraft, rows = fixture_aircraft(spark, sf_dir)
-        join = ModelJoin(aircraft_rows=rows)
+    if q.needs_aircraft:
+        master, lookup = fixture_registry(spark, sf_dir)
+        aircraft = aircraft_dimension(master, lookup)
+        join = ModelJoin(aircraft_rows=aircraft_rows_bound(master)) if q.flights else None
     return flights, aircraft, join
 
 
@@ -173,3 +173,32 @@ def fixture_query(name: str, **overrides) -> Callable[[SparkSession, str], DataF
     run.__name__ = name
     run.__doc__ = QUERIES[name].doc
     return run
+
+
+def parsed_line_totals(lines: DataFrame) -> DataFrame:
+    """S1 and P1 on raw text lines: per year and raw cancellation code, what the typed fields add up to."""
+    return type_flights(parse_flight_lines(lines)).groupBy("year", "cancel_code_raw").agg(
+        F.count(F.lit(1)).alias("flights"),
+        F.sum("dep_delay").alias("dep_delay_minutes"),
+        F.count("arr_delay").alias("timed_arrivals"),
+        F.sum("distance").alias("miles"),
+        F.count_if(F.col("tail_num") == "NA").alias("unknown_tails"),
+        F.sum("cancelled").alias("cancelled_flights"),
+        F.sum("late_aircraft_delay").alias("late_aircraft_minutes"),
+        F.count("carrier").alias("with_carrier"),
+    )
+
+
+#: Queries that start from the raw text lines.
+LINE_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "parsed_line_totals": parsed_line_totals,
+    "bad_rows": bad_line_counts,
+}
+
+
+def fixture_line_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return LINE_QUERIES[name](fixture_flight_lines(spark, sf_dir))
+
+    run.__name__ = name
+    return run

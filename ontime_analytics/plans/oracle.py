@@ -10,6 +10,7 @@ literal list of dates) so the two check each other.
 
 from __future__ import annotations
 
+from ontime_analytics import schema as S
 from ontime_analytics.plans.catalog import FIXTURE_PARAMS
 
 _INT = "CASE WHEN regexp_matches({c}, '^[+-]?[0-9]+$') THEN TRY_CAST({c} AS INTEGER) END"
@@ -24,7 +25,7 @@ _FLIGHTS_RAW = """
 select cast(year(l_shipdate) as string) as Year, cast(month(l_shipdate) as string) as Month,
  cast(day(l_shipdate) as string) as DayofMonth, cast(isodow(l_shipdate) as string) as DayOfWeek,
  concat('C', cast(l_suppkey % 17 as string)) as UniqueCarrier,
- case when l_linenumber = 6 then 'NA' else concat('N', cast(l_partkey as string)) end as TailNum,
+ case when l_linenumber = 6 then 'NA' else concat('N', to_base(l_partkey, 36)) end as TailNum,
  case when l_linenumber = 7 then 'NA'
       else cast(cast(l_quantity as int) * 2 - 50 + cast(l_suppkey % 9 as int) as string) end as ArrDelay,
  case when l_linenumber = 7 and l_linestatus = 'O' then 'NA' when l_linenumber = 7 then ''
@@ -41,7 +42,7 @@ select cast(year(l_shipdate) as string) as Year, cast(month(l_shipdate) as strin
  case when year(l_shipdate) < 1998 then 'NA' else cast(cast(l_quantity as int) % 5 as string) end as WeatherDelay,
  case when year(l_shipdate) < 1998 then 'NA' else cast(cast(l_partkey % 4 as int) as string) end as NASDelay,
  case when year(l_shipdate) < 1998 then '' else cast(cast(l_suppkey % 3 as int) as string) end as SecurityDelay,
- case when year(l_shipdate) < 1999 then 'NA' else cast(cast(l_partkey % 11 as int) as string) end as LateAircraftDelay
+ case when year(l_shipdate) < 1999 then 'NA' else cast(cast(l_partkey % 11 as int) as string) end as LateAircraftDelay, l_orderkey
 from lineitem
 """
 
@@ -62,7 +63,7 @@ from flights_raw
 # FIXTURES.md B2 / B3, then the fixed-width slices and J1 (one row per tail).
 _REGISTRY = """
 master_raw as (
- select concat(rpad(cast(p_partkey as string), 5, ' '), repeat(' ', 32), lpad(cast(p_size as string), 6, '0')) as value
+ select concat(rpad(to_base(p_partkey, 36), 5, ' '), repeat(' ', 32), lpad(cast(p_size as string), 6, '0')) as value
  from part where p_partkey % 10 <> 0),
 acftref_raw as (
  select distinct concat(lpad(cast(p_size as string), 6, '0'), repeat(' ', 33),
@@ -249,6 +250,40 @@ def _bodies() -> dict[str, str]:
     return b
 
 
+# FIXTURES.md B4, then DuckDB's own split; a field that a short line lacks is NULL
+_GIVEN = ("Year", "Month", "DayofMonth", "DayOfWeek", "UniqueCarrier", "TailNum", "ArrDelay", "DepDelay", "Origin", "Distance",
+          "Cancelled", "CancellationCode", "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay")
+_FIELDS = [c if c in _GIVEN else "''" for c in S.RAW_COLUMNS]
+_LINES = f"""
+with flights_raw as ({_FLIGHTS_RAW}),
+lines as (select case l_orderkey % 10 when 0 then concat_ws(',', {', '.join(_FIELDS[:16])})
+ when 1 then concat_ws(',', {', '.join(_FIELDS)}, 'more') else concat_ws(',', {', '.join(_FIELDS)}) end as value from flights_raw),
+f as (select string_split(value, ',') as a from lines)
+"""
+
+
+def _field(raw: str) -> str:
+    return f"a[{S.RAW_COLUMNS.index(raw) + 1}]"
+
+
+def _line_bodies() -> dict[str, str]:
+    n = lambda c: _int(_field(c))
+    unparsable = ", ".join(f"count(*) filter ({n(raw)} is null and not coalesce({_field(raw)} = 'NA', false)) as unparsable_{typed}"
+                           for raw, typed in S.INT_FIELDS)
+    return {
+        "parsed_line_totals": f"""
+select {n('Year')} as year, coalesce({_field('CancellationCode')}, '') as cancel_code_raw, count(*) as flights,
+ cast(sum({n('DepDelay')}) as bigint) as dep_delay_minutes, count({n('ArrDelay')}) as timed_arrivals,
+ cast(sum({n('Distance')}) as bigint) as miles, count(*) filter (trim({_field('TailNum')}) = 'NA') as unknown_tails,
+ cast(sum(coalesce({n('Cancelled')}, 0)) as bigint) as cancelled_flights,
+ cast(sum({n('LateAircraftDelay')}) as bigint) as late_aircraft_minutes, count({_field('UniqueCarrier')}) as with_carrier
+from f group by 1, 2""",
+        "bad_rows": f"""
+select count(*) as rows, count(*) filter (len(a) <> {len(S.RAW_COLUMNS)}) as wrong_field_count, {unparsable} from f""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     """name -> complete DuckDB statement over the registered driver views."""
-    return {name: _PREFIX + body for name, body in _bodies().items()}
+    return {**{name: _PREFIX + body for name, body in _bodies().items()},
+            **{name: _LINES + body for name, body in _line_bodies().items()}}

@@ -19,8 +19,6 @@ RAW_COLUMNS = (
     "SecurityDelay", "LateAircraftDelay",
 )
 
-RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS])
-
 # --- fixed values: English names, 1 = Monday / 1 = January ---
 WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
                  "Saturday", "Sunday")
@@ -55,8 +53,8 @@ DELAY_THRESHOLD_MINUTES = 15
 DISTANCE_BAND_WIDTH = 500
 DISTANCE_BAND_MAX = 5000
 
-# Cut-offs the original authors found on the full 1987-2008 data; they are the
-# defaults of the threshold queries (each is a parameter).
+# --- fixed values: cut-offs found on the full 1987-2008 data; they are the
+# defaults of the threshold queries (each is a parameter) ---
 AIRPORT_COUNT_UPPER = 92625
 AIRPORT_COUNT_LOWER = 290
 AIRPORT_PERCENT_UPPER = 18.06
@@ -66,9 +64,9 @@ MODEL_AVERAGE_UPPER = 105.0
 MODEL_COUNT_UPPER = 5719
 TOP_K = 50
 
-# Years covered by the daylight-saving rule table (the published data range).
+# --- fixed value: first year of the published data; the daylight-saving rule
+# has no last year unless a query is given one ---
 DST_FIRST_YEAR = 1987
-DST_LAST_YEAR = 2008
 
 # Raw column -> typed column.  INT columns go through the strict parser.
 INT_FIELDS = (
@@ -104,7 +102,7 @@ FLIGHTS_SCHEMA = StructType(
 )
 FLIGHT_COLUMNS = tuple(f.name for f in FLIGHTS_SCHEMA.fields)
 
-# Aircraft registry, fixed width (0-based, half-open character slices).
+# --- fixed values: aircraft registry, fixed width (0-based, half-open character slices) ---
 MASTER_TAIL_SLICE = (0, 5)
 MASTER_MODEL_CODE_SLICE = (37, 43)
 ACFTREF_MODEL_CODE_SLICE = (0, 6)

@@ -1,11 +1,10 @@
 """K1-K3: result writers.
 
-Results of the analyses are small (one row per year, airport, model ...), so
-by default they are written as a single part file: ``coalesce(1)`` only
-narrows the final small result and never moves flight rows.  A result that
-grows with its input (the aircraft dimension itself) is written with
-``single_file=False``, one file per partition.  CSV and JSON go to separate
-directories.  JSON is JSON Lines in UTF-8 with named fields.
+One file per partition by default.  ``single_file=True`` is for results known
+to be small (one row per year, airport, model ...; the catalogue marks them):
+``coalesce(1)`` then narrows the final result only and never moves flight rows.
+CSV and JSON go to separate directories.  JSON is JSON Lines in UTF-8 with
+named fields; a NULL is written as ``null``, so every row has every field.
 """
 
 from __future__ import annotations
@@ -14,23 +13,14 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(result: DataFrame, path: str, header: bool = False, mode: str = "overwrite",
-              single_file: bool = True) -> None:
+              single_file: bool = False) -> None:
     """K1/K2: ``key,value[,value]`` lines, no header by default."""
     out = result.coalesce(1) if single_file else result
     out.write.mode(mode).option("header", header).csv(path)
 
 
 def write_json(result: DataFrame, path: str, mode: str = "overwrite",
-               single_file: bool = True) -> None:
+               single_file: bool = False) -> None:
     """K3: one JSON object per result row."""
     out = result.coalesce(1) if single_file else result
-    out.write.mode(mode).option("encoding", "UTF-8").json(path)
-
-
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  mode: str = "overwrite") -> None:
-    """Any size: no coalescing; optional Hive-style partitioning."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    out.write.mode(mode).option("encoding", "UTF-8").option("ignoreNullFields", "false").json(path)

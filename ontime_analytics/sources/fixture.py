@@ -3,24 +3,22 @@
 The driver ships TPC-H-style tables, not flight files.  The ``*_from_*``
 builders only give rows in the raw schemas the jobs expect (flight fields as
 STRING, registry lines as fixed-width text) - no parsing, typing, joining or
-aggregating.  The derivation is fixed by ``FIXTURES.md`` (B1-B3) so that the
+aggregating.  The derivation is fixed by ``FIXTURES.md`` (B1-B4) so that the
 DuckDB oracle can build the very same rows; for the flights it is a pure
 projection of ``lineitem`` (no shuffle), so column pruning reaches the scan.
 
-``fixture_flights`` / ``fixture_registry`` / ``fixture_aircraft`` then wire
-those rows into the library's own steps, exactly as for real files: typing
-(S1, :func:`type_flights`), the registry parsers (S2/S3) and the registry
-join (J1, :func:`aircraft_dimension`, stored once per session).
+``fixture_flights`` / ``fixture_registry`` then wire those rows into the
+library's own steps, exactly as for real files: typing (S1,
+:func:`type_flights`) and the registry parsers (S2/S3).  Nothing is kept
+between calls: each call plans on the files as they are then.
 """
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontime_analytics import schema as S
 from ontime_analytics.sources.flights import type_flights
 from ontime_analytics.sources.registry import parse_model_lookup, parse_registry_master
 
@@ -29,8 +27,13 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def flights_raw_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """B1: one raw flight row per ``lineitem`` row (17 used raw columns)."""
+def part_key(key: Column) -> Column:
+    """A part's key in at most five characters (base 36), which stays unique below 36^5 parts."""
+    return F.conv(_s(key), 10, 36)
+
+
+def flights_raw_from_lineitem(lineitem: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """B1: one raw flight row per ``lineitem`` row (17 used raw columns), and the columns in ``keep``."""
     c = F.col
     ship = c("l_shipdate")
     qty = c("l_quantity").cast("int")
@@ -46,7 +49,7 @@ def flights_raw_from_lineitem(lineitem: DataFrame) -> DataFrame:
         _s(F.dayofmonth(ship)).alias("DayofMonth"),
         _s(F.weekday(ship) + 1).alias("DayOfWeek"),
         F.concat(F.lit("C"), _s(supp % 17)).alias("UniqueCarrier"),
-        F.when(line == 6, F.lit("NA")).otherwise(F.concat(F.lit("N"), _s(part))).alias("TailNum"),
+        F.when(line == 6, F.lit("NA")).otherwise(F.concat(F.lit("N"), part_key(part))).alias("TailNum"),
         F.when(line == 7, F.lit("NA"))
         .otherwise(_s(qty * 2 - 50 + (supp % 9).cast("int"))).alias("ArrDelay"),
         F.when((line == 7) & (status == "O"), F.lit("NA"))
@@ -67,14 +70,26 @@ def flights_raw_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.when(yr < 1998, F.lit("NA")).otherwise(_s((part % 4).cast("int"))).alias("NASDelay"),
         F.when(yr < 1998, F.lit("")).otherwise(_s((supp % 3).cast("int"))).alias("SecurityDelay"),
         F.when(yr < 1999, F.lit("NA")).otherwise(_s((part % 11).cast("int"))).alias("LateAircraftDelay"),
+        *keep,
     )
 
 
+def flight_lines_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """The rows of B1 as text lines of 29 fields joined by commas, the fields
+    that B1 lacks empty; one line in ten ends after 16 fields, one in ten has a 30th."""
+    raw = flights_raw_from_lineitem(lineitem, keep=("l_orderkey",))
+    fields = [F.col(c) if c in raw.columns else F.lit("") for c in S.RAW_COLUMNS]
+    kind = F.col("l_orderkey") % 10
+    return raw.select(F.when(kind == 0, F.concat_ws(",", *fields[:16]))
+                      .when(kind == 1, F.concat_ws(",", *fields, F.lit("more")))
+                      .otherwise(F.concat_ws(",", *fields)).alias("value"))
+
+
 def master_lines_from_part(part: DataFrame) -> DataFrame:
     """B2: fixed-width MASTER lines (every tenth part unregistered)."""
     c = F.col
     return part.filter(c("p_partkey") % 10 != 0).select(
-        F.concat(F.rpad(_s(c("p_partkey")), 5, " "), F.lit(" " * 32),
+        F.concat(F.rpad(part_key(c("p_partkey")), 5, " "), F.lit(" " * 32),
                  F.lpad(_s(c("p_size")), 6, "0")).alias("value"))
 
 
@@ -87,39 +102,17 @@ def model_lines_from_part(part: DataFrame) -> DataFrame:
     ).distinct()
 
 
-# Lazy plans (and the registry line count) per (application, directory): a
-# session builds its input DataFrames once and every query plans on top of
-# them, as one would with ``flights = spark.read.parquet(lake)``.  Nothing is
-# cached as data - each query still scans and computes everything.
-_PLANS: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]):
-    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), os.path.abspath(sf_dir), what)
-    if key not in _PLANS:
-        _PLANS[key] = make()
-    return _PLANS[key]
-
-
 def fixture_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed flights from ``{sf_dir}/lineitem.parquet``."""
-    return _once(spark, sf_dir, "flights", lambda: type_flights(
-        flights_raw_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))))
+    return type_flights(flights_raw_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet")))
 
 
-def fixture_registry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(master, model lookup) parsed from lines derived from ``part``."""
-    def make():
-        part = spark.read.parquet(f"{sf_dir}/part.parquet")
-        return (parse_registry_master(master_lines_from_part(part)),
-                parse_model_lookup(model_lines_from_part(part)))
-    return _once(spark, sf_dir, "registry", make)
+def fixture_flight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw flight lines from ``{sf_dir}/lineitem.parquet``."""
+    return flight_lines_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
-def fixture_aircraft(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """The aircraft dimension built from the fixture registry once per session
-    and stored under ``spark.checkpoint.dir``, with its row count."""
-    from ontime_analytics.operators.aircraft import aircraft_dimension, materialize_dimension
-
-    return _once(spark, sf_dir, "aircraft",
-                 lambda: materialize_dimension(aircraft_dimension(*fixture_registry(spark, sf_dir))))
+def fixture_registry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(master, model lookup) parsed from lines derived from ``part``."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return (parse_registry_master(master_lines_from_part(part)), parse_model_lookup(model_lines_from_part(part)))

@@ -10,17 +10,21 @@ the Parquet lake written by :mod:`ontime_analytics.sources.ingest`.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ontime_analytics import schema as S
 from ontime_analytics.functions.parse import strict_int
 
 FIELD_COUNT_COLUMN = "_fields"
+LOAD_COLUMN = "load"
 
 
 def parse_flight_lines(lines: DataFrame, header: bool = False, value: str = "value",
-                       keep_field_count: bool = False) -> DataFrame:
+                       keep_field_count: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Split text lines on ``,`` into the 29 raw STRING columns by position.
 
     No quoting (as in the files); an empty field is ``''``; a short line gives
@@ -32,7 +36,7 @@ def parse_flight_lines(lines: DataFrame, header: bool = False, value: str = "val
     cols = [F.try_element_at(fields, F.lit(i + 1)).alias(c) for i, c in enumerate(S.RAW_COLUMNS)]
     if keep_field_count:
         cols.append(F.size(fields).alias(FIELD_COUNT_COLUMN))
-    return lines.select(*cols)
+    return lines.select(*cols, *keep)
 
 
 def read_flights_raw(spark: SparkSession, path: str | list[str], header: bool = False,
@@ -44,9 +48,10 @@ def read_flights_raw(spark: SparkSession, path: str | list[str], header: bool =
                               keep_field_count=keep_field_count)
 
 
-def type_flights(raw: DataFrame) -> DataFrame:
+def type_flights(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project and type the 17 used raw columns (plus the upper-cased
-    cancellation code).  Works on any DataFrame that has the raw column names."""
+    cancellation code), and the columns named in ``keep`` as they are.  Works on
+    any DataFrame that has the raw column names."""
     ints = {typed: strict_int(name).alias(typed) for name, typed in S.INT_FIELDS}
     strs = {typed: F.col(name).alias(typed) for name, typed in S.STRING_FIELDS}
     code = F.col("CancellationCode")
@@ -57,12 +62,19 @@ def type_flights(raw: DataFrame) -> DataFrame:
         "cancel_code": F.upper(code).alias("cancel_code"),
     }
     by_name = {**ints, **strs, **extra}
-    return raw.select(*[by_name[c] for c in S.FLIGHT_COLUMNS])
+    return raw.select(*[by_name[c] for c in S.FLIGHT_COLUMNS], *keep)
+
 
+def read_flights(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Read typed flights from one lake or several (Parquet, partitioned by
+    ``year`` and ``load``), e.g. one of batch loads and one of a stream.
 
-def read_flights(spark: SparkSession, path: str) -> DataFrame:
-    """Read the typed flights lake (Parquet, partitioned by ``year``)."""
-    return spark.read.parquet(path).select(*S.FLIGHT_COLUMNS)
+    The schema is fixed: no footer is read for it, an empty lake gives no rows
+    and a lake with NULL years only keeps its column types."""
+    paths = [path] if isinstance(path, str) else list(path)
+    schema = StructType([*S.FLIGHTS_SCHEMA.fields, StructField(LOAD_COLUMN, StringType())])
+    lakes = [spark.read.schema(schema).parquet(p).select(*S.FLIGHT_COLUMNS) for p in paths]
+    return reduce(DataFrame.unionByName, lakes)
 
 
 def read_flights_csv(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
@@ -70,12 +82,12 @@ def read_flights_csv(spark: SparkSession, path: str | list[str], header: bool =
     return type_flights(read_flights_raw(spark, path, header=header))
 
 
-def bad_rows(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
-    """Malformed-input report for a set of flight files, in one pass (one
+def bad_line_counts(lines: DataFrame, header: bool = False) -> DataFrame:
+    """Malformed-input report for flight lines (column ``value``), in one pass (one
     global aggregate): rows, rows with a field count other than 29, and for
     every integer field the values that are neither a strict integer nor the
     ``NA`` marker (``unparsable_<column>``; a missing field counts)."""
-    raw = read_flights_raw(spark, path, header=header, keep_field_count=True)
+    raw = parse_flight_lines(lines, header=header, keep_field_count=True)
 
     def unparsable(name: str):
         c = F.col(name)
@@ -86,3 +98,8 @@ def bad_rows(spark: SparkSession, path: str | list[str], header: bool = False) -
         F.count_if(F.col(FIELD_COUNT_COLUMN) != len(S.RAW_COLUMNS)).alias("wrong_field_count"),
         *[unparsable(name).alias(f"unparsable_{typed}") for name, typed in S.INT_FIELDS],
     )
+
+
+def bad_rows(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
+    """:func:`bad_line_counts` of a set of flight files."""
+    return bad_line_counts(spark.read.text([path] if isinstance(path, str) else list(path)), header)

@@ -1,38 +1,81 @@
-"""Land yearly flight files in a typed, year-partitioned Parquet lake.
+"""Land flight files in a typed Parquet lake, partitioned by ``year`` and ``load``.
 
 One Spark job replaces "download, bunzip2, strip the header, hdfs put":
 ``*.csv.bz2`` is read natively (bzip2 is splittable, so one large yearly file
-is read by many tasks), typed once, and written partitioned by ``year``.
+is read by many tasks), typed once, and written.
 
-No shuffle: every task writes the years it read, and the input is one file
-per year, so a task touches one year partition.  Each task sorts its own rows
-by (month, day) before writing, so Parquet row-group statistics let month
+``load`` names the input file a row came from, so the unit of overwriting is
+one file's rows of one year: loading a file again replaces what it gave before
+- also in years it no longer has - and nothing else.  Rows whose year does not
+parse keep their file's load under a NULL year.
+
+No shuffle: every task writes the files it read.  Each task sorts its own rows
+by (year, month, day) before writing, so Parquet row-group statistics let date
 filters (e.g. the daylight-saving days) skip row groups; ``maxRecordsPerFile``
-bounds the output file size.  With ``partitionOverwriteMode=dynamic`` re-loading a
-year replaces that year only.  A failed task is simply re-run; the commit
+bounds the output file size.  A failed task is simply re-run; the commit
 protocol makes the output appear atomically.
+
+A lake is written either by these batch loads or by one file stream
+(:mod:`ontime_analytics.streaming.ingest`), never by both: a stream's metadata
+log hides files it did not write.  :func:`read_flights` reads several lakes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ontime_analytics.sources.flights import read_flights_raw, type_flights
+from ontime_analytics.sources.flights import LOAD_COLUMN, parse_flight_lines, type_flights
 
 DEFAULT_MAX_RECORDS_PER_FILE = 20_000_000
+STREAM_LOG = "_spark_metadata"
+
+
+def load_key(path: Column) -> Column:
+    """A file's load: its name and a hash of its whole path, so that files of
+    one name in two folders stay apart."""
+    return F.concat(F.regexp_extract(path, r"([^/]*)$", 1), F.lit("~"), F.lower(F.hex(F.xxhash64(path))))
+
+
+def _paths(spark: SparkSession, *globs: str) -> set[str]:
+    """The paths that match, through the Hadoop file system that holds them."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = set()
+    for g in globs:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(g)
+        out |= {str(s.getPath()) for s in p.getFileSystem(conf).globStatus(p) or []}
+    return out
+
+
+def is_stream_lake(spark: SparkSession, lake: str) -> bool:
+    return bool(_paths(spark, f"{lake}/{STREAM_LOG}"))
+
+
+def has_batch_files(spark: SparkSession, lake: str) -> bool:
+    return bool(_paths(spark, f"{lake}/year=*")) and not is_stream_lake(spark, lake)
 
 
 def write_flights_lake(typed: DataFrame, lake: str, mode: str = "overwrite",
                        max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
-                       sort_within: tuple[str, ...] = ("month", "day_of_month")) -> None:
-    """Write typed flights as the year-partitioned Parquet lake."""
+                       sort_within: tuple[str, ...] = ("month", "day_of_month"),
+                       load: str = "all") -> None:
+    """Write typed flights to the lake; without a ``load`` column they are one load named ``load``.
+
+    With ``mode="overwrite"`` each load that occurs replaces its own (year, load)
+    partitions; years of a load that the rows no longer have are left to
+    :func:`ingest_flights`, which knows the files it read."""
+    spark = typed.sparkSession
+    if is_stream_lake(spark, lake):
+        raise ValueError(f"{lake} is written by a stream; load into a folder of its own and read both")
+    if LOAD_COLUMN not in typed.columns:
+        typed = typed.withColumn(LOAD_COLUMN, F.lit(load))
     if sort_within:
-        typed = typed.sortWithinPartitions("year", *sort_within)
+        typed = typed.sortWithinPartitions("year", LOAD_COLUMN, *sort_within)
     (typed.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .option("compression", "zstd")
-     .partitionBy("year")
+     .partitionBy("year", LOAD_COLUMN)
      .parquet(lake))
 
 
@@ -40,6 +83,26 @@ def ingest_flights(spark: SparkSession, source: str | list[str], lake: str,
                    header: bool = True, mode: str = "overwrite",
                    max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
                    sort_within: tuple[str, ...] = ("month", "day_of_month")) -> None:
-    """Raw flight files -> typed lake, in one job."""
-    write_flights_lake(type_flights(read_flights_raw(spark, source, header=header)), lake,
+    """Raw flight files -> typed lake, in one job; then the partitions that a
+    file loaded before gave and no longer gives are removed."""
+    paths = [source] if isinstance(source, str) else list(source)
+    lines = spark.read.text(paths).select("value", load_key(F.input_file_name()).alias(LOAD_COLUMN))
+    files = spark.read.text(paths).inputFiles()
+    before: set[str] = set()
+    if mode == "overwrite" and files:
+        names = [r[0] for r in spark.createDataFrame([(f,) for f in files], "path string").select(load_key(F.col("path"))).collect()]
+        before = _paths(spark, *(f"{lake}/year=*/{LOAD_COLUMN}={_escaped(spark, n)}/part-*" for n in names))
+    write_flights_lake(type_flights(parse_flight_lines(lines, header=header, keep=(LOAD_COLUMN,)), keep=(LOAD_COLUMN,)), lake,
                        mode, max_records_per_file, sort_within)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for old in before:  # what the write did not replace
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, False)
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    """``value`` as a partition directory's name spells it, its glob characters quoted."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in name)

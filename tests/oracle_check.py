@@ -74,7 +74,7 @@ def main(argv):
     from ontime_analytics.session import get_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:] or list(E.queries())
+    names = argv[2:] or [n for n in E.queries() if n in E.oracle_sql()]
     spark = get_session(master="local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     bad = 0

@@ -33,7 +33,7 @@ def raw_row(**over):
 
 
 def flights_of(spark, rows):
-    return type_flights(spark.createDataFrame([raw_row(**r) for r in rows], S.RAW_SCHEMA))
+    return type_flights(spark.createDataFrame([raw_row(**r) for r in rows], ", ".join(f"{c} string" for c in S.RAW_COLUMNS)))
 
 
 def col_values(spark, values, expr):
@@ -116,20 +116,18 @@ def _dst_rule_dates(first, last):
     return {(d.year, d.month, d.day) for d in out}
 
 
-def test_dst_calendar_matches_brute_force(spark):
-    cal = calendar.dst_calendar(spark, 1987, 2008).collect()
-    got = {(r.year, r.month, r.day_of_month) for r in cal}
-    assert len(cal) == 44 and got == _dst_rule_dates(1987, 2008)
-    assert (1988, 4, 3) in got and (2008, 11, 2) in got
-
-
-def test_dst_predicate_agrees_with_calendar(spark):
-    days = [(y, m, d) for y in (1986, 1988, 2006, 2007, 2008, 2009)
-            for m in (3, 4, 10, 11) for d in range(1, 32)]
-    df = spark.createDataFrame(days, "year int, month int, day_of_month int")
-    hit = {(r.year, r.month, r.day_of_month)
-           for r in df.filter(calendar.is_dst_crossover()).collect()}
-    assert hit == {t for t in _dst_rule_dates(1987, 2008) if t[0] in (1988, 2006, 2007, 2008)}
+@pytest.mark.parametrize("first, last, want", [(1987, 2008, (1987, 2008)), (1987, None, (1987, 2030)), (None, 2000, (1980, 2000))])
+def test_dst_days_match_brute_force(spark, first, last, want):
+    """The predicate, and the filter with its windows, over every day of 51 years."""
+    start = dt.date(1980, 1, 1)
+    days = [start + dt.timedelta(i) for i in range((dt.date(2031, 1, 1) - start).days)]
+    df = spark.createDataFrame([(d.year, d.month, d.day) for d in days] + [(None, 4, 3), (0, 4, 3), (99999, 3, 8)],
+                               "year int, month int, day_of_month int")
+    expected = _dst_rule_dates(*want)
+    for kept in (df.filter(calendar.is_dst_crossover(first_year=first, last_year=last)), calendar.filter_dst_days(df, first, last)):
+        assert {(r.year, r.month, r.day_of_month) for r in kept.collect()} == expected
+    if (first, last) == (1987, 2008):
+        assert len(expected) == 44 and (1988, 4, 3) in expected and (2008, 11, 2) in expected
 
 
 def test_dst_exact_dates_not_prefixes(spark):
@@ -267,6 +265,12 @@ def test_size_check_falls_back_to_shuffle(spark, registry):
     assert ModelJoin().use_broadcast(registry)
     assert not ModelJoin(broadcast_max_bytes=10).use_broadcast(registry)
     assert not ModelJoin(aircraft_rows=10**9).use_broadcast(registry)
+    # a forced broadcast goes through the same check; a frame with wide rows is measured, not assumed
+    assert ModelJoin(strategy="broadcast").use_broadcast(registry)
+    with pytest.raises(ValueError, match="broadcast_max_bytes"):
+        ModelJoin(strategy="broadcast", aircraft_rows=10**9).use_broadcast(registry)
+    wide = spark.createDataFrame([("1", "x" * 5000)], "tail string, model string")
+    assert not ModelJoin(broadcast_max_bytes=4000).use_broadcast(wide)
 
 
 def test_empty_input(spark):

@@ -19,7 +19,7 @@ def test_one_scan_and_small_shuffles_per_query():
     table = [line for line in run.stdout.splitlines() if line.startswith("| ")]
     header = [c.strip() for c in table[0].strip("|").split("|")]
     rows = [dict(zip(header, (c.strip() for c in line.strip("|").split("|")))) for line in table[1:]]
-    assert len(rows) == 39
+    assert len(rows) == 41
     for r in rows:
         assert r["python"] == "False", r["query"]
         if r["query"] == "aircraft_dim":
