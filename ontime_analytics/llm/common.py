@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -68,6 +69,20 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20, text: st
             yield b.slice(start)
 
 
+def tidy(run):
+    """``run`` for ``mapInArrow``; when it ends, the worker returns the memory it freed to the system.
+
+    Workers serve one task after the other and would keep the most that any of them took."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library than glibc
+            pass
+    return wrapped
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of a column as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

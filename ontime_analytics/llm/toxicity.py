@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ontime_analytics.llm.common import slices, utf8
+from ontime_analytics.llm.common import slices, tidy, utf8
 
 FEATURE_BITS = 20
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -50,11 +50,18 @@ class Model:
         return 1 / (1 + np.exp(np.clip(np.asarray(self.thresholds)[None, :] - score[:, None], -50, 50)))
 
 
-def fit(rows: list[list[int]], grades: list[int], n_grades: int, l1: float = 0.0005, steps: int = 200) -> Model:
+def _joined(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """All rows' features in a line, and the row of each."""
+    flat = np.concatenate([np.asarray(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
+    return flat, np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+
+
+def fit(rows: list, grades: list[int], n_grades: int, l1: float = 0.0005, steps: int = 200, least: int = 5) -> Model:
     """L1-regularised maximum likelihood by accelerated proximal gradient, in two passes (adaptive penalty).
 
-    With no rows, or with one grade only, the model has no weights and its
-    thresholds give the grades' smoothed shares."""
+    ``rows`` holds each text's distinct features; those of fewer than ``least``
+    texts are left out.  With no rows, or with one grade only, the model has no
+    weights and its thresholds give the grades' smoothed shares."""
     y = np.asarray(grades, np.int64)
     n = len(y)
     share = [(np.sum(y <= k) + 0.5 * (k + 1) / n_grades) / (n + 0.5) for k in range(n_grades - 1)] if n else \
@@ -62,9 +69,15 @@ def fit(rows: list[list[int]], grades: list[int], n_grades: int, l1: float = 0.0
     theta = np.log(np.asarray(share) / (1 - np.asarray(share)))
     if n == 0 or len(set(grades)) < 2:
         return Model({}, np.maximum.accumulate(theta).tolist())
-    cols, inverse = np.unique(np.concatenate([np.asarray(r, np.int64) for r in rows]), return_inverse=True)
-    count = np.bincount(inverse, minlength=len(cols))
-    at = np.repeat(np.arange(n), [len(r) for r in rows])
+    inverse, at = _joined(rows)
+    count = np.bincount(inverse)
+
+    def reduce(keep, cols, inverse, at):
+        """Only the kept columns, renumbered."""
+        renumber, on = (np.cumsum(keep) - 1).astype(np.int32), keep[inverse]
+        return cols[keep], renumber[inverse[on]], at[on]
+
+    cols, inverse, at = reduce(count >= least, np.arange(len(count)), inverse, at)
     sigma = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
     def grad(w, theta):
@@ -79,9 +92,7 @@ def fit(rows: list[list[int]], grades: list[int], n_grades: int, l1: float = 0.0
         return np.bincount(inverse, weights=(du - dl)[at], minlength=len(cols)) / n, gt[1:-1] / n
 
     # a feature whose slope at zero is below the penalty starts, and with few others near it stays, without a weight
-    keep = (np.abs(grad(np.zeros(len(cols)), theta)[0]) >= l1) & (count >= 5)
-    cols, renumber = cols[keep], np.cumsum(keep) - 1
-    at, inverse = at[keep[inverse]], renumber[inverse[keep[inverse]]]
+    cols, inverse, at = reduce(np.abs(grad(np.zeros(len(cols)), theta)[0]) >= l1, cols, inverse, at)
     w = np.zeros(len(cols))
     # the curvature in a weight is at most half the mean, over the texts with its word, of their number of features
     size = np.bincount(at, minlength=n) + n_grades - 1.0
@@ -103,30 +114,27 @@ def fit(rows: list[list[int]], grades: list[int], n_grades: int, l1: float = 0.0
     return Model({int(c): float(x) for c, x in zip(cols, prev_w) if x}, prev_t.tolist())
 
 
-def severity_grades(rows: list[list[int]], toxic: list[int], n_grades: int) -> list[int]:
-    """Grades from 0/1 labels: 0 if not toxic; toxic texts by how many distinct words mark them.
+def severity_grades(rows: list, toxic: list[int], n_grades: int) -> list[int]:
+    """Grades from 0/1 labels: 0 if not toxic; toxic texts by how many distinct features mark them.
 
-    A word marks toxicity if a toxic text is at least eight times as likely to
-    have it and five of them do; the toxic texts are cut into grades 1 up by
+    A feature marks toxicity if a toxic text is at least eight times as likely
+    to have it and five of them do; the toxic texts are cut into grades 1 up by
     quantiles of that number, ties to the lower grade."""
-    n1 = max(1, sum(toxic))
-    n0 = max(1, len(toxic) - n1)
-    pos: dict[int, int] = {}
-    neg: dict[int, int] = {}
-    for r, t in zip(rows, toxic):
-        d = pos if t else neg
-        for f in r:
-            d[f] = d.get(f, 0) + 1
-    marks = {f for f, c in pos.items() if c >= 5 and (c + 0.5) / n1 >= 8 * (neg.get(f, 0) + 0.5) / n0}
-    number = [sum(f in marks for f in r) for r in rows]
-    cuts = np.quantile([m for m, t in zip(number, toxic) if t] or [0], [k / (n_grades - 1) for k in range(1, n_grades - 1)])
-    return [int(1 + np.sum(m > cuts)) if t else 0 for m, t in zip(number, toxic)]
+    flat, at = _joined(rows)
+    t = np.asarray(toxic, bool)
+    size = int(flat.max()) + 1 if len(flat) else 1
+    pos, neg = np.bincount(flat[t[at]], minlength=size), np.bincount(flat[~t[at]], minlength=size)
+    n1, n0 = max(1, int(t.sum())), max(1, int((~t).sum()))
+    marks = (pos >= 5) & ((pos + 0.5) / n1 >= 8 * (neg + 0.5) / n0)
+    number = np.bincount(at[marks[flat]], minlength=len(toxic))
+    cuts = np.quantile(number[t] if t.any() else [0], [k / (n_grades - 1) for k in range(1, n_grades - 1)])
+    return [int(1 + np.sum(m > cuts)) if x else 0 for m, x in zip(number, toxic)]
 
 
 def _feature_rows(batches):
     for b in slices(batches):
-        rows = [sorted(features(t)) for t in utf8(b.column("text"))]
-        yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], ["toxic", "features"])
+        rows = [np.array(sorted(features(t)), "<i4").tobytes() for t in utf8(b.column("text"))]
+        yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(rows, pa.binary())], ["toxic", "features"])
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, n_grades: int = 3, l1: float = 0.0005,
@@ -140,8 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, n_grades: in
         .groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
     base = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     sample = base.join(F.broadcast(ids), "id").select("toxic", "text") \
-        .mapInArrow(_feature_rows, "toxic int, features array<int>").orderBy(F.xxhash64("features"), "toxic").limit(2 * max_rows).collect()
-    rows, toxic = [list(r.features) for r in sample], [int(r.toxic > 0) for r in sample]
+        .mapInArrow(tidy(_feature_rows), "toxic int, features binary").orderBy(F.xxhash64("features"), "toxic").limit(2 * max_rows).collect()
+    rows, toxic = [np.frombuffer(r.features, "<i4") for r in sample], [int(r.toxic > 0) for r in sample]
     return fit(rows, severity_grades(rows, toxic, n_grades), n_grades, l1)
 
 
@@ -183,4 +191,4 @@ def score(docs: DataFrame, model: Model, reject_above: float = 0.25, id_col: str
     schema = StructType(base.schema.fields[:-1])
     for name, kind in (("severity", "double"), ("grade", "integer"), ("p_toxic", "double"), ("rejected", "boolean")):
         schema.add(name, kind)
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(tidy(run), schema)
