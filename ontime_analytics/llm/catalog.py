@@ -87,6 +87,21 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=75).drop("group", "text_hash")
 
 
+ORACLE_SQL["op3_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+                          WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
+u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+l AS (SELECT x.doc_id AS a, y.doc_id AS b FROM u x JOIN u y ON x.g = y.g AND x.doc_id < y.doc_id
+      GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c ON doc_id = a"""
+
+
 # ---- 4: suffix-array dedup ------------------------------------------------
 
 @query
@@ -96,6 +111,22 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE_SQL["op4_suffix_dedup"] = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM b),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM p),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+d AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS last FROM w JOIN f USING (s) WHERE first < doc_id),
+g AS (SELECT doc_id, i, sum(CASE WHEN last IS NULL OR i > last + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM d),
+x AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM g GROUP BY doc_id, span),
+y AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS since FROM x),
+k AS (SELECT doc_id, count(*) AS spans, sum(z - a) AS removed, max(z) AS z, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+      FROM y JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(k.z, 0) + 1))) AS kept_sha256
+FROM b LEFT JOIN k USING (doc_id)"""
+
+
 # ---- 5: chat formatting ---------------------------------------------------
 
 @query
