@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 
 from tokenizers import Tokenizer
 
@@ -58,6 +60,17 @@ class ByteBpe:
         return self.tokenizer.encode(unit, add_special_tokens=False).ids
 
 
+def load(path: str) -> ByteBpe:
+    """The tokenizer at ``path``, read once in the life of a worker process.
+
+    Functions are sent to workers by value, so their own globals live for one
+    task only; the cache hangs on a module of its own."""
+    kept = sys.modules.setdefault("_ontime_llm_tokenizers", types.ModuleType("_ontime_llm_tokenizers")).__dict__
+    if path not in kept:
+        kept[path] = ByteBpe(path)
+    return kept[path]
+
+
 def pieces(path: str) -> list[tuple[int, bytes, bool]]:
     """(id, bytes, special) for every id of the vocabulary.
 

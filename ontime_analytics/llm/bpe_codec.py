@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ontime_analytics.llm.bpe import ByteBpe, pieces
-from ontime_analytics.llm.common import MESSAGE, message, pack, partitions, slices, unpack, utf8
+from ontime_analytics.llm.bpe import load, pieces
+from ontime_analytics.llm.common import MESSAGE, message, pack, partitions, slices, tidy, unpack, utf8
 
 BLOCK_BYTES = 8 << 20
 MAX_VOCABULARY = 1 << 20
@@ -41,7 +41,7 @@ class _Codes(dict):
 def _blocks(batches, path: str, n_buckets: int):
     """(block, units by bucket, sizes by bucket, chunks) with chunks of (ids of the documents, units per document,
     units' places).  A unit's place counts the block's units bucket by bucket."""
-    bpe = ByteBpe(path)
+    bpe = load(path)
 
     def done():
         units = [u.encode() for u in codes]
@@ -91,7 +91,7 @@ def _ask(path: str, n_buckets: int):
 def _answer(path: str):
     """Step 2: the ids of the units of each (block, bucket), in their order; each distinct unit is encoded once."""
     def run(batches):
-        bpe, bucket, known = ByteBpe(path), None, {}
+        bpe, bucket, known = load(path), None, {}
         small = bpe.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
         for b in batches:
             rows = []
@@ -170,10 +170,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     ignored; an empty table gives no rows."""
     n = partitions(docs.sparkSession)
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    asked = base.mapInArrow(_ask(path, n), MESSAGE)
-    answered = asked.repartition(n, "seq").sortWithinPartitions("seq", "block").mapInArrow(_answer(path), MESSAGE)
-    sent = answered.unionByName(base.mapInArrow(_positions(path, n), MESSAGE))
-    return sent.repartition(n, "block").sortWithinPartitions("block", "kind", "seq").mapInArrow(_join, "doc_id long, ids binary")
+    asked = base.mapInArrow(tidy(_ask(path, n)), MESSAGE)
+    answered = asked.repartition(n, "seq").sortWithinPartitions("seq", "block").mapInArrow(tidy(_answer(path)), MESSAGE)
+    sent = answered.unionByName(base.mapInArrow(tidy(_positions(path, n)), MESSAGE))
+    return sent.repartition(n, "block").sortWithinPartitions("block", "kind", "seq").mapInArrow(tidy(_join), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -207,4 +207,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
                 at = end
 
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))
+    return encoded.mapInArrow(tidy(run), StructType([*encoded.schema.fields, StructField("decoded", StringType())]))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import slices
+from ontime_analytics.llm.common import slices, tidy
 
 K1, B = 1.2, 0.75
 ITEM_BLOCK = 4           # items that share a block maximum
@@ -235,7 +235,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
     spark = docs.sparkSession
     items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), F.coalesce(benchmark[item_text].cast("string"), F.lit("")).alias("text")) \
         .withColumn("row", F.monotonically_increasing_id())
-    terms = items.mapInArrow(_item_terms, "row long, term binary, n long")
+    terms = items.mapInArrow(tidy(_item_terms), "row long, term binary, n long")
     n_items, n_bytes = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     n_words = terms.agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-n_items // GROUP_ITEMS), -(-n_bytes // GROUP_BYTES))
@@ -261,5 +261,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
                 old = b.column("__leaks").to_pylist()
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([o + f for o, f in zip(old, found)], hit)], b.schema.names)
 
-        out = out.mapInArrow(run, out.schema)
+        out = out.mapInArrow(tidy(run), out.schema)
     return out.select(*keep, F.col("__leaks").alias("leaks"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import slices, store, utf8
+from ontime_analytics.llm.common import slices, store, tidy, utf8
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 256, 8192, 10
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -100,9 +100,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     rows = base.withColumn("row", F.monotonically_increasing_id()).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     recipes, _ = store(rows.mapInArrow(
-        _recipes(digest_bytes), "doc_id long, row long, text_hash long, n_bytes long, text_sha256 string, recipe binary"), "recipes")
+        tidy(_recipes(digest_bytes)), "doc_id long, row long, text_hash long, n_bytes long, text_sha256 string, recipe binary"), "recipes")
 
-    contents = base.select("text").mapInArrow(_contents(digest_bytes), "digest binary, data binary")
+    contents = base.select("text").mapInArrow(tidy(_contents(digest_bytes)), "digest binary, data binary")
     unverified, _ = store(contents.groupBy("digest").agg(F.min("data").alias("low"), F.max("data").alias("high"))
                           .filter("low != high").select("digest"), "unverified")
     rows = recipes.withColumn("apart", F.lit(None).cast("string"))

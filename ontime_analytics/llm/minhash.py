@@ -25,10 +25,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import drop, slices, store, utf8
+from ontime_analytics.llm.common import drop, slices, store, tidy, utf8
 from ontime_analytics.llm.components import components
 
-WORDS, SIZE, BANDS = 5, 128, 32  # a link of similarity 0.75 shares a band but for one time in 100,000
+WORDS, SIZE, BANDS = 5, 128, 32  # a link of similarity 0.75 shares a band but for one in 190,000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -141,7 +141,7 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, table, most: int =
     dealt = dealt.unionByName(dealt.select("grp", "salt", F.col("grp").alias("cls")).distinct())
     sent = dealt.join(texts, "cls").select("grp", "salt", "cls", "text")
     return sent.repartition("grp", "salt").sortWithinPartitions("grp", "salt", F.col("cls") != F.col("grp")) \
-        .mapInArrow(_verify(percent), "a long, b long")
+        .mapInArrow(tidy(_verify(percent)), "a long, b long")
 
 
 def _shingle_rows(batches):
@@ -159,7 +159,7 @@ def _across(texts: DataFrame, percent: int, table) -> DataFrame:
     share one of the first n - required + 1 of each, and from a shared one at
     the places i and j on they can share at most min(n - i, m - j) + 1.  So a
     shingle common to a large group only pairs classes that have little else."""
-    rows, _ = table(texts.mapInArrow(_shingle_rows, "cls long, component long, shingles array<long>")
+    rows, _ = table(texts.mapInArrow(tidy(_shingle_rows), "cls long, component long, shingles array<long>")
                     .select("cls", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "shingles")
     counts, _ = table(rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"), "counts")
     placed = rows.join(counts, "shingle", "left").withColumn(
@@ -196,7 +196,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return out
 
     rows, _ = store(base.select("doc_id", "text_hash", "text").mapInArrow(
-        _sketch_rows, "doc_id long, text_hash long, n_shingles long, set_hash binary, bands array<long>"), "sketches")
+        tidy(_sketch_rows), "doc_id long, text_hash long, n_shingles long, set_hash binary, bands array<long>"), "sketches")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n_shingles", "bands")).alias("x")
     classes, _ = table(rows.filter("set_hash is not null").groupBy("set_hash").agg(least).select(
         "set_hash", F.col("x.doc_id").alias("text_id"), F.col("x.text_hash").alias("text_hash"), F.col("x.n_shingles").alias("n"),

@@ -15,7 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from ontime_analytics.llm.common import slices
+from ontime_analytics.llm.common import slices, tidy
 
 # fixed values: the contract's base patterns, minimum lengths and order of kinds
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -119,4 +119,4 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(rows, kind)], ["doc_id", "findings"])
 
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return base.mapInArrow(run, "doc_id long, findings array<struct<kind:string,start:bigint,end:bigint,novelty:double>>")
+    return base.mapInArrow(tidy(run), "doc_id long, findings array<struct<kind:string,start:bigint,end:bigint,novelty:double>>")

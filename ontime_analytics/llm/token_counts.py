@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.bpe import ByteBpe
-from ontime_analytics.llm.common import slices
+from ontime_analytics.llm.bpe import load
+from ontime_analytics.llm.common import slices, tidy
 
 
 def frequent_units(docs: DataFrame, path: str, table_size: int = 50_000, per_task: int = 5_000,
@@ -27,7 +27,7 @@ def frequent_units(docs: DataFrame, path: str, table_size: int = 50_000, per_tas
     ``per_task`` most frequent units.  The choice only decides what is looked
     up fast: counts do not depend on it."""
     def run(batches):
-        bpe, seen = ByteBpe(path), Counter()
+        bpe, seen = load(path), Counter()
         for b in slices(batches):
             for t in b.column("text").to_pylist():
                 seen.update(bpe.units(t or ""))
@@ -36,9 +36,9 @@ def frequent_units(docs: DataFrame, path: str, table_size: int = 50_000, per_tas
         top = [(u, c) for u, c in seen.most_common(per_task) if len(u) <= max_chars]
         yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top], pa.string()), pa.array([c for _, c in top], pa.int64())], ["unit", "n"])
 
-    top = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(run, "unit string, n long") \
+    top = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), "unit string, n long") \
         .groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(table_size)
-    bpe = ByteBpe(path)
+    bpe = load(path)
     return {r.unit: len(bpe.ids(r.unit)) for r in top.select("unit").collect()}
 
 
@@ -71,7 +71,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
             return n
 
     def run(batches):
-        bpe = ByteBpe(path)
+        bpe = load(path)
         lengths = Lengths(bpe)
         for b in slices(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
@@ -81,4 +81,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
                 [b.column("doc_id"), sizes, pa.array(counts, pa.int64()), pa.array([c > limit for c in counts], pa.bool_())],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return base.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return base.mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
