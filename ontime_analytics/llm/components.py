@@ -22,13 +22,14 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     return out.filter("a != b").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, made: list[str] | None = None) -> DataFrame:
     """``node, component`` for every node of ``edges`` (columns ``a`` and ``b``, longs): the component is its smallest node.
 
     Loops, repeated edges and either direction may occur; an empty table gives
     no rows.  Each round is written to the shared folder and the one before is
     deleted; only a count and a checksum of the edges reach the driver.  Rounds
-    grow with the logarithm of the longest chain.
+    grow with the logarithm of the longest chain.  The path of the table that the
+    result reads is added to ``made``, for the caller to delete.
     """
     spark = edges.sparkSession
     now, path = store(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -43,5 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
         drop(spark, lp)
         drop(spark, path)
         now, path = after, ap
+    if made is not None:
+        made.append(path)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")) \
         .unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

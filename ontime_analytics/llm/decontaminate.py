@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from ontime_analytics.llm.common import slices, tidy
 
@@ -33,6 +34,7 @@ K1, B = 1.2, 0.75
 ITEM_BLOCK = 4           # items that share a block maximum
 GROUP_ITEMS, GROUP_BYTES = 512, 1 << 20  # of the items indexed and broadcast at once
 LEAST_WINDOW = 64
+PART = 1 << 20             # characters of text screened at once
 SHINGLE = 3
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -229,8 +231,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
     least ``overlap`` (a part of fewer words counts as one sequence).  Texts are
     read whole.  Null and empty texts and items have no leaks; repeated rows and
     items stay; other columns are ignored.  Items go in groups of at most about
-    512 and 1 MB: an index of one group is broadcast, and all groups are
-    queried one after the other, so a larger benchmark takes more passes.
+    512 and 1 MB, each with an index that is broadcast; a worker queries a run of
+    documents against one after the other, so a larger benchmark takes more time
+    and no more memory.
     """
     spark = docs.sparkSession
     items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), F.coalesce(benchmark[item_text].cast("string"), F.lit("")).alias("text")) \
@@ -240,26 +243,38 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
     n_words = terms.agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-n_items // GROUP_ITEMS), -(-n_bytes // GROUP_BYTES))
     df = terms.groupBy("term").agg(F.count("*").alias("df"))
-    hit = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())]))
-    hits = "array<struct<item_id:bigint,score:double,question:double,answer:double>>"
-
-    out = docs.select(*[docs[c] for c in keep], docs[text_col].cast("string").alias("__text"), F.array().cast(hits).alias("__leaks"))
+    shared = []
     for g in range(groups):
-        mine = F.pmod("row", F.lit(groups)) == g
+        mine = F.pmod(F.xxhash64("row"), F.lit(groups)) == g
         texts = [(r.item_id, r.text) for r in items.filter(mine).collect()]
         counts = {bytes(r.term): r.df for r in terms.filter(mine).select("term").distinct().join(df, "term").collect()}
         built = build_index(texts, counts, n_items, n_words / max(1, n_items))
-        shared = spark.sparkContext.broadcast(vars(built) if built else None)
+        if built:
+            shared.append(spark.sparkContext.broadcast(vars(built)))
 
-        def run(batches, shared=shared):
-            index = Index(**shared.value) if shared.value else None
-            for b in slices(batches, 1 << 20, text="__text"):
-                if index is None:
-                    yield b
-                    continue
-                found = leaks(index, [t or "" for t in b.column("__text").to_pylist()], threshold, overlap)
-                old = b.column("__leaks").to_pylist()
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([o + f for o, f in zip(old, found)], hit)], b.schema.names)
+    base = docs.select(*[docs[c] for c in keep], docs[text_col].cast("string").alias("__text"))
+    hit = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())]))
 
-        out = out.mapInArrow(tidy(run), out.schema)
-    return out.select(*keep, F.col("__leaks").alias("leaks"))
+    def run(batches):
+        few = len(shared) <= 2
+        held = [Index(**s.value) for s in shared] if few else []
+        for b in slices(batches, PART if few else 16 * PART, text="__text"):
+            texts = [t or "" for t in b.column("__text").to_pylist()]
+            found: list[list[dict]] = [[] for _ in texts]
+            for g, s in enumerate(shared):
+                index = held[g] if few else Index(**s.value)
+                at = 0
+                while at < len(texts):
+                    end, size = at, 0
+                    while end < len(texts) and (end == at or size < PART):
+                        size += len(texts[end])
+                        end += 1
+                    for i, hits in enumerate(leaks(index, texts[at:end], threshold, overlap), at):
+                        found[i] += hits
+                    at = end
+                if not few:
+                    vars(s).pop("_value", None)  # one index in memory at a time
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, hit)], [*b.schema.names[:-1], "leaks"])
+
+    kind = ArrayType(StructType([StructField("item_id", LongType()), *(StructField(c, DoubleType()) for c in ("score", "question", "answer"))]))
+    return base.mapInArrow(tidy(run), StructType([*base.schema.fields[:-1], StructField("leaks", kind)]))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import slices, store, tidy, utf8
+from ontime_analytics.llm.common import drop, slices, store, tidy, utf8
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 256, 8192, 10
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -103,7 +103,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         tidy(_recipes(digest_bytes)), "doc_id long, row long, text_hash long, n_bytes long, text_sha256 string, recipe binary"), "recipes")
 
     contents = base.select("text").mapInArrow(tidy(_contents(digest_bytes)), "digest binary, data binary")
-    unverified, _ = store(contents.groupBy("digest").agg(F.min("data").alias("low"), F.max("data").alias("high"))
+    unverified, path = store(contents.groupBy("digest").agg(F.min("data").alias("low"), F.max("data").alias("high"))
                           .filter("low != high").select("digest"), "unverified")
     rows = recipes.withColumn("apart", F.lit(None).cast("string"))
     if not unverified.isEmpty():
@@ -111,6 +111,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             f"transform(sequence(1, length(recipe), {digest_bytes}), i -> substring(recipe, i, {digest_bytes}))")).alias("digest"))
         doubtful = parts.join(unverified, "digest", "left_semi").select("row").distinct().withColumn("doubtful", F.lit(True))
         rows = recipes.join(doubtful, "row", "left").withColumn("apart", F.when(F.col("doubtful"), F.col("text_sha256"))).drop("doubtful")
+    else:
+        drop(docs.sparkSession, path)
     key = ["recipe", F.coalesce("apart", F.lit("")).alias("apart")]
     groups, _ = store(rows.groupBy(*key).agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
                       .filter("group_size > 1"), "groups")

@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts, _ = table(texts.select("cls", "text").groupBy("cls").agg(F.first("text").alias("text")), "texts")
     pairs = members.filter("cls != pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
     links, _ = table(_links(pairs, texts, percent, table), "links")
-    parts, _ = table(components(links), "components")
+    parts, _ = table(components(links, made), "components")
 
     # round two: the classes of buckets that still hold several components
     placed = members.filter("size > 2").join(parts, F.col("cls") == F.col("node"), "left") \
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = placed.join(split, "key").select("cls", "component").distinct()
     found, _ = table(_links(_across(texts.join(rest, "cls"), percent, table), texts, percent, table), "links")
     if not found.isEmpty():
-        parts, _ = table(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)), "components")
+        parts, _ = table(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found), made), "components")
 
     of_class = classes.select("set_hash", "cls", "text_id").join(parts, F.col("cls") == F.col("node"), "left") \
         .select("set_hash", "text_id", F.coalesce("component", "cls").alias("component"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime_analytics.llm.bwt import earlier_occurrences
-from ontime_analytics.llm.common import MESSAGE, message, pack, partitions, slices, store, tidy, unpack, utf8
+from ontime_analytics.llm.common import MESSAGE, drop, message, pack, partitions, slices, store, tidy, unpack, utf8
 
 WIDTH, GRAM = 50, 20
 REACH = WIDTH - GRAM
@@ -487,9 +487,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = partitions(docs.sparkSession)
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     asked = base.mapInArrow(tidy(_ask_hashes(n)), MESSAGE)
-    answers, _ = store(asked.repartition(n, "seq").sortWithinPartitions("seq", "block").mapInArrow(tidy(_answer_hashes), MESSAGE), "answers")
+    answers, path = store(asked.repartition(n, "seq").sortWithinPartitions("seq", "block").mapInArrow(tidy(_answer_hashes), MESSAGE), "answers")
     met = answers.unionByName(base.mapInArrow(tidy(_send_texts), MESSAGE)).repartition(n, "block").sortWithinPartitions("block", "kind", "seq")
     doubts, _ = store(met.mapInArrow(tidy(_ask_bytes(n)), MESSAGE), "doubts")
+    drop(docs.sparkSession, path)
     said, _ = store(doubts.filter("kind < 2").repartition(n, "seq").sortWithinPartitions("seq", "kind", "block")
                     .mapInArrow(tidy(_answer_bytes), MESSAGE), "answers")
     last = doubts.filter("kind = 2").unionByName(said).unionByName(base.mapInArrow(tidy(_send_texts), MESSAGE))
