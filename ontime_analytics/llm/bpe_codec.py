@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ontime_analytics.llm.bpe import load, pieces
-from ontime_analytics.llm.common import MESSAGE, message, pack, partitions, slices, tidy, unpack, utf8
+from ontime_analytics.llm.common import MESSAGE, message, messages, pack, partitions, slices, tidy, unpack, utf8
 
 BLOCK_BYTES = 8 << 20
 MAX_VOCABULARY = 1 << 20
@@ -93,26 +93,25 @@ def _answer(path: str):
     def run(batches):
         bpe, bucket, known = load(path), None, {}
         small = bpe.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
-        for b in batches:
-            rows = []
-            for block, k, payload in zip(b.column("block").to_pylist(), b.column("seq").to_pylist(), b.column("payload").to_pylist()):
-                if k != bucket:
-                    bucket, known = k, {}
-                sizes, data = unpack(payload)
-                data, at, lists = data.tobytes(), 0, []
-                for n in sizes.tolist():
-                    unit = data[at:at + n]
-                    at += n
-                    ids = known.get(unit)
-                    if ids is None:
-                        ids = known[unit] = np.array(bpe.ids(unit.decode()), np.uint16 if small else np.uint32).tobytes()
-                    lists.append(ids)
-                flat = np.frombuffer(b"".join(lists), np.uint16 if small else np.uint32)
-                rows.append((block, 0, k, pack(np.array([len(x) // flat.itemsize for x in lists], np.uint32), flat), None))
-                if len(rows) >= 64:
-                    yield message(rows)
-                    rows = []
-            yield message(rows)
+        rows = []
+        for block, _, k, payload, _ in messages(batches):
+            if k != bucket:
+                bucket, known = k, {}
+            sizes, data = unpack(payload)
+            data, at, lists = data.tobytes(), 0, []
+            for n in sizes.tolist():
+                unit = data[at:at + n]
+                at += n
+                ids = known.get(unit)
+                if ids is None:
+                    ids = known[unit] = np.array(bpe.ids(unit.decode()), np.uint16 if small else np.uint32).tobytes()
+                lists.append(ids)
+            flat = np.frombuffer(b"".join(lists), np.uint16 if small else np.uint32)
+            rows.append((block, 0, k, pack(np.array([len(x) // flat.itemsize for x in lists], np.uint32), flat), None))
+            if len(rows) >= 64:
+                yield message(rows)
+                rows = []
+        yield message(rows)
     return run
 
 
@@ -137,28 +136,27 @@ def _spread(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np
 def _join(batches):
     """Step 3, received: a block's answers come first, then its documents."""
     block, answers, table = None, {}, None
-    for b in batches:
-        for blk, kind, seq, payload, ids in zip(*(b.column(c).to_pylist() for c in ("block", "kind", "seq", "payload", "doc_ids"))):
-            if blk != block:
-                block, answers, table = blk, {}, None
-            if kind == 0:
-                answers[seq] = payload
-                continue
-            if table is None:
-                parts = [unpack(answers[k]) for k in sorted(answers)]
-                sizes = np.concatenate([np.empty(0, np.int64), *(p[0].astype(np.int64) for p in parts)])
-                table = (np.concatenate([np.empty(0, np.uint32), *(p[1].astype(np.uint32) for p in parts)]), np.cumsum(sizes) - sizes, sizes)
-                answers = {}
-            per_doc, places = unpack(payload)
-            if len(places) and int(places.max()) >= len(table[2]):
-                raise RuntimeError("a block has no answers: the documents changed between two reads; write them to a table first")
-            places = places.astype(np.int64)
-            flat = _spread(*table, places).astype("<u4")
-            tokens = np.concatenate([[0], np.cumsum(table[2][places])])
-            cuts = tokens[np.concatenate([[0], np.cumsum(per_doc.astype(np.int64))])].tolist()
-            data = flat.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([data[4 * s:4 * e] for s, e in zip(cuts, cuts[1:])], pa.binary())], ["doc_id", "ids"])
+    for blk, kind, seq, payload, ids in messages(batches):
+        if blk != block:
+            block, answers, table = blk, {}, None
+        if kind == 0:
+            answers[seq] = payload
+            continue
+        if table is None:
+            parts = [unpack(answers[k]) for k in sorted(answers)]
+            sizes = np.concatenate([np.empty(0, np.int64), *(p[0].astype(np.int64) for p in parts)])
+            table = (np.concatenate([np.empty(0, np.uint32), *(p[1].astype(np.uint32) for p in parts)]), np.cumsum(sizes) - sizes, sizes)
+            answers = {}
+        per_doc, places = unpack(payload)
+        if len(places) and int(places.max()) >= len(table[2]):
+            raise RuntimeError("a block has no answers: the documents changed between two reads; write them to a table first")
+        places = places.astype(np.int64)
+        flat = _spread(*table, places).astype("<u4")
+        tokens = np.concatenate([[0], np.cumsum(table[2][places])])
+        cuts = tokens[np.concatenate([[0], np.cumsum(per_doc.astype(np.int64))])].tolist()
+        data = flat.tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array([data[4 * s:4 * e] for s, e in zip(cuts, cuts[1:])], pa.binary())], ["doc_id", "ids"])
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -75,6 +75,7 @@ def collection_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray)
         order = order[:len(order) - int(np.count_nonzero(symbols == END))]
         rank = np.empty(len(symbols), np.int64)
         rank[order] = np.arange(len(order))
+        active = active[np.argsort(last[active])]   # by place, so that the gaps between the ranges below stay short
         row = last[active]
         q = rank[row]
         mine = symbols[row]

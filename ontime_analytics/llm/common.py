@@ -69,17 +69,20 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20, text: st
             yield b.slice(start)
 
 
-def tidy(run):
-    """``run`` for ``mapInArrow``; when it ends, the worker returns the memory it freed to the system.
+def release() -> None:
+    """Return freed memory to the system (workers serve one task after the other and would keep the most any took)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library than glibc
+        pass
+
 
-    Workers serve one task after the other and would keep the most that any of them took."""
+def tidy(run):
+    """``run`` for ``mapInArrow`` with :func:`release` at its end."""
     def wrapped(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # another C library than glibc
-            pass
+        release()
     return wrapped
 
 
@@ -115,3 +118,11 @@ def message(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[]] * 5
     kinds = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["block", "kind", "seq", "payload", "doc_ids"])
+
+
+def messages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows (block, kind, seq, payload, doc_ids) one by one, each taken out of its batch only when it is due."""
+    for b in batches:
+        columns = [b.column(c) for c in ("block", "kind", "seq", "payload", "doc_ids")]
+        for i in range(b.num_rows):
+            yield tuple(c[i].as_py() for c in columns)

@@ -35,12 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime_analytics.llm.bwt import earlier_occurrences
-from ontime_analytics.llm.common import MESSAGE, drop, message, pack, partitions, slices, store, tidy, unpack, utf8
+from ontime_analytics.llm.common import MESSAGE, drop, message, messages, pack, partitions, release, slices, store, tidy, unpack, utf8
 
 WIDTH, GRAM = 50, 20
 REACH = WIDTH - GRAM
 BLOCK_BYTES = 8 << 20
 LOCAL_HOT, HOT = 64, 4096
+SORTED = 200_000                  # hashes sorted at once
 BATCH = 2048                      # segments ordered at once, more only if they share an anchor
 _CHUNK = 1 << 18
 _NO_ID = np.iinfo(np.int64).max   # a null id is larger than any other
@@ -205,27 +206,37 @@ def _ask_hashes(n_buckets: int):
             block = Block(_numbers(ids), texts, n_buckets)
             for k, s in block.asked():
                 yield message([(digest, 0, k, pack(block.anchor[s], block.seg[s], _deltas(block.least[s])), None)])
+            del block
+            release()
     return run
 
 
 def _by_bucket(batches):
     """The rows of a partition sorted by seq, gathered by seq (a bucket holds a fixed share of the hashes)."""
     now, rows = None, []
-    for b in batches:
-        for row in zip(*(b.column(c).to_pylist() for c in ("block", "kind", "seq", "payload"))):
-            if row[2] != now and rows:
-                yield now, rows
-                rows = []
-            now = row[2]
-            rows.append(row)
+    for row in messages(batches):
+        if row[2] != now and rows:
+            yield now, rows
+            rows = []
+        now = row[2]
+        rows.append(row)
     if rows:
         yield now, rows
 
 
 def judge_hashes(anchor: np.ndarray, seg: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """The answer to each (anchor, segment, smallest id) entry of one bucket."""
-    if not len(anchor):
-        return np.empty(0, np.uint8)
+    """The answer to each (anchor, segment, smallest id) entry of one bucket; about ``SORTED`` entries are sorted at once."""
+    out = np.empty(len(anchor), np.uint8)
+    runs = np.uint64(len(anchor) // SORTED + 1)
+    run = (anchor % runs).astype(np.uint32) if runs > 1 else np.zeros(len(anchor), np.uint32)
+    for k in range(int(runs)):
+        now = np.flatnonzero(run == k)
+        if len(now):
+            out[now] = _judge(anchor[now], seg[now], owner[now])
+    return out
+
+
+def _judge(anchor: np.ndarray, seg: np.ndarray, owner: np.ndarray) -> np.ndarray:
     order = np.lexsort((owner, seg, anchor))
     a, s, o = anchor[order], seg[order], owner[order]
     new_a, new_s = _firsts(a), _firsts(a, s)
@@ -243,13 +254,20 @@ def judge_hashes(anchor: np.ndarray, seg: np.ndarray, owner: np.ndarray) -> np.n
 
 def _answer_hashes(batches):
     for k, rows in _by_bucket(batches):
+        blocks = [r[0] for r in rows]
         parts = [unpack(r[3]) for r in rows]
-        owners = [_undelta(p[2]) for p in parts]
-        said = judge_hashes(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate(owners))
+        rows.clear()
+        sizes = [len(p[0]) for p in parts]
+        anchor, seg = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        owner = np.concatenate([_undelta(p[2]) for p in parts])
+        del parts
+        said = judge_hashes(anchor, seg, owner)
+        del anchor, seg, owner
         at = 0
-        for r, o in zip(rows, owners):
-            yield message([(r[0], 0, k, pack(said[at:at + len(o)]), None)])
-            at += len(o)
+        for block, n in zip(blocks, sizes):
+            yield message([(block, 0, k, pack(said[at:at + n]), None)])
+            at += n
+        release()
 
 
 def _send_texts(batches):
@@ -268,11 +286,7 @@ def _send_texts(batches):
 
 def _by_block(batches):
     """(block, rows of kind < 9, iterator of the text rows): a block's answers come before its texts."""
-    def rows():
-        for b in batches:
-            yield from zip(*(b.column(c).to_pylist() for c in ("block", "kind", "seq", "payload", "doc_ids")))
-
-    stream = rows()
+    stream = messages(batches)
     row = next(stream, None)
     while row is not None:
         block, answers = row[0], {}
@@ -361,6 +375,7 @@ def _ask_bytes(n_buckets: int):
             b, e = _merged(*(np.concatenate(x) for x in zip(*cover)))
             yield message([(digest, 2, 0, pack(b.astype(np.uint64), (e - b).astype(np.uint32), block.begin[wait].astype(np.uint64),
                                                wait_for.astype(np.uint32), wait2.astype(np.uint64), wait2_for.astype(np.uint32)), None)])
+            release()
     return run
 
 
