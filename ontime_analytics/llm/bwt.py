@@ -14,7 +14,6 @@ import tempfile
 
 import numpy as np
 
-END = 256            # the symbol before a whole string
 CAP = 255            # common prefixes are counted up to here
 SPOOL = 256 << 20    # bytes of one column kept in memory
 
@@ -59,10 +58,14 @@ def collection_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray)
     hold them, decided at their ends; empty suffixes come first."""
     m = len(starts)
     ends = starts + sizes
+    used = np.bincount(data, minlength=256) > 0
+    end = int(used.sum())          # the symbol before a whole string: after all bytes that occur, which are renumbered
+    kind = np.uint8 if end < 256 else np.uint16
+    data = (np.cumsum(used) - 1).astype(kind)[data]
 
     def symbol(which: np.ndarray, length: int) -> np.ndarray:
         at = ends[which] - length - 1
-        return np.where(at >= starts[which], data[np.maximum(at, 0)].astype(np.uint16) if len(data) else END, END).astype(np.uint16)
+        return np.where(at >= starts[which], data[np.maximum(at, 0)] if len(data) else end, end).astype(kind)
 
     every = np.arange(m)
     bwt, lcp = _Column(symbol(every, 0)), _Column(np.zeros(m, np.uint8))
@@ -72,7 +75,7 @@ def collection_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray)
         active = np.flatnonzero(sizes >= j)
         symbols, common = bwt.read(), lcp.read()
         order = np.argsort(symbols, kind="stable")
-        order = order[:len(order) - int(np.count_nonzero(symbols == END))]
+        order = order[:len(order) - int(np.count_nonzero(symbols == end))]
         rank = np.empty(len(symbols), np.int64)
         rank[order] = np.arange(len(order))
         active = active[np.argsort(last[active])]   # by place, so that the gaps between the ranges below stay short

@@ -56,18 +56,23 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_rows(matrix: np.ndarray, seed: np.uint64) -> np.ndarray:
-    """64-bit hashes of the rows of a byte matrix whose width is a multiple of eight."""
-    words = np.ascontiguousarray(matrix).view("<u8")
-    h = np.full(len(words), seed, np.uint64)
-    for k in range(words.shape[1]):
-        h = (h ^ words[:, k]) * _B
+def _hash_words(words, n: int, seed: np.uint64) -> np.ndarray:
+    """64-bit hashes of ``n`` sequences, given word by word."""
+    h = np.full(n, seed, np.uint64)
+    for w in words:
+        h = (h ^ w) * _B
         h ^= h >> np.uint64(29)
-        h = h * _A
+        h *= _A
         h ^= h >> np.uint64(32)
     return _mix(h)
 
 
+def _hash_rows(matrix: np.ndarray, seed: np.uint64) -> np.ndarray:
+    """64-bit hashes of the rows of a byte matrix whose width is a multiple of eight."""
+    words = np.ascontiguousarray(matrix).view("<u8")
+    return _hash_words((words[:, k] for k in range(words.shape[1])), len(words), seed)
+
+
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """(anchor hash, segment hash, document, anchor's start, segment's start, segment's end) of a block's texts, joined in ``data``."""
     n = len(data)
@@ -86,12 +91,13 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
             continue
         m = len(ok)
         size = m + REACH                       # grams that start here
-        raw = padded[REACH + a:REACH + a + size + GRAM + 8].tobytes()
-        raw += b"\0" * (size + GRAM + 8 - len(raw))
-        words = np.empty(size + GRAM, np.uint64)
+        raw = padded[a:a + REACH + size + WIDTH + 8].tobytes()   # from REACH before the chunk
+        raw += b"\0" * (REACH + size + WIDTH + 8 - len(raw))
+        loads = np.empty(REACH + size + WIDTH, np.uint64)        # eight bytes from each place on
         for o in range(8):
-            part = words[o::8]
+            part = loads[o::8]
             part[:] = np.frombuffer(raw, "<u8", len(part), o)
+        words = loads[REACH:]
         gram = words[:size] * _A
         gram += words[8:size + 8] * _B
         gram += words[GRAM - 8:size + GRAM - 8] * _C
@@ -111,11 +117,11 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
         last = a + int(at[-1])
         doc = np.searchsorted(ends, at + a, side="right")
         begin, end = np.maximum(at + a - REACH, starts[doc]), np.minimum(at + a + WIDTH, ends[doc])
-        matrix = padded[(at + a)[:, None] + np.arange(REACH + WIDTH)]   # the padding shifts it to REACH before
+        seg = _hash_words((loads[at + 8 * k] for k in range((REACH + WIDTH) // 8)), len(at), _C)
         clipped = np.flatnonzero(end - begin < REACH + WIDTH)
         place = (at + a - REACH)[clipped, None] + np.arange(REACH + WIDTH)
-        matrix[clipped] *= (place >= begin[clipped, None]) & (place < end[clipped, None])
-        seg = _hash_rows(matrix, _C)
+        matrix = padded[place + REACH] * ((place >= begin[clipped, None]) & (place < end[clipped, None]))
+        seg[clipped] = _hash_rows(matrix, _C)
         seg = _mix(seg + (at + a - begin).astype(np.uint64) * _A + (end - at - a).astype(np.uint64) * _B)
         out.append((_mix(gram[at] ^ _C), seg, doc, at + a, begin, end))
     if not out:
@@ -132,6 +138,27 @@ def _firsts(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _sorted_by(key: np.ndarray, then: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The order by three columns; most rows have a first one of their own."""
+    order = np.argsort(key)
+    k = key[order]
+    tied = np.zeros(len(k), bool)
+    tied[1:] = k[1:] == k[:-1]
+    tied[:-1] |= tied[1:]
+    rows = order[tied]
+    order[tied] = rows[np.lexsort((last[rows], then[rows], key[rows]))]
+    return order
+
+
+def _by_bucket_and_id(bucket: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    if not len(ids):
+        return np.empty(0, np.int64)
+    low, high = int(ids.min()), int(ids.max())
+    if high - low < 1 << 40 and int(bucket.max()) < 1 << 23:
+        return np.argsort(bucket << 40 | (ids - low))
+    return np.lexsort((ids, bucket))
+
+
 class Block:
     """A block's texts with what its documents ask in step 1, the same whenever it is built."""
 
@@ -144,20 +171,21 @@ class Block:
         anchor, seg, doc, self.gram, self.begin, self.end = anchors(self.data, self.starts, self.ends)
         self.owner = ids[doc]
         bucket = ((anchor >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.int64)
-        anchor, seg = anchor & np.uint64((1 << 40) - 1), seg & _HOT_MARK
+        seg &= _HOT_MARK
         seg[seg == _HOT_MARK] = 0
-        order = np.lexsort((self.owner, seg, anchor, bucket))
+        order = _sorted_by(anchor, seg, self.owner)
+        anchor = anchor & np.uint64((1 << 40) - 1)
         b, a, s, o = bucket[order], anchor[order], seg[order], self.owner[order]
-        first = _firsts(b, a, s)
+        first = _firsts(a, b, s)
         entry = np.cumsum(first) - 1                 # of each sorted occurrence
-        group = np.cumsum(_firsts(b, a)[first]) - 1 if len(a) else np.empty(0, np.int64)
+        group = np.cumsum(_firsts(a, b)[first]) - 1 if len(a) else np.empty(0, np.int64)
         crowded = (np.bincount(group) > LOCAL_HOT)[group] if len(group) else np.empty(0, bool)
         lead = _firsts(group) if len(group) else crowded
         keep = ~crowded | lead                       # a crowded anchor asks once, without its segments
         renumber = np.cumsum(keep) - 1
         at = np.flatnonzero(first)[keep]
         b, a, s, least = b[at], a[at], np.where(crowded[keep], _HOT_MARK, s[at]), o[at]
-        send = np.lexsort((least, b))
+        send = _by_bucket_and_id(b, least)
         place = np.empty(len(send), np.int64)
         place[send] = np.arange(len(send))
         self.bucket, self.anchor, self.seg, self.least = b[send], a[send], s[send], least[send]
