@@ -1,21 +1,34 @@
 """Secret scan: fixed patterns, and incompressible strings in sensitive context.
 
-The patterns give the base findings.  Beyond them, every long token that
-follows a sensitive word is measured by zstandard: the compressor is primed
-with a dictionary of common code identifiers and the text around the token,
-and the token's marginal bytes are what it adds to an empty input.  Words,
-identifiers, paths and repeated strings come out short; random strings do not.
+The patterns give the base findings.  Beyond them, every token of 16 characters
+or more that follows a sensitive word is measured by zstandard: the compressor
+is primed with a dictionary of common code identifiers and the text around the
+token, and the token's marginal bytes are what it adds to an empty input.  The
+bar is a share of what the same characters cost in random order, so it holds
+for any length and alphabet.
+
+In tokens without digits, or without letters, words that the corpus uses (or
+the dictionary) are one byte each, so that long words, identifiers and paths
+come out short; 16 characters or more between them are also measured alone.
+Two rules stay: such a token is not reported if the counts of its symbols leave
+it fewer than 32 bits (rulers, runs of one character), and a string that the
+text around repeats comes out short.
 """
 
 from __future__ import annotations
 
+import math
+import random
 import re
+import zlib
+from collections import Counter
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import slices, tidy
+from ontime_analytics.llm.common import drop, slices, store, tidy, utf8
 
 # fixed values: the contract's base patterns, minimum lengths and order of kinds
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -47,7 +60,7 @@ storage store stream string struct style sum super switch sync system table targ
 thread throw time timeout title token true type undefined union unique unsigned update upload url user username utf
 util valid value variable vector version view virtual void volatile while width window word write xml yield
 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 your_key_here YOUR_API_KEY xxxxxxxxxxxxxxxxxxxxxxxx
-0000000000000000 1234567890 2020-01-01T00:00:00 application/json text/plain charset=utf-8 https://www.example.com/
+the quick brown fox jumps over the lazy dog 0000000000000000 1234567890 2020-01-01T00:00:00 application/json text/plain charset=utf-8 https://www.example.com/
 """.strip().encode()
 
 
@@ -69,16 +82,113 @@ _HEX_TABLE = bytes(120 if chr(c) in "0123456789abcdef" else 32 for c in range(25
 _HEX_RUN = b"x" * 16
 
 
+_RUNS = bytes(c if chr(c) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-" else 32 for c in range(256))
+_LETTERS = bytes(c | 32 if chr(c).isalpha() and c < 128 else 32 for c in range(256))
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+WORD_MIN, INNER_MIN, WORD_MAX, TOKEN_MIN = 3, 5, 15, 16
+BITS_MIN, ORDERS = 32, 4
+
+
+def own_words(text: bytes) -> set[bytes]:
+    """The distinct words of 3 to 15 ASCII letters, lower-cased, outside runs that could be tokens themselves."""
+    out = set()
+    for run in set(text.translate(_RUNS).split()):
+        if len(run) < TOKEN_MIN:
+            out.update(w for w in run.translate(_LETTERS).split() if WORD_MIN <= len(w) <= WORD_MAX)
+    return out
+
+
+COMMON = frozenset(w.decode() for w in own_words(IDENTIFIERS))
+
+
+def frequent_words(docs: DataFrame, size: int = 50_000, least_docs: int = 2, text_col: str = "text") -> frozenset[str]:
+    """The words of most documents, at most ``size``, in ``least_docs`` documents or more, and those of the dictionary.
+
+    Counts are exact and words of equal count come all or not at all, so the
+    words do not depend on how the rows are dealt."""
+    def run(batches):
+        def rows(seen):
+            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
+
+        seen = Counter()
+        for b in slices(batches):
+            for t in utf8(b.column("text")):
+                seen.update(own_words(t))
+                if len(seen) > 200_000:
+                    yield rows(seen)
+                    seen = Counter()
+        yield rows(seen)
+
+    counted, path = store(docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), "word string, n long")
+                          .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_docs), "words")
+    least, room = None, size
+    for r in sorted(counted.groupBy("n").count().collect(), reverse=True):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.n
+    rows = counted.where(F.col("n") >= least).select("word").collect() if least else []
+    drop(docs.sparkSession, path)
+    return COMMON | {r.word for r in rows}
+
+
+def without_words(token: str, words: frozenset[str]) -> tuple[str, str]:
+    """The token with one character above 127 for each known word, and what lies outside the words.
+
+    Known words are whole parts (between other characters and changes of case)
+    or, from five letters on, inside a part, the longest first."""
+    def code(m):
+        part, out, i = m.group().lower(), [], 0
+        if part in words:
+            return chr(128 + zlib.crc32(part.encode()) % 128)
+        while i < len(part):
+            n = next((k for k in range(min(WORD_MAX, len(part) - i), INNER_MIN - 1, -1) if part[i:i + k] in words), 0)
+            out.append(chr(128 + zlib.crc32(part[i:i + n].encode()) % 128) if n else m.group()[i])
+            i += n or 1
+        return "".join(out)
+
+    coded = _PART.sub(code, token)
+    return coded, re.sub(r"[+/_=-]*[\x80-\xff][+/_=-]*", "", coded)
+
+
 def marginal_bytes(candidate: str, around: str) -> int:
-    """Bytes that the candidate adds to a zstandard frame primed with the identifiers and its surroundings."""
-    primed = zstandard.ZstdCompressionDict(IDENTIFIERS + b"\n" + around.encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    z = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
-    return len(z.compress(candidate.encode())) - len(z.compress(b""))
+    """Bytes that the candidate (code points below 256) adds to a zstandard frame primed with the identifiers and its surroundings."""
+    return _marginal(around)(candidate)
 
 
-def novel_spans(text: str, taken: list[tuple[str, int, int]], reach: int, context: int, least: float) -> list[tuple[int, int, float]]:
-    """(start, end, novelty) of tokens at most ``reach`` characters after a sensitive word that do not compress
-    below ``least`` bytes a character; tokens that meet a base finding are left to it."""
+def _marginal(around: str):
+    primed = zstandard.ZstdCompressionDict(IDENTIFIERS + b"\n" + around.encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    z = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
+    empty = len(z.compress(b""))
+    return lambda candidate: len(z.compress(candidate.encode("latin-1"))) - empty
+
+
+def novelty(token: str, around: str, words: frozenset[str] = COMMON) -> float:
+    """The token's marginal bytes as a share of those of the same characters in random order (of four orders
+    the cheapest, and at most a byte a character)."""
+    cost = _marginal(around)
+
+    def share(of: str, least: int) -> float:
+        chars, r = list(of), random.Random(of)
+        random_cost = len(of)
+        for _ in range(ORDERS):
+            r.shuffle(chars)
+            random_cost = min(random_cost, cost("".join(chars)))
+        return least / max(1, random_cost)
+
+    if any(c.isdigit() for c in token) and any(c.isalpha() for c in token):
+        return share(token, cost(token))
+    if sum(n * math.log2(len(token) / n) for n in Counter(token).values()) < BITS_MIN:
+        return 0.0
+    coded, rest = without_words(token, words)
+    out = share(token, min(cost(token), cost(coded)))
+    return max(out, share(rest, cost(rest))) if rest != token and len(rest) >= TOKEN_MIN else out
+
+
+def novel_spans(text: str, taken: list[tuple[str, int, int]], reach: int, context: int, least: float,
+                known: frozenset[str] = COMMON) -> list[tuple[int, int, float]]:
+    """(start, end, novelty) of tokens at most ``reach`` characters after a sensitive word whose novelty is
+    ``least`` or more; tokens that meet a base finding are left to it."""
     words = [m.end() for m in _SENSITIVE.finditer(text)]
     out, w = [], 0
     ends = sorted((s, e) for _, s, e in taken)
@@ -88,12 +198,9 @@ def novel_spans(text: str, taken: list[tuple[str, int, int]], reach: int, contex
             w += 1
         if not 0 <= s - words[w] <= reach or any(a < e and s < b for a, b in ends):
             continue
-        tok = m.group()
-        if not (any(c.isdigit() for c in tok) and any(c.isalpha() for c in tok)):
-            continue
-        novelty = marginal_bytes(tok, text[max(0, s - context):s] + text[e:e + context]) / len(tok)
-        if novelty >= least:
-            out.append((s, e, novelty))
+        v = novelty(m.group(), text[max(0, s - context):s] + text[e:e + context], known)
+        if v >= least:
+            out.append((s, e, v))
     return out
 
 
@@ -102,10 +209,13 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per row of ``docs``: ``doc_id, findings``, an array of (kind, start, end, novelty) by start, then kind.
 
     Kinds are ``assign``, ``access``, ``hex`` (base patterns, always reported,
-    novelty null) and ``novel`` (by the measure).  Spans are in code points, the
+    novelty null) and ``novel`` (by the measure).  The corpus's words are counted
+    when this is called, in a pass of its own.  Spans are in code points, the
     end exclusive.  Null text counts as empty (no findings); null and repeated
     ids keep their rows; texts are read whole; other columns are ignored.
     """
+    known = docs.sparkSession.sparkContext.broadcast(frequent_words(docs, text_col=text_col))
+
     def run(batches):
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("novelty", pa.float64())]))
         for b in slices(batches):
@@ -114,7 +224,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 text = text or ""
                 found = base_spans(text)
                 all_ = [(s, KINDS.index(k), e, None) for k, s, e in found]
-                all_ += [(s, 3, e, v) for s, e, v in novel_spans(text, found, reach, context, least)]
+                all_ += [(s, 3, e, v) for s, e, v in novel_spans(text, found, reach, context, least, known.value)]
                 rows.append([{"kind": KINDS[k], "start": s, "end": e, "novelty": v} for s, k, e, v in sorted(all_, key=lambda x: x[:3])])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(rows, kind)], ["doc_id", "findings"])
 

@@ -271,6 +271,23 @@ def test_secret_novelty():
     assert secrets_scan.marginal_bytes("authorization_header_value", "authorization header = authorization_header_value") < 0.7 * 26
 
 
+def test_secret_any_alphabet_and_length(spark):
+    """Random tokens of any alphabet and length are reported; long words, identifiers, paths and rulers are not."""
+    import string
+
+    r, hexes = random.Random(17), "0123456789ABCDEF"
+    keys = ["qzvbtkwmxhrdplfn", "bearer-token-qzvbtkwmxhrdplfn", "QZVB-TKWM-XHRD-PLFN"]
+    keys += ["".join(r.choice(al) for _ in range(n)) for al in (string.ascii_lowercase, string.ascii_letters, string.digits, hexes, string.ascii_letters + string.digits + "+/")
+             for n in (16, 31, 64, 128, 300, 1000) for _ in range(5)]
+    words = ["the-quick-brown-fox-jumps-over", "connection_pool_settings", "HTTPServerFactory", "/etc/service/config/default", "Haftpflichtversicherungen",
+             "-" * 40, "+-------+-----+------+", "=" * 200, "-=" * 50]
+    prose = ["the pool and the Server", "a factory pool for etc", "Haftpflicht und Versicherungen", "haftpflicht: versicherungen, settings"] * 2
+    rows = [(i, f"private key: {k}") for i, k in enumerate(keys)] + [(-1 - i, f"private key: {w}") for i, w in enumerate(words)] + [(10_000, p) for p in prose]
+    out = {x.doc_id: [f.kind for f in x.findings] for x in secrets_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [k for i, k in enumerate(keys) if not out[i]] == []
+    assert [w for i, w in enumerate(words) if out[-1 - i]] == []
+
+
 # ---- pipeline ----
 
 def test_pipeline(spark, tmp_path, tokenizer):
