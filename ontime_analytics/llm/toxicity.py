@@ -8,6 +8,7 @@ reads every whole text against the few non-zero weights.
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from dataclasses import dataclass
 
@@ -139,16 +140,21 @@ def _feature_rows(batches):
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, n_grades: int = 3, l1: float = 0.0005,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id: str = "doc_id") -> Model:
-    """Fit on at most ``max_rows`` labelled documents, those with the smallest hash of the id.
-
-    Rows with a null id or label are left out; of repeated labels the larger
-    counts, of repeated documents each counts.  Only the sample's word hashes
-    reach the driver."""
+    """Fit on at most ``max_rows`` labelled ids of ``docs``, those with the smallest hash.
+
+    Rows with a null id or label are left out, and labels of ids that ``docs``
+    lacks, before the sample is taken; of repeated labels the larger counts, of
+    repeated documents each counts.  With no labelled document a warning is
+    given: that model rejects nothing.  Only the sample's word hashes reach the
+    driver."""
+    present = docs.select(docs[id_col].cast("long").alias("id")).distinct()
     ids = labels.select(labels[label_id].cast("long").alias("id"), labels[label_col].cast("int").alias("toxic")).dropna() \
-        .groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+        .groupBy("id").agg(F.max("toxic").alias("toxic")).join(present, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(max_rows)
     base = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     sample = base.join(F.broadcast(ids), "id").select("toxic", "text") \
         .mapInArrow(tidy(_feature_rows), "toxic int, features binary").orderBy(F.xxhash64("features"), "toxic").limit(2 * max_rows).collect()
+    if not sample:
+        warnings.warn("toxicity: no document has a label, the model has no weights", stacklevel=2)
     rows, toxic = [np.frombuffer(r.features, "<i4") for r in sample], [int(r.toxic > 0) for r in sample]
     return fit(rows, severity_grades(rows, toxic, n_grades), n_grades, l1)
 

@@ -76,6 +76,18 @@ def test_toxicity_odd(spark, odd, empty):
     assert none.weights == {} and not any(x.rejected for x in toxicity.score(odd, none).collect())
 
 
+def test_toxicity_labels_beyond_docs(write, empty):
+    """The sample is taken from the labels that have a document; without any there is a warning."""
+    r = random.Random(23)
+    word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(3))
+    docs = write([(i, " ".join(word() for _ in range(20)) + (" vile scum" if i % 4 == 0 else "")) for i in range(80)], "doc_id long, text string")
+    labels = write([(i, int(i % 4 == 0)) for i in range(4000)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_rows=80)
+    assert model.weights and model == toxicity.train(docs, labels.filter("doc_id < 80"), max_rows=80)
+    with pytest.warns(UserWarning, match="no document has a label"):
+        assert not toxicity.train(docs, labels.filter("doc_id >= 80"), max_rows=80).weights
+
+
 # ---- URLs ----
 
 RULES = [(*r,) for r in catalog.URL_RULES] + [("b.com", "/x", "block"), ("b.com", "/x", "allow"), ("a.b.com", "/", "allow")]
