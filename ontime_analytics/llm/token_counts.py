@@ -3,8 +3,9 @@
 Tier one is a compact table (unit -> number of tokens) of the most frequent
 units of the whole corpus, broadcast; its entries and their length are bounded
 by parameters.  Tier two is a bounded cache in each worker, filled by encoding
-what the table lacks.  No unit is shuffled: each task of the first pass sends
-at most ``per_task`` of its units with their counts.
+what the table lacks.  To build the table each task of the first pass sends
+at most ``per_task`` of its units with their counts through a shuffle, and the
+chosen ones reach the driver; the counting pass has no shuffle.
 """
 
 from __future__ import annotations
