@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from brute import near_groups, remove_repeats as brute_repeats
-from conftest import ODD_ROWS
+from odd_rows import ODD_ROWS
 
 from ontime_analytics.llm import bwt, minhash, repeats
 from ontime_analytics.llm.components import components

@@ -10,7 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from conftest import ODD_ROWS
+from odd_rows import ODD_ROWS
 from tokenizers import Tokenizer
 
 import corpus_pipeline
