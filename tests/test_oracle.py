@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF01
+from table_dirs import SF01
 
 import __spark_entry__ as E
 from oracle_check import compare

@@ -6,7 +6,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF01
+from table_dirs import SF01
 
 import __spark_entry__ as E
 from ontime_analytics.operators import models

@@ -7,7 +7,7 @@ import subprocess
 import sys
 from pathlib import Path
 
-from conftest import SF01
+from table_dirs import SF01
 
 ROOT = Path(__file__).resolve().parent.parent
 
