@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import importlib
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +14,16 @@ from ontime_analytics.llm.bpe_codec import decode, encode
 from ontime_analytics.llm.chat import LLAMA_LIKE, format_conversations, formatted_text, loss_text, read_turns
 from ontime_analytics.llm.decontaminate import find_leaks
 from ontime_analytics.llm.exact_dedup import exact_duplicates
+from ontime_analytics.llm.hard_negatives import mine_hard_negatives
 from ontime_analytics.llm.minhash import near_duplicates
 from ontime_analytics.llm.repeats import remove_repeats
 from ontime_analytics.llm.secrets_scan import KINDS, scan_secrets
 from ontime_analytics.llm.token_counts import count_tokens
 from ontime_analytics.llm.toxicity import score, train
 from ontime_analytics.llm.url_filter import judge_urls
+from ontime_analytics.llm.warc import read_warc, write_warc
+from ontime_analytics.llm.whitening import fit, identity_error, whiten
+from ontime_analytics.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -222,3 +228,61 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = lambda c: F.concat_ws(",", F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
     return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS],
                         F.sha2(spans(of(*KINDS[:3])), 256).alias("base_sha256"), spans(F.col("findings")).alias("spans"))
+
+
+# ---- 11: hard-negative mining ---------------------------------------------
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each anchor (ids divisible by 100) and each of its five positives."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+ORACLE_SQL["op11_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank,
+             vec_id AS negative_id, positive_score, score AS negative_score
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+
+
+# ---- 12: embedding whitening ----------------------------------------------
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 32 leading components of all, scaled to variance 1."""
+    rows = table(spark, sf_dir, "embeddings")
+    model = fit(rows, components=32, scale=64, offset=1_000_000)
+    if model is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    error = identity_error(rows, model)
+    explained = F.array(*[F.lit(x) for x in model.explained]) if model.explained else F.array().cast("array<double>")
+    return whiten(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        explained[F.col("at")].alias("explained"), F.lit(error).cast("double").alias("identity_error"))
+
+
+# ---- 13: WARC -------------------------------------------------------------
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC files to the shared folder, and read back."""
+    folder = os.path.join(checkpoint_dir(spark), f"llm-warc-{uuid.uuid4().hex}")
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op13_warc"] = """
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY page_id NULLS FIRST, url) AS nth,
+             min(page_id) OVER (PARTITION BY d) AS first FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n >= 100 AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND nth > 1 THEN first END AS refers_to FROM f"""
