@@ -137,19 +137,20 @@ FROM b LEFT JOIN k USING (doc_id)"""
 
 @query
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and conversation -7, formatted and read back from the formatted output."""
+    """All conversations and conversation -7, formatted and read back from the formatted output; then whether the roles' machine
+    accepts the turns, and the first turn without a move."""
     cols = ["conv_id", "turn", "role", "text"]
     rows = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     tricky = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'),"
                        " (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     out = format_conversations(rows.select(cols).unionByName(tricky), LLAMA_LIKE)
-    out = out.select("conv_id", formatted_text(F.col("segments")).alias("formatted"), loss_text(F.col("segments")).alias("loss"))
+    out = out.select("conv_id", "valid", "bad_turn", formatted_text(F.col("segments")).alias("formatted"), loss_text(F.col("segments")).alias("loss"))
     turns = read_turns(F.col("formatted"), LLAMA_LIKE)
     said = F.concat_ws("", F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
     return out.select("conv_id", F.size(turns).cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-                      F.length("formatted").cast("long").alias("formatted_chars"))
+                      F.length("formatted").cast("long").alias("formatted_chars"), "valid", "bad_turn")
 
 
 def _chat_sql() -> str:
@@ -163,10 +164,12 @@ WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
              coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
-             sum({marks} + length({esc})) + {len(LLAMA_LIKE.begin)} AS formatted_chars
+             sum({marks} + length({esc})) + {len(LLAMA_LIKE.begin)} AS formatted_chars,
+             string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, '' ORDER BY turn, role, text) AS walk
       FROM c GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
-       CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g"""
+       CAST(formatted_chars AS BIGINT) AS formatted_chars, regexp_full_match(walk, 's?(ua)+') AS valid,
+       CASE WHEN NOT regexp_full_match(walk, 's?(ua)+') THEN length(regexp_extract(walk, '^s?(ua)*u?')) END AS bad_turn FROM g"""
 
 
 ORACLE_SQL["op5_chat_formatting"] = _chat_sql()
@@ -226,8 +229,9 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
     of = lambda *kinds: F.filter("findings", lambda x: x["kind"].isin(*kinds))
     spans = lambda c: F.concat_ws(",", F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
-    return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS],
-                        F.sha2(spans(of(*KINDS[:3])), 256).alias("base_sha256"), spans(F.col("findings")).alias("spans"))
+    count = lambda k: F.size(of(k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *map(count, KINDS[:3]), F.sha2(spans(of(*KINDS[:3])), 256).alias("base_sha256"),
+                        spans(F.col("findings")).alias("spans"), count(KINDS[3]))
 
 
 # ---- 11: hard-negative mining ---------------------------------------------

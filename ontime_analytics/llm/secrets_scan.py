@@ -190,13 +190,20 @@ def novel_spans(text: str, taken: list[tuple[str, int, int]], reach: int, contex
     """(start, end, novelty) of tokens at most ``reach`` characters after a sensitive word whose novelty is
     ``least`` or more; tokens that meet a base finding are left to it."""
     words = [m.end() for m in _SENSITIVE.finditer(text)]
-    out, w = [], 0
-    ends = sorted((s, e) for _, s, e in taken)
+    out, w, t = [], 0, 0
+    apart: list[list[int]] = []  # the base findings as spans that do not overlap
+    for a, b in sorted((s, e) for _, s, e in taken):
+        if apart and a < apart[-1][1]:
+            apart[-1][1] = max(apart[-1][1], b)
+        else:
+            apart.append([a, b])
     for m in _TOKEN.finditer(text) if words else ():
         s, e = m.span()
         while w + 1 < len(words) and words[w + 1] <= s:
             w += 1
-        if not 0 <= s - words[w] <= reach or any(a < e and s < b for a, b in ends):
+        while t < len(apart) and apart[t][1] <= s:
+            t += 1
+        if not 0 <= s - words[w] <= reach or t < len(apart) and apart[t][0] < e:
             continue
         v = novelty(m.group(), text[max(0, s - context):s] + text[e:e + context], known)
         if v >= least:

@@ -32,7 +32,7 @@ def tokenizer(tokenizer_path):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     got = catalog.QUERIES[name](spark, SF)
     rel = con.sql(catalog.ORACLE_SQL[name])
@@ -345,5 +345,5 @@ def test_pipeline_empty(spark, tmp_path):
 
 
 def test_every_query_is_there(spark):
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.QUERIES) == list(range(1, 14))
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
