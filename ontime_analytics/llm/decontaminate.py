@@ -230,7 +230,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
     the shares of their distinct three-word sequences in that passage, each at
     least ``overlap`` (a part of fewer words counts as one sequence).  Texts are
     read whole.  Null and empty texts and items have no leaks; repeated rows and
-    items stay; other columns are ignored.  Items go in groups of at most about
+    items stay; other columns are ignored, and a ``keep`` column called
+    ``leaks`` gives way; empty tables give no rows, or no leaks.  Items go in groups of at most about
     512 and 1 MB, each with an index that is broadcast; a worker queries a run of
     documents against one after the other, so a larger benchmark takes more time
     and no more memory.
@@ -252,7 +253,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
         if built:
             shared.append(spark.sparkContext.broadcast(vars(built)))
 
-    base = docs.select(*[docs[c] for c in keep], docs[text_col].cast("string").alias("__text"))
+    base = docs.select(*[docs[c] for c in keep if c != "leaks"], docs[text_col].cast("string").alias("__text"))
     hit = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())]))
 
     def run(batches):

@@ -21,6 +21,8 @@ from pyspark.sql.types import StructType
 from ontime_analytics.llm.common import slices, tidy, utf8
 
 FEATURE_BITS = 20
+#: The columns that :func:`score` adds; ``keep`` columns of these names give way.
+GIVEN = ("severity", "grade", "p_toxic", "rejected")
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -135,24 +137,25 @@ def severity_grades(rows: list, toxic: list[int], n_grades: int) -> list[int]:
 def _feature_rows(batches):
     for b in slices(batches):
         rows = [np.array(sorted(features(t)), "<i4").tobytes() for t in utf8(b.column("text"))]
-        yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(rows, pa.binary())], ["toxic", "features"])
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("toxic"), pa.array(rows, pa.binary())], ["id", "toxic", "features"])
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, n_grades: int = 3, l1: float = 0.0005,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id: str = "doc_id") -> Model:
-    """Fit on at most ``max_rows`` labelled ids of ``docs``, those with the smallest hash.
+    """Fit on at most ``max_rows`` labelled rows of ``docs``, those with the smallest hashes of their ids.
 
     Rows with a null id or label are left out, and labels of ids that ``docs``
-    lacks, before the sample is taken; of repeated labels the larger counts, of
-    repeated documents each counts.  With no labelled document a warning is
-    given: that model rejects nothing.  Only the sample's word hashes reach the
-    driver."""
+    lacks, before the sample is taken; of repeated labels the larger counts.
+    Rows that share an id are rows of the sample each, by the hash of their
+    words, as far as ``max_rows`` goes.  With no labelled document (or an empty
+    table) a warning is given: that model rejects nothing.  Only the sample's
+    word hashes reach the driver."""
     present = docs.select(docs[id_col].cast("long").alias("id")).distinct()
     ids = labels.select(labels[label_id].cast("long").alias("id"), labels[label_col].cast("int").alias("toxic")).dropna() \
         .groupBy("id").agg(F.max("toxic").alias("toxic")).join(present, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(max_rows)
     base = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    sample = base.join(F.broadcast(ids), "id").select("toxic", "text") \
-        .mapInArrow(tidy(_feature_rows), "toxic int, features binary").orderBy(F.xxhash64("features"), "toxic").limit(2 * max_rows).collect()
+    sample = base.join(F.broadcast(ids), "id").select("id", "toxic", "text") \
+        .mapInArrow(tidy(_feature_rows), "id long, toxic int, features binary").orderBy(F.xxhash64("id"), "id", F.xxhash64("features")).limit(max_rows).collect()
     if not sample:
         warnings.warn("toxicity: no document has a label, the model has no weights", stacklevel=2)
     rows, toxic = [np.frombuffer(r.features, "<i4") for r in sample], [int(r.toxic > 0) for r in sample]
@@ -166,9 +169,10 @@ def score(docs: DataFrame, model: Model, reject_above: float = 0.25, id_col: str
     ``severity`` is the expected grade, ``grade`` the most likely one and
     ``p_toxic`` = P(grade > 0); a document is rejected when that is above
     ``reject_above``.  Null and empty texts have no features: the thresholds
-    alone score them.  Ids may be null or repeat; other columns are ignored."""
+    alone score them.  Ids may be null or repeat; other columns are ignored; an
+    empty table gives no rows."""
     weights, thresholds = model.weights, model.thresholds
-    cols = keep if keep is not None else ["doc_id"]
+    cols = [c for c in keep if c not in GIVEN] if keep is not None else ["doc_id"]
 
     def run(batches):
         m = Model(weights, thresholds)
