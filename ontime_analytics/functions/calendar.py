@@ -24,6 +24,14 @@ from ontime_analytics import schema as S
 RULE_CHANGE_YEAR = 2007  # Energy Policy Act of 2005, effective 2007
 
 
+def flight_day(year: Column | str = "year", month: Column | str = "month", day_of_month: Column | str = "day_of_month") -> Column:
+    """The flight's DATE; NULL where the three numbers are no date.
+
+    Each of the three is named once, so what computes it is not repeated."""
+    y, m, d = (F.col(c) if isinstance(c, str) else c for c in (year, month, day_of_month))
+    return F.concat(y.cast("string"), F.lit("-"), m.cast("string"), F.lit("-"), d.cast("string")).try_cast("date")
+
+
 def _first_sunday_after(year: Column, month: int, day: int) -> Column:
     """Day of month of the first Sunday strictly after ``year-month-day``."""
     return F.dayofmonth(F.next_day(F.make_date(year, F.lit(month), F.lit(day)), "Sun"))

@@ -42,7 +42,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension
-from ontime_analytics.plans.catalog import QUERIES, SUMMARIES, build
+from ontime_analytics.plans.catalog import ALL_QUERIES, SUMMARIES, build, takes_join
+from ontime_analytics.plans.history import HISTORY
 from ontime_analytics.session import delete_path, get_session, write_scratch
 from ontime_analytics.sinks import write_csv, write_json
 from ontime_analytics.sources import (
@@ -78,6 +79,8 @@ JOBS: dict[str, tuple[str, ...]] = {
 # every result in one run: the flights, the aircraft dimension and each
 # summary are shared across all families
 JOBS["all"] = tuple(dict.fromkeys(n for names in list(JOBS.values()) for n in names))
+# joins in time, runs, ranks, subtotals, quantiles and sets: each a plan of its own, not part of "all"
+JOBS["history"] = tuple(HISTORY)
 
 
 def load_flights(spark: SparkSession, path: str | list[str], raw: bool, header: bool) -> DataFrame:
@@ -111,8 +114,8 @@ def run_job(spark: SparkSession, job: str, flights_path: str | list[str] | None,
 
     ``all`` without registry files runs every result that needs no aircraft."""
     names = JOBS[job]
-    if job == "all" and not (master and acftref):
-        names = tuple(n for n in names if not QUERIES[n].needs_aircraft)
+    if job in ("all", "history") and not (master and acftref):
+        names = tuple(n for n in names if not ALL_QUERIES[n].needs_aircraft)
         print("no --master/--acftref: the aircraft-model results are skipped", file=sys.stderr)
     with Scratch(spark) as scratch:
         _run(spark, job, names, scratch, flights_path, out, raw, header, master, acftref, params or {}, parallel)
@@ -120,8 +123,8 @@ def run_job(spark: SparkSession, job: str, flights_path: str | list[str] | None,
 
 
 def _run(spark, job, names, scratch, flights_path, out, raw, header, master, acftref, params, parallel) -> None:
-    needs_aircraft = any(QUERIES[n].needs_aircraft for n in names)
-    needs_flights = any(QUERIES[n].flights for n in names)
+    needs_aircraft = any(ALL_QUERIES[n].needs_aircraft for n in names)
+    needs_flights = any(ALL_QUERIES[n].flights for n in names)
     flights = load_flights(spark, flights_path, raw, header) if needs_flights else None
     if raw and flight_scans(names) > 1:  # the text is parsed once
         flights = scratch.store(flights, "staged-flights")
@@ -137,13 +140,13 @@ def _run(spark, job, names, scratch, flights_path, out, raw, header, master, acf
     shared = shared_summaries(names, flights, aircraft, join, scratch, parallel)
 
     def write_one(name: str) -> None:
-        q = QUERIES[name]
+        q = ALL_QUERIES[name]
         kw = dict(params.get(name, {}))
         if name in shared:
             summary, views = shared[name]
             result = views[name](summary, **kw)
         else:
-            if q.needs_aircraft and q.flights:
+            if q.needs_aircraft and q.flights and takes_join(name):
                 kw.setdefault("join", join)
             result = build(name, flights, aircraft, **kw)
         # computed once for both formats (a lost block is recomputed from lineage)
@@ -165,7 +168,7 @@ def plan_summaries(names) -> dict[str, list[str]]:
     """Which shared summary serves which results: greedily the summary that
     covers the most remaining results (ties: the smaller, listed first), as
     long as it serves at least two."""
-    remaining = [n for n in names if QUERIES[n].flights]
+    remaining = [n for n in names if ALL_QUERIES[n].flights]
     chosen: dict[str, list[str]] = {}
     while True:
         best = max(SUMMARIES, key=lambda k: sum(n in SUMMARIES[k].views for n in remaining),
@@ -181,7 +184,7 @@ def flight_scans(names) -> int:
     """Scans of the flights a run of ``names`` makes (one per shared summary)."""
     plan = plan_summaries(names)
     shared = {n for ns in plan.values() for n in ns}
-    return len(plan) + sum(1 for n in names if QUERIES[n].flights and n not in shared)
+    return len(plan) + sum(1 for n in names if ALL_QUERIES[n].flights and n not in shared)
 
 
 def shared_summaries(names, flights, aircraft, join, scratch: Scratch, parallel: int = 4) -> dict[str, tuple[DataFrame, dict]]:
@@ -206,7 +209,7 @@ def shared_summaries(names, flights, aircraft, join, scratch: Scratch, parallel:
 
 def query_params(name: str) -> set[str]:
     """The parameters that a query takes from the command line."""
-    return set(inspect.signature(QUERIES[name].fn).parameters) - {"flights", "aircraft", "join"}
+    return set(inspect.signature(ALL_QUERIES[name].fn).parameters) - {"flights", "aircraft", "join"}
 
 
 def parse_params(items: list[str]) -> dict[str, dict]:
@@ -215,7 +218,7 @@ def parse_params(items: list[str]) -> dict[str, dict]:
     for item in items:
         key, _, raw = item.partition("=")
         query, _, name = key.partition(".")
-        if not (query and name and raw) or query not in QUERIES:
+        if not (query and name and raw) or query not in ALL_QUERIES:
             raise SystemExit(f"bad --param {item!r}: expected QUERY.NAME=VALUE for a known query")
         if name not in query_params(query):
             raise SystemExit(f"bad --param {item!r}: {query} takes {', '.join(sorted(query_params(query))) or 'no parameter'}")

@@ -3,15 +3,23 @@
 from ontime_analytics.operators import (  # noqa: F401
     aircraft,
     airports,
+    asof,
     cancellations,
+    coverage,
+    cubes,
     delays,
     dst,
     impact,
+    intervals,
     models,
+    quantiles,
     ranking,
+    ranks,
     reasons,
+    sketches,
+    streaks,
 )
 from ontime_analytics.operators.aircraft import aggregate_by_model, aircraft_dimension
 
-__all__ = ["aggregate_by_model", "aircraft_dimension", "aircraft", "airports", "cancellations",
-           "delays", "dst", "impact", "models", "ranking", "reasons"]
+__all__ = ["aggregate_by_model", "aircraft_dimension", "aircraft", "airports", "asof", "cancellations", "coverage", "cubes",
+           "delays", "dst", "impact", "intervals", "models", "quantiles", "ranking", "ranks", "reasons", "sketches", "streaks"]

@@ -10,6 +10,7 @@ threshold / k values that select a meaningful subset of the small fixture
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ from ontime_analytics.operators import (
     summaries,
 )
 from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, aircraft_rows_bound
+from ontime_analytics.plans.history import HISTORY
 from ontime_analytics.sources.fixture import fixture_flight_lines, fixture_flights, fixture_registry
 from ontime_analytics.sources.flights import bad_line_counts, parse_flight_lines, type_flights
 
@@ -92,6 +94,9 @@ QUERIES: dict[str, Query] = {
     "model_percent_top": _q(models.model_percent_top, needs_aircraft=True),
 }
 
+#: What jobs, ``build`` and the driver know: the results above, and the further ones of :mod:`.history`.
+ALL_QUERIES: dict[str, Query] = {**QUERIES, **{n: _q(fn, needs_aircraft=a, small_result=small) for n, (fn, a, small) in HISTORY.items()}}
+
 # Parameters for runs on the driver's sf0.01 fixture (FIXTURES.md): the
 # published cut-offs select nothing (or everything) on it, and there are only
 # 48 model groups, so the model rankings use k=10.
@@ -135,7 +140,7 @@ SUMMARIES: dict[str, Summary] = {
 def build(name: str, flights: DataFrame | None, aircraft: DataFrame | None = None,
           **params) -> DataFrame:
     """Plan query ``name`` over typed inputs (lazy; nothing runs until an action)."""
-    q = QUERIES[name]
+    q = ALL_QUERIES[name]
     args = []
     if q.flights:
         args.append(flights)
@@ -146,18 +151,23 @@ def build(name: str, flights: DataFrame | None, aircraft: DataFrame | None = Non
     return q.fn(*args, **params)
 
 
+def takes_join(name: str) -> bool:
+    """Whether the query can be told how flights meet the aircraft dimension."""
+    return "join" in inspect.signature(ALL_QUERIES[name].fn).parameters
+
+
 def fixture_inputs(spark: SparkSession, sf_dir: str, name: str):
     """(flights, aircraft, join options) for ``name`` on the fixture tables.
 
     The registry join is part of each query's plan.  Only the MASTER lines are
     counted before, the proven bound for the broadcast check."""
-    q = QUERIES[name]
+    q = ALL_QUERIES[name]
     flights = fixture_flights(spark, sf_dir) if q.flights else None
     aircraft, join = None, None
     if q.needs_aircraft:
         master, lookup = fixture_registry(spark, sf_dir)
         aircraft = aircraft_dimension(master, lookup)
-        join = ModelJoin(aircraft_rows=aircraft_rows_bound(master)) if q.flights else None
+        join = ModelJoin(aircraft_rows=aircraft_rows_bound(master)) if q.flights and takes_join(name) else None
     return flights, aircraft, join
 
 
@@ -171,7 +181,7 @@ def fixture_query(name: str, **overrides) -> Callable[[SparkSession, str], DataF
         return build(name, flights, aircraft, **params, **extra)
 
     run.__name__ = name
-    run.__doc__ = QUERIES[name].doc
+    run.__doc__ = ALL_QUERIES[name].doc
     return run
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from ontime_analytics import schema as S
 from ontime_analytics.plans.catalog import FIXTURE_PARAMS
+from ontime_analytics.plans.history import SQL as HISTORY_SQL
 
 _INT = "CASE WHEN regexp_matches({c}, '^[+-]?[0-9]+$') THEN TRY_CAST({c} AS INTEGER) END"
 
@@ -286,4 +287,5 @@ select count(*) as rows, count(*) filter (len(a) <> {len(S.RAW_COLUMNS)}) as wro
 def oracle_sql() -> dict[str, str]:
     """name -> complete DuckDB statement over the registered driver views."""
     return {**{name: _PREFIX + body for name, body in _bodies().items()},
+            **{name: _PREFIX + body for name, body in HISTORY_SQL.items()},
             **{name: _LINES + body for name, body in _line_bodies().items()}}
