@@ -2,9 +2,12 @@
 
 1. Tasks cut texts into units (:mod:`.bpe`) and gather them in blocks of about
    ``BLOCK_BYTES`` of text.  A block sends its distinct units, once each, to
-   the buckets of the units' hash.
-2. A bucket encodes each distinct unit once, whichever blocks ask for it, and
-   answers every block with ids in the order asked.
+   the buckets of the units' hash.  Blocks fall into regions of about
+   ``REGION_BYTES``, which have their own buckets, at most ``BUCKETS`` each: so
+   a block sends a bounded number of messages and a bucket gets a bounded share
+   of text, however large the input is.
+2. A bucket encodes each distinct unit once (so once per region), whichever
+   blocks ask for it, and answers every block with ids in the order asked.
 3. The block's positions - for each document the numbers of its units - meet
    these answers and become ids.
 
@@ -12,7 +15,8 @@ So what moves is the distinct units of each block and small numbers for the
 positions; no text does.  Steps 1 and 3 read the documents once each and must
 see the same rows in the same order (a table does; a block without its answers
 fails the job).  Decoding joins ids with the vocabulary's pieces, a table as
-large as the vocabulary, which is checked and broadcast.
+large as the vocabulary, which is checked and broadcast; :func:`recode` does it
+in the same workers.
 """
 
 from __future__ import annotations
@@ -21,12 +25,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ontime_analytics.llm.bpe import load, pieces
-from ontime_analytics.llm.common import MESSAGE, message, messages, pack, partitions, slices, tidy, unpack, utf8
+from ontime_analytics.llm.common import MESSAGE, message, messages, pack, partitions, release, slices, tidy, unpack, utf8
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+REGION_BYTES = 16 << 30
+BUCKETS = 64
 MAX_VOCABULARY = 1 << 20
 
 
@@ -70,19 +77,21 @@ def _blocks(batches, path: str, n_buckets: int):
         if size >= BLOCK_BYTES:
             yield done()
             codes, chunks, size, digest = _Codes(), [], 0, xxhash.xxh3_128()
+            release()
     if chunks:
         yield done()
 
 
-def _ask(path: str, n_buckets: int):
-    """Step 1: a block's distinct units for each bucket."""
+def _ask(path: str, n_buckets: int, n_regions: int):
+    """Step 1: a block's distinct units for each bucket of its region."""
     def run(batches):
         for block, units, counts, _ in _blocks(batches, path, n_buckets):
             at, rows = 0, []
+            first = int.from_bytes(block[:6], "little") % n_regions * n_buckets
             for k, n in enumerate(counts.tolist()):
                 if n:
                     mine = units[at:at + n]
-                    rows.append((block, 0, k, pack(np.array([len(u) for u in mine], np.uint32), np.frombuffer(b"".join(mine), np.uint8)), None))
+                    rows.append((block, 0, first + k, pack(np.array([len(u) for u in mine], np.uint32), np.frombuffer(b"".join(mine), np.uint8)), None))
                     at += n
             yield message(rows)
     return run
@@ -159,6 +168,22 @@ def _join(batches):
             [pa.array(ids, pa.int64()), pa.array([data[4 * s:4 * e] for s, e in zip(cuts, cuts[1:])], pa.binary())], ["doc_id", "ids"])
 
 
+def regions(text_bytes: int) -> int:
+    return max(1, -(-text_bytes // REGION_BYTES))
+
+
+def _met(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
+    """Answers and positions of every block together, as :func:`_join` reads them."""
+    spark = docs.sparkSession
+    base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    n_regions = regions(base.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
+    tasks, n = partitions(spark), min(partitions(spark), BUCKETS)
+    asked = base.mapInArrow(tidy(_ask(path, n, n_regions)), MESSAGE)
+    answered = asked.repartition(tasks, "seq").sortWithinPartitions("seq", "block").mapInArrow(tidy(_answer(path)), MESSAGE)
+    sent = answered.unionByName(base.mapInArrow(tidy(_positions(path, n)), MESSAGE))
+    return sent.repartition(tasks, "block").sortWithinPartitions("block", "kind", "seq")
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, ids`` (little-endian unsigned 32-bit integers).
 
@@ -166,19 +191,17 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     added tokens, truncation or padding.  Null text counts as empty (no ids);
     null and repeated ids of documents keep their rows; other columns are
     ignored; an empty table gives no rows."""
-    n = partitions(docs.sparkSession)
-    base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    asked = base.mapInArrow(tidy(_ask(path, n)), MESSAGE)
-    answered = asked.repartition(n, "seq").sortWithinPartitions("seq", "block").mapInArrow(tidy(_answer(path)), MESSAGE)
-    sent = answered.unionByName(base.mapInArrow(tidy(_positions(path, n)), MESSAGE))
-    return sent.repartition(n, "block").sortWithinPartitions("block", "kind", "seq").mapInArrow(tidy(_join), "doc_id long, ids binary")
+    return _met(docs, path, id_col, text_col).mapInArrow(tidy(_join), "doc_id long, ids binary")
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` (with ``ids`` as :func:`encode` gives them) and the ``decoded`` text.
+def recode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids, decoded``: :func:`encode` and then :func:`decode`, one worker for both."""
+    back = _decoder(docs.sparkSession, path)
+    return _met(docs, path, id_col, text_col).mapInArrow(tidy(lambda batches: back(_join(batches))), "doc_id long, ids binary, decoded string")
+
 
-    An id outside the vocabulary fails the job; null ids decode to the empty text."""
-    spark = encoded.sparkSession
+def _decoder(spark, path: str):
+    """For tasks: batches with ``ids`` get ``decoded``."""
     table = sorted(pieces(path))
     if len(table) > MAX_VOCABULARY:
         raise ValueError(f"{len(table)} pieces are too many to broadcast")
@@ -202,7 +225,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 data = _spread(values, starts, sizes, ids).tobytes()
                 texts = [data[s:e].decode("utf-8", "replace") for s, e in zip(cuts, cuts[1:])]
                 part = b.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
+                names = [n for n in part.schema.names if n != "decoded"]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(texts, pa.string())], [*names, "decoded"])
                 at = end
 
-    return encoded.mapInArrow(tidy(run), StructType([*encoded.schema.fields, StructField("decoded", StringType())]))
+    return run
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """``encoded`` (with ``ids`` as :func:`encode` gives them) and the ``decoded`` text.
+
+    An id outside the vocabulary fails the job; null ids decode to the empty
+    text; a column that is called ``decoded`` is replaced; an empty table gives no rows."""
+    kept = [f for f in encoded.schema.fields if f.name != "decoded"]
+    return encoded.mapInArrow(tidy(_decoder(encoded.sparkSession, path)), StructType([*kept, StructField("decoded", StringType())]))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.bpe_codec import decode, encode
+from ontime_analytics.llm.bpe_codec import recode
 from ontime_analytics.llm.chat import LLAMA_LIKE, format_conversations, formatted_text, loss_text, read_turns
 from ontime_analytics.llm.decontaminate import find_leaks
 from ontime_analytics.llm.exact_dedup import exact_duplicates
@@ -202,7 +202,7 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 # ---- 8: BPE encoding and decoding -----------------------------------------
 
 def encoded_digests(docs: DataFrame, *more: str) -> DataFrame:
-    out = decode(encode(docs, tokenizer_path()), tokenizer_path())
+    out = recode(docs, tokenizer_path())
     return out.select("doc_id", *more, (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
