@@ -5,49 +5,22 @@ the symbol before the suffix inserted in the round before says where (the
 rank of that symbol among all symbols so far).  Nothing is sorted but symbols.
 Common prefixes follow from the rows between a symbol's occurrences: one more
 than the least common prefix among them.  The rows are read and rewritten in
-order each round; above ``SPOOL`` bytes they lie in temporary files.
+order each round, in memory: callers give bounded batches.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 
 CAP = 255            # common prefixes are counted up to here
-SPOOL = 256 << 20    # bytes of one column kept in memory
-
-
-class _Column:
-    """One column of the rows, replaced each round by the old values with new ones put in between."""
-
-    def __init__(self, values: np.ndarray):
-        self.dtype, self.n = values.dtype, len(values)
-        self.file = None
-        self._keep(values)
-
-    def _keep(self, values: np.ndarray) -> None:
-        self.values = values
-        if values.nbytes > SPOOL:
-            self.file = tempfile.TemporaryFile()
-            values.tofile(self.file)
-            self.values = None
 
-    def read(self) -> np.ndarray:
-        if self.values is not None:
-            return self.values
-        self.file.seek(0)
-        return np.fromfile(self.file, self.dtype, self.n)
 
-    def insert(self, old: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
-        out = np.empty(self.n + len(places), self.dtype)
-        out[old] = self.read()
-        out[places] = values
-        if self.file is not None:
-            self.file.close()
-            self.file = None
-        self.n = len(out)
-        self._keep(out)
+def _put_between(old_values: np.ndarray, old: np.ndarray, places: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The rows of a round: the old ones in their order, new ones at ``places``."""
+    out = np.empty(len(old_values) + len(places), old_values.dtype)
+    out[old] = old_values
+    out[places] = values
+    return out
 
 
 def collection_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,12 +41,11 @@ def collection_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray)
         return np.where(at >= starts[which], data[np.maximum(at, 0)] if len(data) else end, end).astype(kind)
 
     every = np.arange(m)
-    bwt, lcp = _Column(symbol(every, 0)), _Column(np.zeros(m, np.uint8))
-    who, size = _Column(every.astype(np.uint32)), _Column(np.zeros(m, np.uint16))
+    symbols, common = symbol(every, 0), np.zeros(m, np.uint8)
+    who, size = every.astype(np.uint32), np.zeros(m, np.uint16)
     last = every.copy()
     for j in range(1, int(sizes.max()) + 1 if m else 1):
         active = np.flatnonzero(sizes >= j)
-        symbols, common = bwt.read(), lcp.read()
         order = np.argsort(symbols, kind="stable")
         order = order[:len(order) - int(np.count_nonzero(symbols == end))]
         rank = np.empty(len(symbols), np.int64)
@@ -100,16 +72,13 @@ def collection_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray)
         places = m + q
         old = np.ones(len(symbols) + len(active), bool)
         old[places] = False
-        bwt.insert(old, places, symbol(active, j))
-        lcp.insert(old, places, new)
-        fixed = lcp.read()
-        fixed[places[after] + 1] = next_
-        if lcp.file is not None:
-            lcp._keep(fixed)
-        who.insert(old, places, active.astype(np.uint32))
-        size.insert(old, places, np.full(len(active), j, np.uint16))
+        symbols = _put_between(symbols, old, places, symbol(active, j))
+        common = _put_between(common, old, places, new)
+        common[places[after] + 1] = next_
+        who = _put_between(who, old, places, active.astype(np.uint32))
+        size = _put_between(size, old, places, np.full(len(active), j, np.uint16))
         last[active] = places
-    return who.read(), size.read(), lcp.read()
+    return who, size, common
 
 
 def earlier_occurrences(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, owners: np.ndarray, width: int) -> np.ndarray:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from ontime_analytics.llm.common import slices, tidy
+from ontime_analytics.llm.common import drop, slices, store, tidy
 
 K1, B = 1.2, 0.75
 ITEM_BLOCK = 4           # items that share a block maximum
@@ -243,7 +243,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
     n_items, n_bytes = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     n_words = terms.agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-n_items // GROUP_ITEMS), -(-n_bytes // GROUP_BYTES))
-    df = terms.groupBy("term").agg(F.count("*").alias("df"))
+    df, path = store(terms.groupBy("term").agg(F.count("*").alias("df")), "item-terms")
     shared = []
     for g in range(groups):
         mine = F.pmod(F.xxhash64("row"), F.lit(groups)) == g
@@ -252,6 +252,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
         built = build_index(texts, counts, n_items, n_words / max(1, n_items))
         if built:
             shared.append(spark.sparkContext.broadcast(vars(built)))
+    drop(spark, path)
 
     base = docs.select(*[docs[c] for c in keep if c != "leaks"], docs[text_col].cast("string").alias("__text"))
     hit = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())]))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import pack, partitions, store, tidy, unpack
+from ontime_analytics.llm.common import drop, pack, partitions, store, tidy, unpack
 from ontime_analytics.llm.whitening import usable
 
 #: Reference directions, and the rows they are fitted on (at most twice as many are read).
@@ -332,7 +332,7 @@ def mine_hard_negatives(vectors: DataFrame, anchors: Column, positives: int = 5,
     for i, r in enumerate(sample):
         full[i, :len(r["v"])] = r["v"]
     references = fit_references(np.floor(full * scale))
-    prepared, _ = store(_prepare(rows, dim, references, scale), "angles")
+    prepared, path = store(_prepare(rows, dim, references, scale), "angles")
 
     width = len(references)
     ranges = prepared.groupBy("cell").agg(F.count("*").alias("n"), F.min("norm").alias("a"), F.max("norm").alias("z"),
@@ -350,6 +350,7 @@ def mine_hard_negatives(vectors: DataFrame, anchors: Column, positives: int = 5,
     dealt = placed.repartition(n, "cell", "chunk").sortWithinPartitions("cell", "chunk", "vec_id", "key") \
         .mapInArrow(tidy(_chunks(dim, references, positives, wide)), WIRE)
     blocks, _ = store(dealt, "chunks")
+    drop(spark, path)
     pieces = blocks.filter("kind = 0")
 
     def ask(questions: DataFrame, same: bool, k: int) -> DataFrame:

@@ -10,6 +10,10 @@ for any length and alphabet.
 In tokens without digits, or without letters, words that the corpus uses (or
 the dictionary) are one byte each, so that long words, identifiers and paths
 come out short; 16 characters or more between them are also measured alone.
+A word counts as used from a share of the documents on, so the rule is the
+same for any number of documents.  The words that such tokens may hold are
+looked up by a join with the corpus's word counts: no list of words is cut off
+or broadcast.
 Two rules stay: such a token is not reported if the counts of its symbols leave
 it fewer than 32 bits (rulers, runs of one character), and a string that the
 text around repeats comes out short.
@@ -22,13 +26,14 @@ import random
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import drop, slices, store, tidy, utf8
+from ontime_analytics.llm.common import slices, store, tidy, utf8
 
 # fixed values: the contract's base patterns, minimum lengths and order of kinds
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -101,35 +106,14 @@ def own_words(text: bytes) -> set[bytes]:
 COMMON = frozenset(w.decode() for w in own_words(IDENTIFIERS))
 
 
-def frequent_words(docs: DataFrame, size: int = 50_000, least_docs: int = 2, text_col: str = "text") -> frozenset[str]:
-    """The words of most documents, at most ``size``, in ``least_docs`` documents or more, and those of the dictionary.
-
-    Counts are exact and words of equal count come all or not at all, so the
-    words do not depend on how the rows are dealt."""
-    def run(batches):
-        def rows(seen):
-            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-
-        seen = Counter()
-        for b in slices(batches):
-            for t in utf8(b.column("text")):
-                seen.update(own_words(t))
-                if len(seen) > 200_000:
-                    yield rows(seen)
-                    seen = Counter()
-        yield rows(seen)
-
-    counted, path = store(docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), "word string, n long")
-                          .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_docs), "words")
-    least, room = None, size
-    for r in sorted(counted.groupBy("n").count().collect(), reverse=True):
-        room -= r["count"]
-        if room < 0:
-            break
-        least = r.n
-    rows = counted.where(F.col("n") >= least).select("word").collect() if least else []
-    drop(docs.sparkSession, path)
-    return COMMON | {r.word for r in rows}
+def possible_words(token: str) -> set[str]:
+    """All that :func:`without_words` may look up for the token."""
+    out = set()
+    for m in _PART.finditer(token):
+        part = m.group().lower()
+        out.add(part)
+        out.update(part[i:i + k] for i in range(len(part)) for k in range(INNER_MIN, min(WORD_MAX, len(part) - i) + 1))
+    return {w for w in out if WORD_MIN <= len(w) <= WORD_MAX}
 
 
 def without_words(token: str, words: frozenset[str]) -> tuple[str, str]:
@@ -163,6 +147,16 @@ def _marginal(around: str):
     return lambda candidate: len(z.compress(candidate.encode("latin-1"))) - empty
 
 
+def is_mixed(token: str) -> bool:
+    """Digits and letters: measured as it is, without words."""
+    return any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
+
+
+def is_plain(token: str) -> bool:
+    """The counts of its symbols leave it fewer than ``BITS_MIN`` bits (one that is not mixed)."""
+    return sum(n * math.log2(len(token) / n) for n in Counter(token).values()) < BITS_MIN
+
+
 def novelty(token: str, around: str, words: frozenset[str] = COMMON) -> float:
     """The token's marginal bytes as a share of those of the same characters in random order (of four orders
     the cheapest, and at most a byte a character)."""
@@ -176,21 +170,19 @@ def novelty(token: str, around: str, words: frozenset[str] = COMMON) -> float:
             random_cost = min(random_cost, cost("".join(chars)))
         return least / max(1, random_cost)
 
-    if any(c.isdigit() for c in token) and any(c.isalpha() for c in token):
+    if is_mixed(token):
         return share(token, cost(token))
-    if sum(n * math.log2(len(token) / n) for n in Counter(token).values()) < BITS_MIN:
+    if is_plain(token):
         return 0.0
     coded, rest = without_words(token, words)
     out = share(token, min(cost(token), cost(coded)))
     return max(out, share(rest, cost(rest))) if rest != token and len(rest) >= TOKEN_MIN else out
 
 
-def novel_spans(text: str, taken: list[tuple[str, int, int]], reach: int, context: int, least: float,
-                known: frozenset[str] = COMMON) -> list[tuple[int, int, float]]:
-    """(start, end, novelty) of tokens at most ``reach`` characters after a sensitive word whose novelty is
-    ``least`` or more; tokens that meet a base finding are left to it."""
+def candidates(text: str, taken: list[tuple[str, int, int]], reach: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of tokens at most ``reach`` characters after a sensitive word; tokens that meet a base finding are left to it."""
     words = [m.end() for m in _SENSITIVE.finditer(text)]
-    out, w, t = [], 0, 0
+    w = t = 0
     apart: list[list[int]] = []  # the base findings as spans that do not overlap
     for a, b in sorted((s, e) for _, s, e in taken):
         if apart and a < apart[-1][1]:
@@ -203,37 +195,109 @@ def novel_spans(text: str, taken: list[tuple[str, int, int]], reach: int, contex
             w += 1
         while t < len(apart) and apart[t][1] <= s:
             t += 1
-        if not 0 <= s - words[w] <= reach or t < len(apart) and apart[t][0] < e:
-            continue
-        v = novelty(m.group(), text[max(0, s - context):s] + text[e:e + context], known)
-        if v >= least:
-            out.append((s, e, v))
-    return out
+        if 0 <= s - words[w] <= reach and not (t < len(apart) and apart[t][0] < e):
+            yield s, e
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 40,
-                 context: int = 512, least: float = 0.7) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, findings``, an array of (kind, start, end, novelty) by start, then kind.
+def novel_spans(text: str, taken: list[tuple[str, int, int]], reach: int, context: int, least: float,
+                known: frozenset[str] = COMMON) -> list[tuple[int, int, float]]:
+    """(start, end, novelty) of the candidates whose novelty is ``least`` or more, the known words being given."""
+    found = ((s, e, novelty(text[s:e], text[max(0, s - context):s] + text[e:e + context], known)) for s, e in candidates(text, taken, reach))
+    return [x for x in found if x[2] >= least]
 
-    Kinds are ``assign``, ``access``, ``hex`` (base patterns, always reported,
-    novelty null) and ``novel`` (by the measure).  The corpus's words are counted
-    when this is called, in a pass of its own.  Spans are in code points, the
-    end exclusive.  Null text counts as empty (no findings); null and repeated
-    ids keep their rows; texts are read whole; other columns are ignored.
-    """
-    known = docs.sparkSession.sparkContext.broadcast(frequent_words(docs, text_col=text_col))
+
+_FINDING = "struct<start:bigint,no:int,end:bigint,novelty:double>"
+
+
+#: What the one pass over the texts writes: a row per text, and rows (word, n) of the words its task has counted.
+_SCANNED = f"doc_id long, found array<{_FINDING}>, waiting array<struct<start:bigint,end:bigint,token:string,around:string>>, word string, n long"
+
+
+def _scanned(reach: int, context: int, least: float):
+    """The base findings and the novel tokens that need no words; the tokens that wait for them, with the text around;
+    and in how many of a task's texts each word occurs (:func:`own_words`)."""
+    finding = pa.list_(pa.struct([("start", pa.int64()), ("no", pa.int32()), ("end", pa.int64()), ("novelty", pa.float64())]))
+    waiting = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("token", pa.string()), ("around", pa.string())]))
+    names = ["doc_id", "found", "waiting", "word", "n"]
+
+    def batch(ids, rows, waits, words, counts) -> pa.RecordBatch:
+        kinds = (pa.int64(), finding, waiting, pa.string(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((ids, rows, waits, words, counts), kinds)], names)
+
+    def counted(seen: Counter) -> pa.RecordBatch:
+        none = [None] * len(seen)
+        return batch(none, none, none, [w.decode() for w in seen], list(seen.values()))
 
     def run(batches):
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("novelty", pa.float64())]))
+        seen: Counter = Counter()
         for b in slices(batches):
-            rows = []
-            for text in b.column("text").to_pylist():
+            rows, waits = [], []
+            for text, data in zip(b.column("text").to_pylist(), utf8(b.column("text"))):
                 text = text or ""
-                found = base_spans(text)
-                all_ = [(s, KINDS.index(k), e, None) for k, s, e in found]
-                all_ += [(s, 3, e, v) for s, e, v in novel_spans(text, found, reach, context, least, known.value)]
-                rows.append([{"kind": KINDS[k], "start": s, "end": e, "novelty": v} for s, k, e, v in sorted(all_, key=lambda x: x[:3])])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(rows, kind)], ["doc_id", "findings"])
+                base = base_spans(text)
+                found, wait = [(s, KINDS.index(k), e, None) for k, s, e in base], []
+                for s, e in candidates(text, base, reach):
+                    token, around = text[s:e], text[max(0, s - context):s] + text[e:e + context]
+                    if not is_mixed(token):
+                        if not is_plain(token):
+                            wait.append({"start": s, "end": e, "token": token, "around": around})
+                    elif (v := novelty(token, around)) >= least:
+                        found.append((s, 3, e, v))
+                rows.append([dict(zip(("start", "no", "end", "novelty"), x)) for x in found])
+                waits.append(wait)
+                seen.update(own_words(data))
+            none = [None] * b.num_rows
+            yield batch(b.column("doc_id").to_pylist(), rows, waits, none, none)
+            if len(seen) > 200_000:
+                yield counted(seen)
+                seen = Counter()
+        yield counted(seen)
+
+    return run
+
+
+def _possible(batches):
+    for b in batches:
+        for t in b.column("token").to_pylist():
+            words = sorted(possible_words(t))
+            for at in range(0, len(words), 20_000):
+                part = words[at:at + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array([t] * len(part), pa.string()), pa.array(part, pa.string())], ["token", "word"])
+
+
+def _measured(batches):
+    for b in batches:
+        values = [novelty(t, a or "", COMMON | frozenset(w or ())) for t, a, w in zip(*(b.column(c).to_pylist() for c in ("token", "around", "words")))]
+        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("start"), b.column("end"), pa.array(values, pa.float64())], ["row", "start", "end", "novelty"])
+
 
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 40,
+                 context: int = 512, least: float = 0.7, share: float = 1e-4, least_docs: int = 2) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, findings``, an array of (kind, start, end, novelty) by start, then kind.
+
+    Kinds are ``assign``, ``access``, ``hex`` (base patterns, always reported,
+    novelty null) and ``novel`` (by the measure).  Words of at least ``share``
+    of the rows, and of ``least_docs`` rows, are known; they are counted over all
+    rows in the pass that finds the candidates.  Spans are in code points, the end exclusive.
+    Null text counts as empty (no findings); null and repeated ids keep their
+    rows; texts are read whole; other columns are ignored; an empty table gives
+    no rows.
+    """
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return base.mapInArrow(tidy(run), "doc_id long, findings array<struct<kind:string,start:bigint,end:bigint,novelty:double>>")
+    stored, _ = store(base.mapInArrow(tidy(_scanned(reach, context, least)), _SCANNED).withColumn("row", F.monotonically_increasing_id()), "scanned")
+    scanned = stored.filter("word is null")
+    waiting = scanned.filter(F.size("waiting") > 0).select("row", F.inline("waiting"))
+    novel = scanned.select("doc_id", "found")
+    if not waiting.isEmpty():
+        least_n = max(least_docs, math.ceil(share * scanned.count()))
+        wanted = waiting.select("token").distinct().mapInArrow(tidy(_possible), "token string, word string")
+        used = stored.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_n).select("word")
+        known = wanted.join(used, "word").groupBy("token").agg(F.collect_set("word").alias("words"))
+        judged = waiting.join(known, "token", "left").select("row", "start", "end", "token", "around", "words") \
+            .mapInArrow(tidy(_measured), "row long, start long, end long, novelty double").filter(F.col("novelty") >= least)
+        more = judged.groupBy("row").agg(F.collect_list(F.struct("start", F.lit(3).alias("no"), "end", "novelty")).alias("more"))
+        none = F.array().cast(f"array<{_FINDING}>")
+        novel = scanned.join(more, "row", "left").select("doc_id", F.concat("found", F.coalesce("more", none)).alias("found"))
+    kinds = F.array(*map(F.lit, KINDS))
+    return novel.select("doc_id", F.transform(F.array_sort("found"), lambda x: F.struct(
+        kinds[x["no"]].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["novelty"].alias("novelty"))).alias("findings"))

@@ -3,13 +3,16 @@
 Tier one is a compact table (unit -> number of tokens) of the most frequent
 units of the whole corpus, broadcast; its entries and their length are bounded
 by parameters.  Tier two is a bounded cache in each worker, filled by encoding
-what the table lacks.  To build the table each task of the first pass sends
+what the table lacks, and kept from task to task.  To build the table each task of the first pass sends
 at most ``per_task`` of its units with their counts through a shuffle, and the
 chosen ones reach the driver; the counting pass has no shuffle.
 """
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections import Counter
 
 import pyarrow as pa
@@ -56,6 +59,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     spark = docs.sparkSession
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     table = spark.sparkContext.broadcast(frequent_units(docs, path, table_size, text_col=text_col))
+    name = uuid.uuid4().hex
 
     class Lengths(dict):
         def __init__(self, bpe):
@@ -72,8 +76,11 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
             return n
 
     def run(batches):
-        bpe = load(path)
-        lengths = Lengths(bpe)
+        # a function's own globals live for one task; this module lives as long as the worker and holds one table
+        kept = sys.modules.setdefault("_ontime_llm_lengths", types.ModuleType("_ontime_llm_lengths")).__dict__
+        if kept.get("name") != name:
+            kept.update(name=name, lengths=Lengths(load(path)))
+        bpe, lengths = load(path), kept["lengths"]
         for b in slices(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
             counts = [sum(map(lengths.__getitem__, bpe.units(t))) for t in texts]

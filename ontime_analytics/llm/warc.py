@@ -37,7 +37,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import partitions, slices, store, tidy
+from ontime_analytics.llm.common import drop, partitions, slices, store, tidy
 
 #: Shards have an equal part of all payloads, at least and at most so many bytes.
 SHARDS, SHARD_BYTES = 256, (8 << 20, 256 << 20)
@@ -219,7 +219,7 @@ def write_warc(pages: DataFrame, folder: str, options: WarcOptions = WarcOptions
     text = F.coalesce(pages[payload_col].cast("string"), F.lit(""))
     base = pages.select(pages[id_col].cast("long").alias("page_id"), pages[uri_col].cast("string").alias("uri"), text.alias("payload"),
                         F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("size"))
-    narrow, _ = store(base.drop("payload"), "payloads")
+    narrow, narrow_path = store(base.drop("payload"), "payloads")
     with_shard = _shards(narrow, o)
     groups = narrow.filter(F.col("size") >= o.least_bytes).groupBy("digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("page_id", "uri")).alias("first")).filter("copies > 1")
@@ -233,8 +233,11 @@ def write_warc(pages: DataFrame, folder: str, options: WarcOptions = WarcOptions
     rows = base.select("page_id", "uri", "digest", F.lit(1).alias("kind"), "payload", none.cast("long").alias("first_id"),
                        none.cast("string").alias("first_uri"), F.lit(False).alias("repeats"))
     dealt = with_shard(notices.unionByName(rows)).repartition(partitions(spark), "shard").sortWithinPartitions("shard", "page_id", "uri", "digest", "kind")
-    written, _ = store(dealt.mapInArrow(tidy(_writer(folder, o)), MANIFEST), "written")
-    return _commit(written, folder)
+    written, path = store(dealt.mapInArrow(tidy(_writer(folder, o)), MANIFEST), "written")
+    manifest = _commit(written, folder)
+    drop(spark, narrow_path)
+    drop(spark, path)
+    return manifest
 
 
 def _commit(written: DataFrame, folder: str) -> DataFrame:

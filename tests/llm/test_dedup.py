@@ -131,15 +131,6 @@ def test_collection_suffixes():
         assert list(lcp) == [0] + [common(a, b) for a, b in zip(rows, rows[1:])]
 
 
-def test_suffixes_in_files(monkeypatch):
-    strs = [b"banana", b"ananas", b"bandana"]
-    sizes = np.array([len(s) for s in strs])
-    args = (np.frombuffer(b"".join(strs), np.uint8), np.cumsum(sizes) - sizes, sizes)
-    want = bwt.collection_suffixes(*args)
-    monkeypatch.setattr(bwt, "SPOOL", 4)
-    assert all((a == b).all() for a, b in zip(bwt.collection_suffixes(*args), want))
-
-
 def repeat_rows():
     r = random.Random(4)
     passage = "".join(r.choice("abcdefgh ") for _ in range(300))
