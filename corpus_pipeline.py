@@ -23,12 +23,16 @@ ORACLE_SQL = None
 
 
 def _rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id and text hash are in ``chosen``, one for each pair."""
-    own = docs.select(whole(docs).alias("doc"), F.col("doc_id").cast("long").alias("id"),
-                      F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("hash"))
-    c = chosen.select("doc_id", "text_hash")
-    return own.join(c, own["id"].eqNullSafe(c["doc_id"]) & (own["hash"] == c["text_hash"]), "left_semi") \
-        .dropDuplicates(["id", "hash"]).select("doc.*")
+    """The rows of ``docs`` whose id and text hash are in ``chosen``, one for each pair.
+
+    Copies are dropped first, on the map side too, and the rows that are left
+    are already dealt out as the join needs them: they move once."""
+    key = ["no_id", "id", "hash"]
+    keyed = lambda df, doc_id: df.withColumns({"no_id": doc_id.isNull(), "id": F.coalesce(doc_id, F.lit(0).cast("long"))})
+    own = keyed(docs.select(whole(docs).alias("doc"), F.col("doc_id").cast("long").alias("own"),
+                            F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("hash")), F.col("own"))
+    c = keyed(chosen.select(F.col("doc_id").alias("own"), F.col("text_hash").alias("hash")), F.col("own"))
+    return own.dropDuplicates(key).join(c.select(key), key, "left_semi").select("doc.*")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
