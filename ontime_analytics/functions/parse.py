@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
 
-# A whole-field signed decimal integer, like Java's Integer.parseInt: no
-# blanks, no decimal point, no exponent.  Spark's own cast would accept ' 20'
-# and an ANSI cast would raise on 'NA', so the guard comes first.
-INT_PATTERN = r"^[+-]?[0-9]+$"
+# Spark's try_cast takes a whole-field signed decimal integer, like Java's
+# Integer.parseInt: no decimal point, no exponent, NULL for 'NA'.  But it drops
+# blanks and control characters at both ends, so the first and the last
+# character must be printable.  (Two comparisons, where a pattern would be run
+# on every field.)
+FIRST_PRINTABLE, AFTER_PRINTABLE = "!", "\x7f"
 
 
 def _col(c: Column | str) -> Column:
@@ -25,7 +27,8 @@ def strict_int(c: Column | str, default: int | None = None) -> Column:
     """Parse a string field to INT; anything else (NA, '', ' 20', '5.7',
     overflow) is NULL, or ``default`` when one is given."""
     c = _col(c)
-    parsed = F.when(c.rlike(INT_PATTERN), c.try_cast("int"))
+    printable = lambda x: (x >= FIRST_PRINTABLE) & (x < AFTER_PRINTABLE)
+    parsed = F.when(printable(c) & printable(F.substring(c, -1, 1)), c.try_cast("int"))
     return parsed if default is None else F.coalesce(parsed, F.lit(default))
 
 

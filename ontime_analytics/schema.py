@@ -68,6 +68,9 @@ TOP_K = 50
 # has no last year unless a query is given one ---
 DST_FIRST_YEAR = 1987
 
+# Metadata of a typed column that its plan parses from text (a lake's columns have none).
+PARSED_HERE = "parsed_here"
+
 # Raw column -> typed column.  INT columns go through the strict parser.
 INT_FIELDS = (
     ("Year", "year"),

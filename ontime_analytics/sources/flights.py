@@ -18,8 +18,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ontime_analytics import schema as S
 from ontime_analytics.functions.parse import strict_int
+from ontime_analytics.sources.loads import Journal
 
-FIELD_COUNT_COLUMN = "_fields"
+FIELD_COUNT_COLUMN, FIELDS_COLUMN = "_fields", "_split"
 LOAD_COLUMN = "load"
 
 
@@ -32,11 +33,12 @@ def parse_flight_lines(lines: DataFrame, header: bool = False, value: str = "val
     ``Year``) are dropped - one per input file, wherever Spark split them."""
     if header:
         lines = lines.filter(~F.col(value).startswith(S.RAW_COLUMNS[0] + ","))
-    fields = F.split(F.col(value), ",", -1)
-    cols = [F.try_element_at(fields, F.lit(i + 1)).alias(c) for i, c in enumerate(S.RAW_COLUMNS)]
+    # a projection of its own, so that a line is split once and not for every column
+    split = lines.select(F.split(F.col(value), ",", -1).alias(FIELDS_COLUMN), *keep)
+    cols = [F.try_element_at(FIELDS_COLUMN, F.lit(i + 1)).alias(c) for i, c in enumerate(S.RAW_COLUMNS)]
     if keep_field_count:
-        cols.append(F.size(fields).alias(FIELD_COUNT_COLUMN))
-    return lines.select(*cols, *keep)
+        cols.append(F.size(FIELDS_COLUMN).alias(FIELD_COUNT_COLUMN))
+    return split.select(*cols, *keep)
 
 
 def read_flights_raw(spark: SparkSession, path: str | list[str], header: bool = False,
@@ -53,6 +55,7 @@ def type_flights(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     cancellation code), and the columns named in ``keep`` as they are.  Works on
     any DataFrame that has the raw column names."""
     ints = {typed: strict_int(name).alias(typed) for name, typed in S.INT_FIELDS}
+    ints["year"] = strict_int("Year").alias("year", metadata={S.PARSED_HERE: True})
     strs = {typed: F.col(name).alias(typed) for name, typed in S.STRING_FIELDS}
     code = F.col("CancellationCode")
     extra = {
@@ -70,11 +73,21 @@ def read_flights(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ``year`` and ``load``), e.g. one of batch loads and one of a stream.
 
     The schema is fixed: no footer is read for it, an empty lake gives no rows
-    and a lake with NULL years only keeps its column types."""
+    and a lake with NULL years only keeps its column types.  Loads that the
+    lake's journal says do not count (:mod:`.loads`) are pruned as partitions;
+    a lake at rest has none."""
     paths = [path] if isinstance(path, str) else list(path)
+    return reduce(DataFrame.unionByName, [_read_lake(spark, p) for p in paths])
+
+
+def _read_lake(spark: SparkSession, path: str) -> DataFrame:
     schema = StructType([*S.FLIGHTS_SCHEMA.fields, StructField(LOAD_COLUMN, StringType())])
-    lakes = [spark.read.schema(schema).parquet(p).select(*S.FLIGHT_COLUMNS) for p in paths]
-    return reduce(DataFrame.unionByName, lakes)
+    lake = spark.read.schema(schema).parquet(path)
+    journal = Journal(spark, path)
+    void = journal.void(journal.partitions()) if journal.notes() else set()
+    if void:
+        lake = lake.filter(F.col(LOAD_COLUMN).isNull() | ~F.col(LOAD_COLUMN).isin(*sorted(void)))
+    return lake.select(*S.FLIGHT_COLUMNS)
 
 
 def read_flights_csv(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:

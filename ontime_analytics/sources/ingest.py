@@ -4,10 +4,11 @@ One Spark job replaces "download, bunzip2, strip the header, hdfs put":
 ``*.csv.bz2`` is read natively (bzip2 is splittable, so one large yearly file
 is read by many tasks), typed once, and written.
 
-``load`` names the input file a row came from, so the unit of overwriting is
-one file's rows of one year: loading a file again replaces what it gave before
-- also in years it no longer has - and nothing else.  Rows whose year does not
-parse keep their file's load under a NULL year.
+``load`` names the input file a row came from and the run that loaded it.
+Loading a file again replaces what it gave before - also in years it no longer
+has - and nothing else, and it does so in one step (:mod:`.loads`): a run that
+breaks off leaves the rows as they were.  Rows whose year does not parse keep
+their file's load under a NULL year.
 
 No shuffle: every task writes the files it read.  Each task sorts its own rows
 by (year, month, day) before writing, so Parquet row-group statistics let date
@@ -22,10 +23,14 @@ log hides files it did not write.  :func:`read_flights` reads several lakes.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime_analytics.sources.flights import LOAD_COLUMN, parse_flight_lines, type_flights
+from ontime_analytics.sources.loads import RUN_MARK, Journal
 
 DEFAULT_MAX_RECORDS_PER_FILE = 20_000_000
 STREAM_LOG = "_spark_metadata"
@@ -62,8 +67,8 @@ def write_flights_lake(typed: DataFrame, lake: str, mode: str = "overwrite",
     """Write typed flights to the lake; without a ``load`` column they are one load named ``load``.
 
     With ``mode="overwrite"`` each load that occurs replaces its own (year, load)
-    partitions; years of a load that the rows no longer have are left to
-    :func:`ingest_flights`, which knows the files it read."""
+    partitions; years of a load that the rows no longer have stay (:func:`ingest_flights`
+    replaces whole files)."""
     spark = typed.sparkSession
     if is_stream_lake(spark, lake):
         raise ValueError(f"{lake} is written by a stream; load into a folder of its own and read both")
@@ -83,26 +88,30 @@ def ingest_flights(spark: SparkSession, source: str | list[str], lake: str,
                    header: bool = True, mode: str = "overwrite",
                    max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
                    sort_within: tuple[str, ...] = ("month", "day_of_month")) -> None:
-    """Raw flight files -> typed lake, in one job; then the partitions that a
-    file loaded before gave and no longer gives are removed."""
-    paths = [source] if isinstance(source, str) else list(source)
-    lines = spark.read.text(paths).select("value", load_key(F.input_file_name()).alias(LOAD_COLUMN))
-    files = spark.read.text(paths).inputFiles()
-    before: set[str] = set()
-    if mode == "overwrite" and files:
-        names = [r[0] for r in spark.createDataFrame([(f,) for f in files], "path string").select(load_key(F.col("path"))).collect()]
-        before = _paths(spark, *(f"{lake}/year=*/{LOAD_COLUMN}={_escaped(spark, n)}/part-*" for n in names))
-    write_flights_lake(type_flights(parse_flight_lines(lines, header=header, keep=(LOAD_COLUMN,)), keep=(LOAD_COLUMN,)), lake,
-                       mode, max_records_per_file, sort_within)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for old in before:  # what the write did not replace
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            fs.delete(p, False)
-
+    """Raw flight files -> typed lake, in one job.
 
-def _escaped(spark: SparkSession, value: str) -> str:
-    """``value`` as a partition directory's name spells it, its glob characters quoted."""
-    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
-    return "".join("\\" + c if c in "*?[]{}\\" else c for c in name)
+    With ``mode="overwrite"`` the rows that the same files gave before are
+    replaced; readers see the old rows until the new ones are all there."""
+    if is_stream_lake(spark, lake):
+        raise ValueError(f"{lake} is written by a stream; load into a folder of its own and read both")
+    paths = [source] if isinstance(source, str) else list(source)
+    text = spark.read.text(paths)
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    lines = text.select("value", F.concat(load_key(F.input_file_name()), F.lit(RUN_MARK + run)).alias(LOAD_COLUMN))
+    typed = type_flights(parse_flight_lines(lines, header=header, keep=(LOAD_COLUMN,)), keep=(LOAD_COLUMN,))
+    if mode != "overwrite":
+        write_flights_lake(typed, lake, mode, max_records_per_file, sort_within)
+        return
+    files = text.inputFiles()
+    if not files:
+        return
+    keys = [r[0] for r in spark.createDataFrame([(f,) for f in files], "path string").select(load_key(F.col("path"))).collect()]
+    journal = Journal(spark, lake)
+    journal.begin(run, keys)
+    write_flights_lake(typed, lake, "append", max_records_per_file, sort_within)
+    try:
+        journal.commit(run)
+    except RuntimeError:  # another run of the same files has overtaken this one
+        journal.drop_run(run)
+        raise
+    journal.clean(run)
