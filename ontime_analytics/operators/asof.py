@@ -32,20 +32,32 @@ def _points(df: DataFrame, on: Sequence[str], time: str, value: Column, asked: b
     return given.select(*on, F.col(time).cast("long").alias("_time"), value.alias("_value"), F.lit(asked).alias("_asked"))
 
 
-def last_before(points: DataFrame, on: Sequence[str], strict: bool = True, slice_width: int = SLICE_WIDTH) -> DataFrame:
-    """``points``: one row per key and ``_time``, with a ``_value`` struct or NULL and whether it is ``_asked``.
-
-    Returns for each asked point ``_found``: (time, value) of the latest point with a value before it (or at it)."""
+def _with_last(points: DataFrame, on: Sequence[str], strict: bool, slice_width: int) -> DataFrame:
+    """``points`` (one row per key and ``_time``, ``_value`` a struct or NULL) with ``_found``: (time, value) of the key's
+    latest point with a value before each, or at it."""
     sliced = points.withColumn("_slice", F.floor(F.col("_time") / F.lit(slice_width)).cast("long"))
-    here = F.when(F.col("_value").isNotNull(), F.struct(F.col("_time").alias("time"), F.col("_value").alias("value")))
+    here = F.when(F.col("_value").isNotNull() & F.col("_time").isNotNull(), F.struct(F.col("_time").alias("time"), F.col("_value").alias("value")))
     # times rise within a key, so the greatest (time, value) of the earlier slices is the last one
     earlier = Window.partitionBy(*on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (sliced.groupBy(*on, "_slice").agg(F.max(here).alias("_last"))
                .withColumn("_last", F.max("_last").over(earlier)).filter(F.col("_last").isNotNull())
                .select(*on, F.col("_last.time").alias("_time"), F.col("_last.value").alias("_value"), F.lit(False).alias("_asked"), "_slice"))
     within = Window.partitionBy(*on, "_slice").orderBy("_time").rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    return sliced.unionByName(carried).withColumn("_found", F.last(here, ignorenulls=True).over(within)) \
-        .filter("_asked").select(*on, "_time", "_found")
+    return sliced.unionByName(carried).withColumn("_found", F.last(here, ignorenulls=True).over(within)).filter("_asked")
+
+
+def with_previous(points: DataFrame, on: Sequence[str], time: str, values: Sequence[str], prefix: str = "prev_", slice_width: int = SLICE_WIDTH) -> DataFrame:
+    """``points``, one row per key and time, with ``<prefix>time`` and the ``values`` of the key's row before.
+
+    Rows with a NULL key or time have none before them.  Nothing is joined: a
+    point's own columns travel with it, and ``points`` is computed once."""
+    rest = [c for c in points.columns if c not in on]
+    # all columns go into the value, so that both uses of the points are the same exchange
+    given = points.select(*on, F.col(time).cast("long").alias("_time"), F.struct(*rest).alias("_value"), F.lit(True).alias("_asked"))
+    found = F.when(F.col("_time").isNotNull() & F.expr(" and ".join(f"`{k}` is not null" for k in on)), F.col("_found"))
+    return _with_last(given, on, True, slice_width).withColumn("_found", found).select(
+        *[F.col(c) if c in on else F.col("_value")[c].alias(c) for c in points.columns],
+        F.col("_found.time").alias(f"{prefix}time"), *[F.col("_found.value")[v].alias(f"{prefix}{v}") for v in values])
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str], prefix: str = "prev_",
@@ -63,7 +75,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     asked = _points(left, on, left_time, F.lit(None).cast(kind), True)
     given = _points(right, on, right_time, value, False)
     points = given.unionByName(asked).groupBy(*on, "_time").agg(F.max("_value").alias("_value"), F.bool_or("_asked").alias("_asked"))
-    answers = last_before(points, on, strict, slice_width)
+    answers = _with_last(points, on, strict, slice_width)
     if tolerance is not None:
         answers = answers.withColumn("_found", F.when(F.col("_time") - F.col("_found.time") <= tolerance, F.col("_found")))
     answers = answers.select(*[F.col(k).alias(f"_on{i}") for i, k in enumerate(on)], "_time", "_found")
@@ -85,19 +97,21 @@ def previous_departures(flights: DataFrame) -> DataFrame:
 
     The files give days, so the order within a day is not known.  Flights with an unknown tail or no valid date have no earlier one."""
     df = _departures(flights)
-    out = asof_join(df, df, ["tail"], "day", "day", ["dep_delay", "origin"])
-    return out.select("year", "month", "day_of_month", "tail", "origin", "dep_delay", (F.col("day") - F.col("prev_time")).cast("int").alias("days_since"),
-                      F.col("prev_origin").alias("previous_origin"), F.col("prev_dep_delay").alias("previous_delay"))
+    worst = df.filter("tail is not null and day is not null").groupBy("tail", "day").agg(F.max(F.struct("dep_delay", "origin")).alias("worst"))
+    days = with_previous(worst, ["tail"], "day", ["worst"]).select(F.col("tail").alias("_tail"), F.col("day").alias("_day"), "prev_time", "prev_worst")
+    return df.join(days, (df["tail"] == days["_tail"]) & (df["day"] == days["_day"]), "left").select(
+        "year", "month", "day_of_month", "tail", "origin", "dep_delay", (F.col("day") - F.col("prev_time")).cast("int").alias("days_since"),
+        F.col("prev_worst.origin").alias("previous_origin"), F.col("prev_worst.dep_delay").alias("previous_delay"))
 
 
 def previous_departure_impact(flights: DataFrame) -> DataFrame:
     """Flights and delayed flights by how long ago the aircraft flew before and whether that day's worst departure was delayed.
 
-    The flights are counted per aircraft and day first; the as-of join is between those counts."""
+    The flights are counted per aircraft and day first; each such count meets the one before."""
     daily = _departures(flights).groupBy("tail", "day").agg(
         F.count(F.lit(1)).alias("flights"), F.count_if(has_delay()).alias("delayed_flights"),
         F.max("dep_delay").alias("worst"))
-    out = asof_join(daily, daily, ["tail"], "day", "day", ["worst"])
+    out = with_previous(daily, ["tail"], "day", ["worst"])
     gap = F.col("day") - F.col("prev_time")
     band = F.when(gap == 1, "the day before").when(gap <= 7, "2 to 7 days").when(gap <= 30, "8 to 30 days").when(gap > 30, "longer").otherwise("none known")
     return out.groupBy(band.alias("last_flown"), F.when(gap.isNotNull(), F.coalesce(F.col("prev_worst") > S.DELAY_THRESHOLD_MINUTES, F.lit(False))).alias("was_delayed")).agg(

@@ -1,4 +1,4 @@
-"""Cancellations (Q23-Q26)."""
+"""Cancellations (Q23-Q26, and per day)."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime_analytics import schema as S
-from ontime_analytics.functions.parse import cancellation_reason, is_cancelled
+from ontime_analytics.functions.parse import cancellation_reason, is_cancelled, percent
 
 
 def cancellations_by_reason(flights: DataFrame) -> DataFrame:
@@ -48,6 +48,13 @@ def cancellations_by_month_reason(flights: DataFrame) -> DataFrame:
     return per_code.groupBy("year", "month", cancellation_reason().alias("reason")).agg(F.sum("n").cast("long").alias("flights"))
 
 
+def cancellations_by_day(flights: DataFrame) -> DataFrame:
+    """All and cancelled flights per (year, month, day), and the share that was cancelled."""
+    return flights.groupBy("year", "month", "day_of_month").agg(
+        F.count(F.lit(1)).alias("flights"), F.count_if(is_cancelled()).alias("cancelled_flights")) \
+        .withColumn("cancelled_percent", percent("cancelled_flights", "flights"))
+
+
 def cancellations_by_carrier(flights: DataFrame) -> DataFrame:
     """Q25: all and cancelled flights per carrier (0 when none cancelled)."""
     return flights.groupBy("carrier").agg(

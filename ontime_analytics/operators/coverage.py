@@ -45,11 +45,10 @@ def route_changes(flights: DataFrame) -> DataFrame:
     pairs = flights.filter("month between 1 and 12 and year is not null").select(
         (F.col("year") * 12 + F.col("month") - 1).alias("at"), "carrier", "origin").distinct()
     before = pairs.select((F.col("at") + 1).alias("then"), F.col("carrier").alias("c"), F.col("origin").alias("o"))
-    months = pairs.select("at").distinct()
-    both = months.join(months.select((F.col("at") + 1).alias("at")), "at", "left_semi").withColumnRenamed("at", "month_no")
     joined = pairs.join(before, (pairs["at"] == before["then"]) & pairs["carrier"].eqNullSafe(before["c"]) & pairs["origin"].eqNullSafe(before["o"]), "full_outer")
     counts = joined.groupBy(F.coalesce("at", "then").alias("month_no")).agg(
         F.count_if(F.col("then").isNull()).alias("gained"), F.count_if(F.col("at").isNull()).alias("lost"),
         F.count_if(F.col("at").isNotNull() & F.col("then").isNotNull()).alias("kept"))
-    return counts.join(both, "month_no", "left_semi").select(
+    # a month that has pairs, after one that has
+    return counts.filter("gained + kept > 0 and lost + kept > 0").select(
         F.floor(F.col("month_no") / 12).cast("int").alias("year"), (F.pmod("month_no", F.lit(12)) + 1).cast("int").alias("month"), "gained", "lost", "kept")

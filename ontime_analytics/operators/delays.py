@@ -1,4 +1,4 @@
-"""Delay counts by calendar keys (Q1-Q5).
+"""Delay counts by calendar keys (Q1-Q5, and the share per year).
 
 Each is one scan and one hash aggregate on a low-cardinality key: the
 partial aggregate runs map-side, so only (key, partial) rows are shuffled,
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime_analytics.functions.parse import has_delay, month_name, net_delay_positive, weekday_name
+from ontime_analytics.functions.parse import has_delay, month_name, net_delay_positive, percent, weekday_name
 
 
 def delay_by_year(flights: DataFrame) -> DataFrame:
@@ -24,6 +24,13 @@ def delay_by_year(flights: DataFrame) -> DataFrame:
     )
 
 
+def delay_percent_by_year(flights: DataFrame) -> DataFrame:
+    """Per year the share of the flights with a parsable departure delay that were delayed."""
+    return flights.filter(F.col("dep_delay").isNotNull()).groupBy("year").agg(
+        F.count(F.lit(1)).alias("flights"), F.count_if(has_delay()).alias("delayed_flights")) \
+        .withColumn("delay_percent", percent("delayed_flights", "flights"))
+
+
 def _delayed_count_by(flights: DataFrame, key: str) -> DataFrame:
     return flights.groupBy(key).agg(F.count_if(has_delay()).alias("delayed_flights"))
 

@@ -113,9 +113,9 @@ def overlap_join(left: DataFrame, right: DataFrame, left_start: str, left_end: s
 
 def calendar_windows(flights: DataFrame, windows=WINDOWS) -> DataFrame:
     """The windows of every year that the flights cover: ``window, window_year`` (of the first day), ``start, end`` as day numbers."""
-    # fewer than 10,000 years have dates; a window that began in the year before reaches into the first
-    years = flights.filter(F.col("year").between(1, 9999)).agg(F.min("year").alias("a"), F.max("year").alias("z")) \
-        .select(F.explode(F.sequence(F.greatest(F.col("a") - 1, F.lit(1)), F.least(F.col("z"), F.lit(9998)))).alias("window_year"))
+    # two numbers; fewer than 10,000 years have dates, and a window that began the year before reaches into the first
+    first, last = flights.filter(F.col("year").between(1, 9999)).agg(F.min("year"), F.max("year")).first()
+    years = flights.sparkSession.range(max((first or 1) - 1, 1), min(last or 0, 9998) + 1).select(F.col("id").cast("int").alias("window_year"))
     rows = F.array(*[F.struct(F.lit(n).alias("window"), *[F.lit(x).alias(k) for k, x in zip(("m1", "d1", "m2", "d2"), ends)]) for n, *ends in windows])
     day = lambda y, m, d: F.unix_date(F.make_date(y, m, d))
     turns = F.when(F.col("m2") * 100 + F.col("d2") < F.col("m1") * 100 + F.col("d1"), F.col("window_year") + 1).otherwise(F.col("window_year"))

@@ -33,10 +33,11 @@ def estimates(stored: DataFrame, name: str = "estimate") -> DataFrame:
 
 def carrier_year_tails(flights: DataFrame) -> DataFrame:
     """Distinct known tails per carrier and year, exact, and whether the estimate merged from monthly sketches is within three standard errors."""
-    known = flights.filter(F.col("tail_num") != "NA")
     by = ["carrier", "year"]
+    known = flights.filter(F.col("tail_num").isNotNull() & (F.col("tail_num") != "NA")).select(*by, "month", "tail_num").distinct()  # one scan for both counts
     estimate = estimates(merged(sketches(known, [*by, "month"], "tail_num"), by))
-    exact = known.groupBy(*by).agg(F.countDistinct("tail_num").alias("tails"))
+    months = known.groupBy(*by, "tail_num").agg(F.count(F.lit(1)).alias("months"))
+    exact = months.groupBy(*by).agg(F.count_if(F.col("months") > 0).alias("tails"))
     e = estimate.select(F.col("carrier").alias("c"), F.col("year").alias("y"), "estimate")
     within = F.abs(F.col("estimate") - F.col("tails")) <= F.col("tails") * F.lit(BOUND) + 1
     return exact.join(e, exact["carrier"].eqNullSafe(e["c"]) & exact["year"].eqNullSafe(e["y"])).select(*by, "tails", within.alias("within_bound"))

@@ -8,7 +8,7 @@ are like those of :mod:`.catalog`, which adds them to what ``build`` knows.
 
 from __future__ import annotations
 
-from ontime_analytics.operators import asof, coverage, cubes, intervals, quantiles, ranks, sketches, streaks
+from ontime_analytics.operators import asof, cancellations, coverage, cubes, delays, intervals, quantiles, ranks, sketches, streaks
 
 #: name -> (function, needs the aircraft dimension, result stays small as the input grows)
 HISTORY = {
@@ -29,6 +29,8 @@ HISTORY = {
     "unregistered_tails": (coverage.unregistered_tails, True, False),
     "tail_sets": (coverage.tail_sets, True, True),
     "route_changes": (coverage.route_changes, False, True),
+    "cancellations_by_day": (cancellations.cancellations_by_day, False, True),
+    "delay_percent_by_year": (delays.delay_percent_by_year, False, True),
 }
 
 _DELAYED = "coalesce(dep_delay > 15, false)"
@@ -121,4 +123,20 @@ j as (select coalesce(p.at_month, q.at_month + 1) as m, p.at_month as now, q.at_
 select cast(m // 12 as integer) as year, cast(m % 12 + 1 as integer) as month, count(*) filter (then_month is null) as gained,
  count(*) filter (now is null) as lost, count(*) filter (now is not null and then_month is not null) as kept
 from j where m in (select at_month from p) and m - 1 in (select at_month from p) group by m""",
+    "cancellations_by_day": """
+select year, month, day_of_month, count(*) as flights, count(*) filter (cancelled = 1) as cancelled_flights,
+ cast(count(*) filter (cancelled = 1) as double) * cast(100 as double) / cast(count(*) as double) as cancelled_percent from flights group by all""",
+    "delay_percent_by_year": f"""
+select year, count(*) as flights, count(*) filter ({_DELAYED}) as delayed_flights,
+ cast(count(*) filter ({_DELAYED}) as double) * cast(100 as double) / cast(count(*) as double) as delay_percent
+from flights where dep_delay is not null group by year""",
+}
+
+
+#: The streams' results, as the batch that they amount to: days that end seven days or more before the last one seen.
+STREAM_SQL = {
+    "streamed_daily_delays": _LEGS + f"""
+select cast(day as string) as day, cast(isodow(day) as integer) as day_of_week, count(*) as flights, count(*) filter ({_DELAYED}) as delayed_flights,
+ count(*) filter (cancelled = 1) as cancelled_flights, cast(sum(case when {_DELAYED} then dep_delay else 0 end) as bigint) as delay_minutes
+from legs where day + 1 <= (select max(day) from legs) - 7 group by day""",
 }

@@ -13,6 +13,8 @@ from __future__ import annotations
 from ontime_analytics import schema as S
 from ontime_analytics.plans.catalog import FIXTURE_PARAMS
 from ontime_analytics.plans.history import SQL as HISTORY_SQL
+from ontime_analytics.plans.history import STREAM_SQL
+from ontime_analytics.plans.stored import SAME_AS
 
 _INT = "CASE WHEN regexp_matches({c}, '^[+-]?[0-9]+$') THEN TRY_CAST({c} AS INTEGER) END"
 
@@ -279,6 +281,11 @@ select {n('Year')} as year, coalesce({_field('CancellationCode')}, '') as cancel
  cast(sum(coalesce({n('Cancelled')}, 0)) as bigint) as cancelled_flights,
  cast(sum({n('LateAircraftDelay')}) as bigint) as late_aircraft_minutes, count({_field('UniqueCarrier')}) as with_carrier
 from f group by 1, 2""",
+        "ingested_lake_totals": f"""
+select {n('Year')} as year, count(*) as flights, cast(sum({n('DepDelay')}) as bigint) as dep_delay_minutes, cast(sum({n('Distance')}) as bigint) as miles
+from f group by 1""",
+        "streamed_distinct_lines": f"""
+select {n('Year')} as year, count(*) as lines from (select distinct a from f) group by 1""",
         "bad_rows": f"""
 select count(*) as rows, count(*) filter (len(a) <> {len(S.RAW_COLUMNS)}) as wrong_field_count, {unparsable} from f""",
     }
@@ -287,5 +294,6 @@ select count(*) as rows, count(*) filter (len(a) <> {len(S.RAW_COLUMNS)}) as wro
 def oracle_sql() -> dict[str, str]:
     """name -> complete DuckDB statement over the registered driver views."""
     return {**{name: _PREFIX + body for name, body in _bodies().items()},
-            **{name: _PREFIX + body for name, body in HISTORY_SQL.items()},
+            **{name: _PREFIX + body for name, body in (HISTORY_SQL | STREAM_SQL).items()},
+            **{name: _PREFIX + _bodies()[same] for name, same in SAME_AS.items()},
             **{name: _LINES + body for name, body in _line_bodies().items()}}

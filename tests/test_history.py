@@ -91,6 +91,28 @@ def test_asof_as_plain(spark, width, strict):
         assert Counter(map(tuple, got.collect())) == want
 
 
+@pytest.mark.parametrize("width", WIDTHS)
+def test_previous_row_as_plain(spark, width):
+    rows = {(k, t): v for k, t, v in rows_of_keys(300, 11)}
+    df = spark.createDataFrame([(k, t, v, "x") for (k, t), v in rows.items()], "k string, t long, v long, more string")
+    got = asof.with_previous(df, ["k"], "t", ["v"], slice_width=width)
+    assert got.columns == ["k", "t", "v", "more", "prev_time", "prev_v"]
+    want = Counter()
+    for (k, t), v in rows.items():
+        before = max((u for q, u in rows if q == k and u is not None and u < t), default=None) if None not in (k, t) else None
+        want[k, t, v, "x", before, None if before is None else rows[k, before]] += 1
+    assert Counter(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("name, scans", [("previous_departure_impact", 1), ("previous_departures", 2), ("carrier_year_tails", 1), ("carrier_running_delay", 1),
+                                         ("airport_delay_streaks", 1), ("route_changes", 1), ("airport_rank_by_month", 1), ("holiday_window_delays", 1)])
+def test_flights_are_read_once_or_twice(spark, name, scans):
+    """What a plan uses twice is one exchange that is reused."""
+    p = final_plan(E.queries()[name](spark, SF01)).split("== Initial Plan ==")[0]
+    reused = set(re.findall(r"ReusedExchange \[[^\n]*", p))
+    assert p.count("lineitem.parquet") == scans, (name, len(reused), p.count("lineitem.parquet"))
+
+
 def test_asof_of_two_keys_and_values(spark):
     left = spark.createDataFrame([(1, "a", 10), (1, "b", 10), (2, "a", 3)], "x int, y string, t int")
     right = spark.createDataFrame([(1, "a", 8, "p", 1), (1, "a", 8, "p", 2), (1, "a", 9, None, 5), (1, "b", 10, "q", 1), (2, "a", 1, "r", None)], "x int, y string, t int, s string, n int")
