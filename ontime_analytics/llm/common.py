@@ -47,6 +47,35 @@ def drop(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: A key with more than one in so many of all rows is hot; there are fewer such keys than this.  Longer keys are not broadcast.
+HOT_SHARES, HOT_KEY_BYTES = 512, 1 << 16
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: str, total: int, salt: Column) -> DataFrame:
+    """``rows`` left-joined with ``groups``, which has one row per ``key`` and how many rows that key has in ``size``.
+
+    The fewer than ``HOT_SHARES`` groups with more than that share of the
+    ``total`` rows are broadcast (at most 32 MB of keys); their rows, and rows
+    with a null key, are then dealt out by ``salt``, and all others meet their
+    group in a shuffle.  So no key, however hot, is one task's work."""
+    rest = [c for c in groups.columns if c not in key]
+    long_key = sum((F.octet_length(F.col(k).cast("string")) for k in key), F.lit(0)) > HOT_KEY_BYTES
+    is_hot = (F.col(size) * HOT_SHARES > total) & ~long_key
+    same = no_key = None
+    for k in key:
+        same = (F.col(k) == F.col(f"_hot_{k}")) if same is None else same & (F.col(k) == F.col(f"_hot_{k}"))
+        no_key = F.col(k).isNull() if no_key is None else no_key | F.col(k).isNull()
+    few = F.broadcast(groups.filter(is_hot).select(*[F.col(k).alias(f"_hot_{k}") for k in key], F.struct(*rest).alias("_hot")))
+    met = rows.join(few, same, "left").drop(*[f"_hot_{k}" for k in key]) \
+        .withColumn("_salt", F.when(F.col("_hot").isNull() & ~no_key, F.lit(0).cast("long")).otherwise(F.pmod(salt, F.lit(1 << 20)) + 1))
+    other = groups.filter(~is_hot).select(
+        *[F.col(k).alias(f"_cold_{k}") for k in key], F.lit(0).cast("long").alias("_cold_salt"), F.struct(*rest).alias("_cold"))
+    same = F.col("_salt") == F.col("_cold_salt")
+    for k in key:
+        same = same & (F.col(k) == F.col(f"_cold_{k}"))
+    return met.join(other, same, "left").select(*rows.columns, *[F.coalesce(F.col("_hot")[c], F.col("_cold")[c]).alias(c) for c in rest])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

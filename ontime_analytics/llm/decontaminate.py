@@ -33,6 +33,7 @@ from ontime_analytics.llm.common import drop, slices, store, tidy
 K1, B = 1.2, 0.75
 ITEM_BLOCK = 4           # items that share a block maximum
 GROUP_ITEMS, GROUP_BYTES = 512, 1 << 20  # of the items indexed and broadcast at once
+MAX_BYTES = 256 << 20    # of all items: what passes through the driver and is broadcast in all is bounded by it
 LEAST_WINDOW = 64
 PART = 1 << 20             # characters of text screened at once
 SHINGLE = 3
@@ -234,13 +235,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], threshold
     ``leaks`` gives way; empty tables give no rows, or no leaks.  Items go in groups of at most about
     512 and 1 MB, each with an index that is broadcast; a worker queries a run of
     documents against one after the other, so a larger benchmark takes more time
-    and no more memory.
+    and no more memory.  Items of more than ``MAX_BYTES`` in all are refused:
+    query such a benchmark part by part.
     """
     spark = docs.sparkSession
     items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), F.coalesce(benchmark[item_text].cast("string"), F.lit("")).alias("text")) \
         .withColumn("row", F.monotonically_increasing_id())
     terms = items.mapInArrow(tidy(_item_terms), "row long, term binary, n long")
     n_items, n_bytes = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if n_bytes > MAX_BYTES:
+        raise ValueError(f"the items have {n_bytes} bytes, more than {MAX_BYTES}; query them part by part")
     n_words = terms.agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-n_items // GROUP_ITEMS), -(-n_bytes // GROUP_BYTES))
     df, path = store(terms.groupBy("term").agg(F.count("*").alias("df")), "item-terms")

@@ -2,10 +2,10 @@
 
 A text is cut where a hash of the last eight bytes says so; its recipe is the
 ordered list of its chunks' identifiers.  An identifier is a chunk's 128-bit
-digest once all chunks of that digest have been compared byte for byte: each
-task sends a chunk's bytes once, however many documents hold it.  Documents
-are equal when their identifier lists are; only those short lists are grouped
-and joined, never the texts.
+digest once all chunks of that digest have been compared byte for byte: a run
+of some 4 MB of text sends a chunk's bytes once, however many of its documents
+hold it.  Documents are equal when their identifier lists are; only those short
+lists are grouped and joined, never the texts.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import drop, slices, store, tidy, utf8
+from ontime_analytics.llm.common import drop, join_groups, slices, store, tidy, utf8
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 256, 8192, 10
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -116,7 +116,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     key = ["recipe", F.coalesce("apart", F.lit("")).alias("apart")]
     groups, _ = store(rows.groupBy(*key).agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
                       .filter("group_size > 1"), "groups")
-    met = rows.withColumn("apart", F.coalesce("apart", F.lit(""))).join(groups, ["recipe", "apart"], "left")
+    met = join_groups(rows.withColumn("apart", F.coalesce("apart", F.lit(""))), groups, ["recipe", "apart"], "group_size", recipes.count(), F.xxhash64("row"))
     return met.select(
         "row", "doc_id", F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime_analytics.llm.common import drop, slices, store, tidy, utf8
+from ontime_analytics.llm.common import drop, join_groups, slices, store, tidy, utf8
 from ontime_analytics.llm.components import components
 
 WORDS, SIZE, BANDS = 5, 128, 32  # a link of similarity 0.75 shares a band but for one in 190,000
@@ -198,18 +198,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows, _ = store(base.select("doc_id", "text_hash", "text").mapInArrow(
         tidy(_sketch_rows), "doc_id long, text_hash long, n_shingles long, set_hash binary, bands array<long>"), "sketches")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n_shingles", "bands")).alias("x")
-    classes, _ = table(rows.filter("set_hash is not null").groupBy("set_hash").agg(least).select(
-        "set_hash", F.col("x.doc_id").alias("text_id"), F.col("x.text_hash").alias("text_hash"), F.col("x.n_shingles").alias("n"),
+    classes, _ = table(rows.filter("set_hash is not null").groupBy("set_hash").agg(least, F.count("*").alias("copies")).select(
+        "set_hash", "copies", F.col("x.doc_id").alias("text_id"), F.col("x.text_hash").alias("text_hash"), F.col("x.n_shingles").alias("n"),
         F.col("x.bands").alias("bands")).withColumn("cls", F.monotonically_increasing_id()), "classes")
 
     places = classes.select("cls", F.explode("bands").alias("key"))
     sizes, _ = table(places.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
-    members, _ = table(places.join(sizes, "key"), "members")
+    n_places = BANDS * classes.count()
+    members, _ = table(join_groups(places, sizes, ["key"], "size", n_places, F.xxhash64("cls")).filter("size is not null"), "members")
     # a bucket's pivot: the class that meets most others in its buckets, as the least altered of a group does
     met, _ = table(members.groupBy("cls").agg(F.sum("size").alias("met")), "met")
-    pivots, _ = table(members.join(met, "cls").groupBy("key").agg(F.max(F.struct("met", "cls")).alias("x"))
-                      .select("key", F.col("x.cls").alias("pivot")), "pivots")
-    members, _ = table(members.join(pivots, "key"), "members")
+    pivots, _ = table(members.join(met, "cls").groupBy("key").agg(F.max(F.struct("met", "cls")).alias("x"), F.max("size").alias("of"))
+                      .select("key", F.col("x.cls").alias("pivot"), "of"), "pivots")
+    members, _ = table(join_groups(members, pivots, ["key"], "of", n_places, F.xxhash64("cls")).drop("of"), "members")
     wanted = members.select("cls").distinct().join(classes.select("cls", F.col("text_id").alias("doc_id"), "text_hash"), "cls")
     texts = base.join(wanted, (base["doc_id"].eqNullSafe(wanted["doc_id"])) & (base["text_hash"] == wanted["text_hash"]))
     texts, _ = table(texts.select("cls", "text").groupBy("cls").agg(F.first("text").alias("text")), "texts")
@@ -227,12 +228,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not found.isEmpty():
         parts, _ = table(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found), made), "components")
 
-    of_class = classes.select("set_hash", "cls", "text_id").join(parts, F.col("cls") == F.col("node"), "left") \
-        .select("set_hash", "text_id", F.coalesce("component", "cls").alias("component"))
+    of_class = classes.select("set_hash", "copies", "cls", "text_id").join(parts, F.col("cls") == F.col("node"), "left") \
+        .select("set_hash", "copies", "text_id", F.coalesce("component", "cls").alias("component"))
     least = of_class.groupBy("component").agg(F.min("text_id").alias("component_id"))
-    named, _ = store(of_class.join(least, "component").select("set_hash", "component_id", F.col("component").alias("group")), "named")
+    named, _ = store(of_class.join(least, "component").select("set_hash", "copies", "component_id", F.col("component").alias("group")), "named")
     for path in made:
         drop(docs.sparkSession, path)
-    out = rows.select("doc_id", "n_shingles", "set_hash", "text_hash").join(named, "set_hash", "left")
+    out = join_groups(rows.select("doc_id", "n_shingles", "set_hash", "text_hash"), named, ["set_hash"], "copies", rows.count(), F.xxhash64("doc_id", "text_hash"))
     mine = F.when(F.col("set_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", mine.alias("component_id"), F.col("doc_id").eqNullSafe(mine).alias("kept"), "group", "text_hash")

@@ -10,8 +10,9 @@ import numpy as np
 import pytest
 from brute import near_groups, remove_repeats as brute_repeats
 from odd_rows import ODD_ROWS
+from pyspark.sql import functions as F
 
-from ontime_analytics.llm import bwt, minhash, repeats
+from ontime_analytics.llm import bwt, common, minhash, repeats
 from ontime_analytics.llm.components import components
 from ontime_analytics.llm.exact_dedup import chunks, exact_duplicates
 
@@ -131,6 +132,21 @@ def test_collection_suffixes():
         assert list(lcp) == [0] + [common(a, b) for a, b in zip(rows, rows[1:])]
 
 
+@pytest.mark.parametrize("shares", [common.HOT_SHARES, 4, 10 ** 9])
+def test_groups_join_whatever_is_hot(spark, monkeypatch, shares):
+    """A key with a third of all rows, null keys, keys without a group, and a key too long to broadcast."""
+    monkeypatch.setattr(common, "HOT_SHARES", shares)
+    monkeypatch.setattr(common, "HOT_KEY_BYTES", 20)
+    keys = ["hot"] * 400 + [None] * 100 + ["long" * 10] * 300 + [f"k{i % 50}" for i in range(400)] + ["lost"] * 5
+    rows = spark.createDataFrame([(i, k, "x" if k != "k7" else None) for i, k in enumerate(keys)], "row long, k string, j string")
+    groups = rows.filter("k is not null and k != 'lost'").groupBy("k").agg(F.count("*").alias("n"), F.min("row").alias("least")).withColumn("j", F.lit("x"))
+    got = common.join_groups(rows, groups, ["k", "j"], "n", rows.count(), F.xxhash64("row"))
+    want = {k: (keys.count(k), keys.index(k)) for k in set(keys)}
+    assert got.columns == ["row", "k", "j", "n", "least"]
+    assert sorted((r["row"], r["n"], r["least"]) for r in got.collect()) == [
+        (i, *((None, None) if k in (None, "lost", "k7") else want[k])) for i, k in enumerate(keys)]
+
+
 def repeat_rows():
     r = random.Random(4)
     passage = "".join(r.choice("abcdefgh ") for _ in range(300))

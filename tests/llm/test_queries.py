@@ -65,6 +65,13 @@ def test_decontamination_query(spark):
     assert all(r["score"] >= 0.6 and r["question"] >= 0.5 and r["answer"] >= 0.5 for r in got.collect())
 
 
+def test_benchmarks_beyond_the_bound_are_refused(write, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_BYTES", 10)
+    docs = write([(1, "text")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="part by part"):
+        decontaminate.find_leaks(docs, write([(1, "a question. an answer.")], "item_id long, text string"), keep=["doc_id"])
+
+
 def test_bpe_query(spark, texts, tokenizer_path):
     tokenizer = Tokenizer.from_file(tokenizer_path)
     got = QUERIES["op8_bpe_codec"](spark, SF)
