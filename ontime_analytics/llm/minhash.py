@@ -158,7 +158,9 @@ def _across(texts: DataFrame, percent: int, table) -> DataFrame:
     With shingles ordered from rare to frequent, two sets that overlap enough
     share one of the first n - required + 1 of each, and from a shared one at
     the places i and j on they can share at most min(n - i, m - j) + 1.  So a
-    shingle common to a large group only pairs classes that have little else."""
+    shingle common to a large group only pairs classes that have little else.
+    A shingle of one component pairs nothing; else the classes outside its
+    largest component meet all, so a large component is never paired with itself."""
     rows, _ = table(texts.mapInArrow(tidy(_shingle_rows), "cls long, component long, shingles array<long>")
                     .select("cls", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "shingles")
     counts, _ = table(rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"), "counts")
@@ -166,12 +168,16 @@ def _across(texts: DataFrame, percent: int, table) -> DataFrame:
         "place", F.row_number().over(Window.partitionBy("cls").orderBy(F.coalesce("df", F.lit(1)), "shingle")))
     first, _ = table(placed.filter(F.col("df").isNotNull() & (F.col("place") <= F.expr(f"n - ceil({percent} * n / 100) + 1")))
                      .select("shingle", "cls", "component", "n", "place"), "prefixes")
-    x, y = first.alias("x"), first.alias("y")
+    per_component = first.groupBy("shingle", "component").agg(F.count("*").alias("classes"))
+    largest = per_component.groupBy("shingle").agg(F.max(F.struct("classes", "component")).alias("x"), F.count("*").alias("components"), F.sum("classes").alias("size")) \
+        .filter("components > 1").select("shingle", F.col("x.component").alias("largest"), "size")
+    dealt, _ = table(join_groups(first, largest, ["shingle"], "size", first.count(), F.xxhash64("cls")).filter("largest is not null"), "dealt")
+    x, y = dealt.filter("component != largest").alias("x"), dealt.alias("y")
     need = F.expr(f"ceil({percent} * (x.n + y.n) / {100 + percent})")
-    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & F.expr("x.cls < y.cls and x.component != y.component")
+    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & F.expr("x.component != y.component and (y.component = y.largest or x.cls < y.cls)")
                   & F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
                   & (F.expr("least(x.n - x.place, y.n - y.place) + 1") >= need)) \
-        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+        .select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:

@@ -216,6 +216,9 @@ def write_warc(pages: DataFrame, folder: str, options: WarcOptions = WarcOptions
     """
     spark = pages.sparkSession
     o = options
+    fs, top = _folder(folder)
+    if fs.get_file_info(f"{top}/manifest").type != pa.fs.FileType.NotFound:
+        raise ValueError(f"{folder} holds an archive already")
     text = F.coalesce(pages[payload_col].cast("string"), F.lit(""))
     base = pages.select(pages[id_col].cast("long").alias("page_id"), pages[uri_col].cast("string").alias("uri"), text.alias("payload"),
                         F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("size"))

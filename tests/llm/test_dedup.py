@@ -147,6 +147,32 @@ def test_groups_join_whatever_is_hot(spark, monkeypatch, shares):
         (i, *((None, None) if k in (None, "lost", "k7") else want[k])) for i, k in enumerate(keys)]
 
 
+def test_pairs_across_components_miss_no_link(spark):
+    """Round two: every similar pair of different components, whatever the components, one of which is large."""
+    from brute import shingles
+
+    from ontime_analytics.llm.common import store
+
+    r = random.Random(15)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
+    texts = []
+    for _ in range(6):
+        base = [word() for _ in range(60)]
+        for _ in range(12):
+            own = list(base)
+            for _ in range(r.randrange(4)):
+                own[r.randrange(60)] = word()
+            texts.append(" ".join(own))
+    rows = [(i, r.choice([0, 0, 0, 0, 1, 2, i]), t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "cls long, component long, text string")
+    got = {tuple(x) for x in minhash._across(df, 75, lambda d, n: store(d, n)).collect()}
+    sets = [shingles(t) for t in texts]
+    linked = {(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows))
+              if rows[i][1] != rows[j][1] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert linked and linked <= got
+    assert all(a < b and rows[a][1] != rows[b][1] for a, b in got)
+
+
 def repeat_rows():
     r = random.Random(4)
     passage = "".join(r.choice("abcdefgh ") for _ in range(300))

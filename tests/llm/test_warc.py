@@ -105,6 +105,13 @@ def test_heavy_range_is_dealt_out(write, spark, tmp_path):
     assert found(read_warc(spark, str(tmp_path / "w"))) == expected(rows)
 
 
+def test_an_archive_is_not_written_over(write, spark, tmp_path):
+    write_warc(table(write, [(1, "u", "x")]), str(tmp_path / "w"))
+    with pytest.raises(ValueError, match="already"):
+        write_warc(table(write, [(2, "u", "x")]), str(tmp_path / "w"))
+    assert read_warc(spark, str(tmp_path / "w")).first()["page_id"] == 1
+
+
 def test_empty_table(write, spark, tmp_path):
     assert write_warc(table(write, []), str(tmp_path / "w")).count() == 0
     assert read_warc(spark, str(tmp_path / "w")).count() == 0
