@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime_analytics.llm.catalog import encoded_digests, table
-from ontime_analytics.llm.common import store, whole
+from ontime_analytics.llm.common import drop, store, whole
 from ontime_analytics.llm.decontaminate import find_leaks
 from ontime_analytics.llm.exact_dedup import exact_duplicates
 from ontime_analytics.llm.minhash import near_duplicates
@@ -72,8 +72,13 @@ STAGES = [("toxicity", toxicity), ("exact dedup", exact_dedup), ("MinHash near-d
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each one's rows are written to the shared folder and read again.
+
+    A stage's table is deleted when the next one's is there; the last one stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, path = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:
+            drop(spark, before)
+        before = path
     return docs
