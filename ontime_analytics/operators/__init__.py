@@ -16,10 +16,11 @@ from ontime_analytics.operators import (  # noqa: F401
     ranking,
     ranks,
     reasons,
+    routes,
     sketches,
     streaks,
 )
 from ontime_analytics.operators.aircraft import aggregate_by_model, aircraft_dimension
 
 __all__ = ["aggregate_by_model", "aircraft_dimension", "aircraft", "airports", "asof", "cancellations", "coverage", "cubes",
-           "delays", "dst", "impact", "intervals", "models", "quantiles", "ranking", "ranks", "reasons", "sketches", "streaks"]
+           "delays", "dst", "impact", "intervals", "models", "quantiles", "ranking", "ranks", "reasons", "routes", "sketches", "streaks"]

@@ -29,6 +29,7 @@ from ontime_analytics.operators import (
 )
 from ontime_analytics.operators.aircraft import ModelJoin, aircraft_dimension, aircraft_rows_bound
 from ontime_analytics.plans.history import HISTORY
+from ontime_analytics.plans.history import PARAMS as HISTORY_PARAMS
 from ontime_analytics.sources.fixture import fixture_flight_lines, fixture_flights, fixture_registry
 from ontime_analytics.sources.flights import bad_line_counts, parse_flight_lines, type_flights
 
@@ -116,6 +117,7 @@ FIXTURE_PARAMS: dict[str, dict] = {
     "model_count_bottom": {"k": 10},
     "model_average_top": {"k": 10},
     "model_percent_top": {"k": 10},
+    **HISTORY_PARAMS,
 }
 
 

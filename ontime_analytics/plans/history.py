@@ -8,7 +8,7 @@ are like those of :mod:`.catalog`, which adds them to what ``build`` knows.
 
 from __future__ import annotations
 
-from ontime_analytics.operators import asof, cancellations, coverage, cubes, delays, intervals, quantiles, ranks, sketches, streaks
+from ontime_analytics.operators import asof, cancellations, coverage, cubes, delays, intervals, quantiles, ranks, routes, sketches, streaks
 
 #: name -> (function, needs the aircraft dimension, result stays small as the input grows)
 HISTORY = {
@@ -31,6 +31,16 @@ HISTORY = {
     "route_changes": (coverage.route_changes, False, True),
     "cancellations_by_day": (cancellations.cancellations_by_day, False, True),
     "delay_percent_by_year": (delays.delay_percent_by_year, False, True),
+    "destination_delays": (routes.destination_delays, False, True),
+    "route_delays": (routes.route_delays, False, False),
+    "airport_traffic": (routes.airport_traffic, False, True),
+    "merger_impact": (routes.merger_impact, False, True),
+}
+
+#: Parameters that select something on the fixture, whose carriers are C0 to C16.
+PARAMS = {
+    "route_delays": {"min_flights": 8},
+    "merger_impact": {"mergers": (("C3", "C5", 1994, 6, 1), ("C16", "C0", 1996, 2, 29), ("C1", "XX", 1992, 1, 20)), "days": 90},
 }
 
 _DELAYED = "coalesce(dep_delay > 15, false)"
@@ -126,6 +136,27 @@ from j where m in (select at_month from p) and m - 1 in (select at_month from p)
     "cancellations_by_day": """
 select year, month, day_of_month, count(*) as flights, count(*) filter (cancelled = 1) as cancelled_flights,
  cast(count(*) filter (cancelled = 1) as double) * cast(100 as double) / cast(count(*) as double) as cancelled_percent from flights group by all""",
+    "destination_delays": """
+select dest, count(*) as arrivals, count(*) filter (arr_delay > 15) as late_arrivals,
+ cast(count(*) filter (arr_delay > 15) as double) * cast(100 as double) / cast(count(*) as double) as late_percent,
+ cast(sum(arr_delay) filter (arr_delay > 15) // nullif(count(*) filter (arr_delay > 15), 0) as double) as avg_delay_trunc,
+ cast(sum(arr_delay) filter (arr_delay > 15) as double) / cast(nullif(count(*) filter (arr_delay > 15), 0) as double) as avg_delay
+from flights where arr_delay is not null group by dest""",
+    "route_delays": f"""
+select origin, dest, count(*) as flights, count(*) filter ({_DELAYED}) as delayed_flights,
+ cast(count(*) filter ({_DELAYED}) as double) * cast(100 as double) / cast(count(*) as double) as delay_percent
+from flights where dep_delay is not null group by origin, dest having count(*) >= {PARAMS['route_delays']['min_flights']}""",
+    "airport_traffic": f""", o as (select origin as airport, count(*) as d, count(*) filter ({_DELAYED}) as dd, count(*) filter (cancelled = 1) as c from flights group by origin),
+t as (select dest as airport, count(*) as a, count(*) filter (arr_delay > 15) as ad from flights group by dest)
+select airport, coalesce(d, 0) as departures, coalesce(a, 0) as arrivals, coalesce(dd, 0) as delayed_departures, coalesce(ad, 0) as late_arrivals,
+ coalesce(c, 0) as cancelled_departures from o full outer join t using (airport)""",
+    "merger_impact": f""", e(absorbed, into_, y, m, d) as (values {', '.join(map(str, PARAMS['merger_impact']['mergers']))}),
+x as (select concat(absorbed, ' into ', into_) as event, make_date(y, m, d) as day, unnest([absorbed, into_]) as carrier from e),
+f as (select carrier, {_DAY} as at_day, dep_delay, cancelled from flights)
+select event, case when at_day < day then 'before' else 'after' end as phase, count(*) as flights, count(*) filter ({_DELAYED}) as delayed_flights,
+ count(*) filter (cancelled = 1) as cancelled_flights,
+ cast(count(*) filter ({_DELAYED}) as double) * cast(100 as double) / cast(count(*) as double) as delay_percent
+from f join x using (carrier) where at_day between day - {PARAMS['merger_impact']['days']} and day + {PARAMS['merger_impact']['days'] - 1} group by 1, 2""",
     "delay_percent_by_year": f"""
 select year, count(*) as flights, count(*) filter ({_DELAYED}) as delayed_flights,
  cast(count(*) filter ({_DELAYED}) as double) * cast(100 as double) / cast(count(*) as double) as delay_percent

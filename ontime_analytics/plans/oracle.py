@@ -35,6 +35,7 @@ select cast(year(l_shipdate) as string) as Year, cast(month(l_shipdate) as strin
       when l_partkey % 97 = 0 then ' 20'
       else cast(cast(l_quantity as int) * 3 - 90 + cast(l_partkey % 31 as int) as string) end as DepDelay,
  concat('A', cast(l_partkey % 120 as string)) as Origin,
+ concat('A', cast((l_partkey * 7 + l_suppkey) % 120 as string)) as Dest,
  case when l_linenumber = 5 and l_linestatus = 'F' then 'NA'
       else cast(cast(floor(l_extendedprice / 18) as int) as string) end as Distance,
  case when l_returnflag = 'R' and l_linenumber = 1 then '1' when l_linenumber = 2 then 'x' else '0' end as Cancelled,
@@ -59,7 +60,7 @@ select {_int('Year')} as year, {_int('Month')} as month,
  coalesce(CancellationCode, '') as cancel_code_raw, upper(CancellationCode) as cancel_code,
  {_int('CarrierDelay')} as carrier_delay, {_int('WeatherDelay')} as weather_delay,
  {_int('NASDelay')} as nas_delay, {_int('SecurityDelay')} as security_delay,
- {_int('LateAircraftDelay')} as late_aircraft_delay
+ {_int('LateAircraftDelay')} as late_aircraft_delay, Dest as dest
 from flights_raw
 """
 
@@ -254,7 +255,7 @@ def _bodies() -> dict[str, str]:
 
 
 # FIXTURES.md B4, then DuckDB's own split; a field that a short line lacks is NULL
-_GIVEN = ("Year", "Month", "DayofMonth", "DayOfWeek", "UniqueCarrier", "TailNum", "ArrDelay", "DepDelay", "Origin", "Distance",
+_GIVEN = ("Year", "Month", "DayofMonth", "DayOfWeek", "UniqueCarrier", "TailNum", "ArrDelay", "DepDelay", "Origin", "Dest", "Distance",
           "Cancelled", "CancellationCode", "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay")
 _FIELDS = [c if c in _GIVEN else "''" for c in S.RAW_COLUMNS]
 _LINES = f"""

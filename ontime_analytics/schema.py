@@ -89,6 +89,7 @@ INT_FIELDS = (
 STRING_FIELDS = (
     ("UniqueCarrier", "carrier"),
     ("Origin", "origin"),
+    ("Dest", "dest"),
 )
 
 FLIGHTS_SCHEMA = StructType(
@@ -101,7 +102,8 @@ FLIGHTS_SCHEMA = StructType(
      StructField("cancel_code", StringType()),
      StructField("carrier_delay", IntegerType()), StructField("weather_delay", IntegerType()),
      StructField("nas_delay", IntegerType()), StructField("security_delay", IntegerType()),
-     StructField("late_aircraft_delay", IntegerType())]
+     StructField("late_aircraft_delay", IntegerType()),
+     StructField("dest", StringType())]
 )
 FLIGHT_COLUMNS = tuple(f.name for f in FLIGHTS_SCHEMA.fields)
 

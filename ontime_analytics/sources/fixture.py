@@ -33,7 +33,7 @@ def part_key(key: Column) -> Column:
 
 
 def flights_raw_from_lineitem(lineitem: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """B1: one raw flight row per ``lineitem`` row (17 used raw columns), and the columns in ``keep``."""
+    """B1: one raw flight row per ``lineitem`` row (18 used raw columns), and the columns in ``keep``."""
     c = F.col
     ship = c("l_shipdate")
     qty = c("l_quantity").cast("int")
@@ -57,6 +57,7 @@ def flights_raw_from_lineitem(lineitem: DataFrame, keep: tuple[str, ...] = ()) -
         .when(part % 97 == 0, F.lit(" 20"))
         .otherwise(_s(qty * 3 - 90 + (part % 31).cast("int"))).alias("DepDelay"),
         F.concat(F.lit("A"), _s(part % 120)).alias("Origin"),
+        F.concat(F.lit("A"), _s((part * 7 + supp) % 120)).alias("Dest"),
         F.when((line == 5) & (status == "F"), F.lit("NA"))
         .otherwise(_s(F.floor(c("l_extendedprice") / 18).cast("int"))).alias("Distance"),
         F.when(cancelled_row, F.lit("1")).when(line == 2, F.lit("x"))

@@ -51,7 +51,7 @@ def read_flights_raw(spark: SparkSession, path: str | list[str], header: bool =
 
 
 def type_flights(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Project and type the 17 used raw columns (plus the upper-cased
+    """Project and type the 18 used raw columns (plus the upper-cased
     cancellation code), and the columns named in ``keep`` as they are.  Works on
     any DataFrame that has the raw column names."""
     ints = {typed: strict_int(name).alias(typed) for name, typed in S.INT_FIELDS}

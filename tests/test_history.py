@@ -15,7 +15,7 @@ from test_plans import final_plan, plan
 
 import __spark_entry__ as E
 from ontime_analytics import schema as S
-from ontime_analytics.operators import asof, coverage, cubes, intervals, quantiles, ranks, sketches, streaks
+from ontime_analytics.operators import asof, coverage, cubes, intervals, quantiles, ranks, routes, sketches, streaks
 from ontime_analytics.operators.intervals import IntervalJoin
 from ontime_analytics.plans.catalog import ALL_QUERIES, LINE_QUERIES, QUERIES, build
 from ontime_analytics.plans.history import HISTORY, SQL
@@ -335,3 +335,46 @@ def test_history_job(spark, tmp_path):
     assert sorted(names) == sorted(JOBS["history"]) == sorted(p.name for p in (tmp_path / "out").iterdir())
     got = spark.read.json(str(tmp_path / "out" / "airport_delay_streaks" / "json"))
     assert got.count() == 0 or got.agg(F.min("days")).first()[0] >= 3
+
+
+# ---- routes and events
+
+def test_traffic_of_airports_with_one_end_only(spark):
+    df = spark.createDataFrame([("A", "B", 20, 30, 0), ("A", None, 5, None, 1), (None, "C", None, 16, 0)], "origin string, dest string, dep_delay int, arr_delay int, cancelled int")
+    got = {r["airport"]: tuple(r)[1:] for r in routes.airport_traffic(df).collect()}
+    assert got == {"A": (2, 0, 1, 0, 1), "B": (0, 1, 0, 1, 0), "C": (0, 1, 0, 1, 0), None: (1, 1, 0, 0, 0)}
+    p = plan(routes.airport_traffic(df))
+    assert "Join" not in p and p.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("how", [SMALL, LARGE])
+def test_before_and_after_as_plain(spark, how):
+    import datetime
+
+    r = random.Random(12)
+    rows = [("hot" if i % 3 == 0 else r.choice(["x", "y", None]), "A", 1999, r.randrange(1, 13), r.randrange(1, 29), 1, r.choice([None, 5, 40]), r.choice([0, 1])) for i in range(400)]
+    number = lambda y, m, d: (datetime.date(y, m, d) - datetime.date(1970, 1, 1)).days
+    events = [("one", "hot", number(1999, 6, 1)), ("one", "x", number(1999, 6, 1)), ("two", "hot", number(1999, 6, 20)), ("none", "z", number(1999, 6, 1)), ("odd", None, number(1999, 6, 1)), ("null", "x", None)]
+    got = routes.before_and_after(flights_of(spark, rows), spark.createDataFrame(events, "event string, carrier string, day int"), 30, how)
+    want = defaultdict(lambda: [0, 0, 0])
+    for c, _, y, m, d, _, delay, gone in rows:
+        for e, carrier, day in events:
+            if c is not None and c == carrier and day is not None and -30 <= number(y, m, d) - day < 30:
+                phase = want[e, "before" if number(y, m, d) < day else "after"]
+                phase[0] += 1
+                phase[1] += delay == 40
+                phase[2] += gone
+    assert {(r["event"], r["phase"]): [r["flights"], r["delayed_flights"], r["cancelled_flights"]] for r in got.collect()} == dict(want)
+
+
+def test_destinations_reach_the_lake(spark, tmp_path):
+    """Typed, written, read back; a lake without the column gives NULL."""
+    from ontime_analytics.sources.fixture import fixture_flights
+    from ontime_analytics.sources.flights import read_flights
+    from ontime_analytics.sources.ingest import write_flights_lake
+
+    fl = fixture_flights(spark, "/root/testdata/sf0.001")
+    write_flights_lake(fl, str(tmp_path / "new"))
+    write_flights_lake(fl.drop("dest"), str(tmp_path / "old"))
+    assert Counter(map(tuple, routes.airport_traffic(read_flights(spark, str(tmp_path / "new"))).collect())) == Counter(map(tuple, routes.airport_traffic(fl).collect()))
+    assert [r["dest"] for r in read_flights(spark, str(tmp_path / "old")).select("dest").distinct().collect()] == [None]
