@@ -53,7 +53,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     Counts are those of the tokenizers library for the whole text, without
     added tokens, truncation or padding; special strings inside a text count as
     that library takes them.  Null text counts as empty (0 tokens).  Null and
-    repeated ids keep their rows; other columns are ignored.  ``path`` must be
+    repeated ids keep their rows; other columns are ignored; an empty table
+    gives no rows.  ``path`` must be
     readable on every executor.
     """
     spark = docs.sparkSession

@@ -61,7 +61,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     rule's.  The longest rule string wins; of two as long, the one with the
     longer host.  Without a fitting rule, ``rule`` is null and the verdict is
     ``default``.  A null URL or one without ``://`` has empty host and path;
-    null and repeated ids keep their rows; other columns are ignored.
+    null and repeated ids keep their rows; other columns are ignored; an empty
+    table gives no rows.
 
     The rule table is measured first: up to ``broadcast_bytes`` it is broadcast,
     beyond that it is replicated ``salts`` times, so that an expression common
