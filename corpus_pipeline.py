@@ -3,7 +3,9 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that the one
 before kept; all but the last return the columns of ``documents``.  Rows are
 told apart by their id and a hash of their text, so ids may be null or repeat;
-rows that agree in both are copies of one another.
+rows that agree in both are copies of one another.  Null texts count as empty;
+an empty table goes through every stage and gives no rows; further columns pass
+through all stages but the last.
 """
 
 from __future__ import annotations
