@@ -88,27 +88,16 @@ def dst_windows(year: Column, month: Column, day: Column) -> Column:
     return (old & (year < RULE_CHANGE_YEAR)) | (new & (year >= RULE_CHANGE_YEAR))
 
 
-def is_dst_date(date: Column, first_year: int | None = S.DST_FIRST_YEAR, last_year: int | None = None) -> Column:
-    """:func:`is_dst_crossover` of a DATE: a Sunday in one of the weeks of :func:`dst_windows`.
-
-    The Sunday test stands first, so the rest is evaluated for one row in seven."""
-    old = [*range(401, 408), *range(1025, 1032)]
-    new = [*range(308, 315), *range(1101, 1108)]
-    after = 10_000  # set apart the weeks of the rule from 2007 on
-    week = F.when(F.year(date) >= RULE_CHANGE_YEAR, after).otherwise(0) + F.month(date) * 100 + F.dayofmonth(date)
-    hit = (F.weekday(date) == 6) & week.isin(*old, *[after + x for x in new]) & dst_year_range(F.year(date), first_year, last_year)
-    return F.coalesce(hit, F.lit(False))
-
-
 def filter_dst_days(flights: DataFrame, first_year: int | None = S.DST_FIRST_YEAR,
                     last_year: int | None = None) -> DataFrame:
     """Keep the flights on crossover days.
 
     Where this very plan parses the year from text, a filter on the three
-    numbers would be moved below the parsing and parse them at every mention:
-    there they are named once, as a date."""
+    numbers would be moved below the parsing and parse them at every mention.
+    There the columns go through a generator of one row, which filters do not
+    pass; callers select the columns they need before."""
     if S.PARSED_HERE in flights.schema["year"].metadata:
-        return flights.withColumn("_date", flight_day()).filter(is_dst_date(F.col("_date"), first_year, last_year)).drop("_date")
+        flights = flights.select(F.inline(F.array(F.struct(*flights.columns))))
     y, m, d = F.col("year"), F.col("month"), F.col("day_of_month")
     return (flights.filter(dst_year_range(y, first_year, last_year)).filter(dst_windows(y, m, d))
             .filter(is_dst_crossover(y, m, d, first_year, last_year)))

@@ -24,7 +24,8 @@ def dst_summary(flights: DataFrame, first_year: int | None = S.DST_FIRST_YEAR,
     """Per year, on crossover days: delayed flights, their minutes, and
     flights with a parsable delay."""
     delayed = has_delay()
-    return filter_dst_days(flights, first_year, last_year).groupBy("year").agg(
+    used = flights.select("year", "month", "day_of_month", "dep_delay")
+    return filter_dst_days(used, first_year, last_year).groupBy("year").agg(
         F.count_if(delayed).alias("delayed_flights"),
         F.coalesce(F.sum(F.when(delayed, F.col("dep_delay"))), F.lit(0)).cast("long")
         .alias("delay_minutes"),
