@@ -40,7 +40,7 @@ HISTORY = {
 #: Parameters that select something on the fixture, whose carriers are C0 to C16.
 PARAMS = {
     "route_delays": {"min_flights": 8},
-    "merger_impact": {"mergers": (("C3", "C5", 1994, 6, 1), ("C16", "C0", 1996, 2, 29), ("C1", "XX", 1992, 1, 20)), "days": 90},
+    "merger_impact": {"mergers": (("C3", "C5", 1997, 6, 1), ("C16", "C0", 1996, 2, 29), ("C1", "XX", 1995, 1, 20)), "days": 90},
 }
 
 _DELAYED = "coalesce(dep_delay > 15, false)"
