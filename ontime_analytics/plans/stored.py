@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ontime_analytics.plans.catalog import build
 from ontime_analytics.session import checkpoint_dir
 from ontime_analytics.sinks import write_csv, write_json
-from ontime_analytics.sources.fixture import fixture_flight_lines, fixture_flights
+from ontime_analytics.sources.fixture import dealt_evenly, fixture_flights, flight_lines_from_lineitem
 from ontime_analytics.sources.flights import read_flights
 from ontime_analytics.sources.ingest import ingest_flights
 
@@ -41,7 +41,8 @@ def _read_back(name: str, kind: str) -> Callable[[SparkSession, str], DataFrame]
 def ingested_lake_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines as files, loaded into a lake and loaded again (which replaces every row): totals per year."""
     raw, lake = _folder(spark, "raw-lines"), _folder(spark, "lake")
-    fixture_flight_lines(spark, sf_dir).write.text(raw, compression="bzip2")
+    lineitem = dealt_evenly(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))  # before the lines are built and compressed
+    flight_lines_from_lineitem(lineitem).write.text(raw, compression="bzip2")
     for _ in range(2):
         ingest_flights(spark, raw, lake, header=False)
     return read_flights(spark, lake).groupBy("year").agg(

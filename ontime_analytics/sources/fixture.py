@@ -32,6 +32,17 @@ def part_key(key: Column) -> Column:
     return F.conv(_s(key), 10, 36)
 
 
+def dealt_evenly(rows: DataFrame) -> DataFrame:
+    """The same rows, dealt in turn to a multiple of the cluster's cores.
+
+    A Parquet row group is read by one task, however large it is: what follows
+    the scan would run in as many tasks as the table has row groups.  Tasks of
+    one size also give files of one size, which readers pack evenly."""
+    cores = max(1, rows.sparkSession.sparkContext.defaultParallelism)
+    scans = cores if rows.isStreaming else rows.rdd.getNumPartitions()
+    return rows.repartition(cores * max(1, -(-scans // cores)))
+
+
 def flights_raw_from_lineitem(lineitem: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """B1: one raw flight row per ``lineitem`` row (18 used raw columns), and the columns in ``keep``."""
     c = F.col

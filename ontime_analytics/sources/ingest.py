@@ -39,7 +39,7 @@ STREAM_LOG = "_spark_metadata"
 def load_key(path: Column) -> Column:
     """A file's load: its name and a hash of its whole path, so that files of
     one name in two folders stay apart."""
-    return F.concat(F.regexp_extract(path, r"([^/]*)$", 1), F.lit("~"), F.lower(F.hex(F.xxhash64(path))))
+    return F.concat(F.substring_index(path, "/", -1), F.lit("~"), F.lower(F.hex(F.xxhash64(path))))
 
 
 def _paths(spark: SparkSession, *globs: str) -> set[str]:

@@ -114,6 +114,37 @@ def test_void_loads():
     assert loads.key_of("x~1@7") == "x~1" and loads.key_of("x~1") == "x~1"
 
 
+def one_row_group(spark, folder, n=4000):
+    """A ``lineitem`` table that one task has to read."""
+    rows = spark.range(n).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 200).alias("l_partkey"), (F.col("id") % 10).alias("l_suppkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        (F.col("id") % 50).cast("double").alias("l_quantity"), F.lit(1800.0).alias("l_extendedprice"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.timestamp_seconds(F.lit(800_000_000) + F.col("id") * 86_400 % 200_000_000).alias("l_shipdate"))
+    rows.coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_raw_lines_are_written_and_read_by_all_cores(spark, tmp_path, monkeypatch):
+    """Bzip2 is the query's cost: a table of one row group must not be compressed, nor loaded, by one task."""
+    from ontime_analytics.plans import stored
+
+    monkeypatch.setattr(stored, "_folder", lambda s, name: str(tmp_path / name))
+    sf, cores = one_row_group(spark, tmp_path), spark.sparkContext.defaultParallelism
+    got = stored.ingested_lake_totals(spark, sf).collect()
+    assert sum(r["flights"] for r in got) == 4000
+    sizes = [p.stat().st_size for p in (tmp_path / "raw-lines").glob("part-*.bz2")]
+    assert len(sizes) == cores and max(sizes) < 2 * min(sizes)
+    assert spark.read.text(str(tmp_path / "raw-lines")).rdd.getNumPartitions() == cores
+
+
+@pytest.mark.parametrize("path", ["file:/a/b c.csv", "file:/a/2008.csv.bz2", "s3a://x/=%5B1%5D~@.csv", "name", "/ends/", ""])
+def test_load_keys_stay_what_they_were(spark, path):
+    df = spark.createDataFrame([(path,)], "p string")
+    was = F.concat(F.regexp_extract("p", r"([^/]*)$", 1), F.lit("~"), F.lower(F.hex(F.xxhash64("p"))))
+    row = df.select(ingest.load_key(F.col("p")), was).first()
+    assert row[0] == row[1] and "regexp" not in str(ingest.load_key(F.col("p")))
+
+
 # ---- parsing
 
 def test_strict_integers(spark):
