@@ -88,6 +88,33 @@ def test_lines_delivered_twice_count_once(spark, tmp_path):
     assert got == sorted([*rows, line(1999, 3, 11, 5), "no date,1", "no date,1"])
 
 
+def test_a_line_is_built_once_a_branch(spark, monkeypatch):
+    """What builds a line, and splits it, stands once in either branch of the plan: no filter repeats it."""
+    from ontime_analytics.sources.fixture import dealt_evenly, flight_lines_from_lineitem
+
+    table = dealt_evenly(spark.read.parquet(f"{SF01}/lineitem.parquet"))
+    assert table.rdd.getNumPartitions() % spark.sparkContext.defaultParallelism == 0
+    lines = flight_lines_from_lineitem(table)
+    monkeypatch.setattr(type(lines), "dropDuplicatesWithinWatermark", lambda df, keys: df.dropDuplicates(keys))  # a batch has a plan without a run
+    plan = daily.drop_repeated_lines(lines)._jdf.queryExecution().optimizedPlan().toString()
+    built = lines._jdf.queryExecution().optimizedPlan().toString().count("concat_ws(")
+    assert built == 3 and plan.count("concat_ws(") == 2 * built and plan.count("split(") == 2
+
+
+def test_dates_at_the_head_of_odd_lines(spark, tmp_path):
+    """Lines of which only the first fields are there, or more than 29; what is no date is kept each time."""
+    undated = ["", ",,", "1999", "1999,1", "1999,,3", "1999,2,30", " 1999,1,3", "1999,1,3 ,x", "1999.0,1,3", "99999999999,1,3", "x,1999,1,3"]
+    dated = ["1999,1,3", "+1999,01,3,", "1999,1,3,x", "1999,1,4" + ",x" * 40, "1999,12,31," + "," * 25]
+    for name in ("a.csv", "b.csv"):
+        put(tmp_path / "in", name, [*undated, *dated])
+    lines = spark.readStream.text(str(tmp_path / "in")).selectExpr("value as line", "1 as source")
+    stream = daily.drop_repeated_lines(lines, value="line")
+    assert stream.columns == ["line", "source"]
+    daily._started(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    count = {r["line"]: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("line").count().collect()}
+    assert count == {**dict.fromkeys(undated, 2), **dict.fromkeys(dated, 1)}
+
+
 def test_keys_expire_with_the_watermark(spark, tmp_path):
     """State does not grow with the input: a key goes when its day is past the watermark."""
     old = [line(1999, 1, 1, 5, n=k) for k in range(50)]
